@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import mixing
+from pagelake.llm import mixing, pii, winnowing
 from pagelake.llm.line_dedup import line_dedup
 from pagelake.llm.mixing import mix_sources
 from pagelake.llm.pieces import encode_pieces
@@ -30,6 +30,25 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", blank("source"), blank("lang"), "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.document_fingerprints(_table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.written("fp").alias("fingerprint"),
+        winnowing.written("edited_fp").alias("edited_fingerprint"),
+        winnowing.likeness("fp", "edited_fp").alias("near_edited"),
+        winnowing.likeness("fp", "next_fp").alias("near_next"),
+    )
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.sanitise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_pieces(_table(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -61,6 +80,8 @@ FROM m GROUP BY doc_id
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_winnowing": op2_winnowing,
+    "op3_pii": op3_pii,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
