@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagelake.llm import mixing, pii, winnowing
 from pagelake.llm.line_dedup import line_dedup
 from pagelake.llm.mixing import mix_sources
+from pagelake.llm.multi_index import embedding_links
 from pagelake.llm.pieces import encode_pieces
 from pagelake.llm.simhash import simhash_dedup
 from pagelake.llm.toxicity import toxicity
@@ -54,6 +55,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_winnowing": op2_winnowing,
     "op3_pii": op3_pii,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_embedding_links": op6_embedding_links,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op10_simhash": op10_simhash,
