@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.llm import mixing, pii, winnowing
+from pagelake.llm.html_layout import extract_text
 from pagelake.llm.line_dedup import line_dedup
 from pagelake.llm.mixing import mix_sources
 from pagelake.llm.multi_index import embedding_links
@@ -69,6 +70,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "n_lines", "visible_text")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op6_embedding_links": op6_embedding_links,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
+    "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
 }
 SQL = {
