@@ -83,13 +83,13 @@ class Twice:
         return found
 
 
-def twice_seen(hashes_of, frame: DataFrame, n_keys: int, filter_mb: int) -> Iterator[tuple[tuple, object]]:
+def twice_seen(hashes_of, frame: DataFrame, n_keys: int, filter_mb: int, bits_per_key: int = BITS_PER_KEY) -> Iterator[tuple[tuple, object]]:
     """For each round, the shape and the broadcast parts of the filter of hashes that two rows of frame may share.
 
     hashes_of(batch) gives one array with each row's distinct hashes. At most filter_mb reach the driver at once.
     """
     spark = frame.sparkSession
-    total = max(1, -(-n_keys * BITS_PER_KEY // SEGMENT_BITS))
+    total = max(1, -(-n_keys * bits_per_key // SEGMENT_BITS))
     most = max(1, filter_mb * 8 * (1 << 20) // SEGMENT_BITS)
     rounds = -(-total // most)
     segments = -(-total // rounds)

@@ -12,6 +12,7 @@ from pagelake.llm.mixing import mix_sources
 from pagelake.llm.multi_index import embedding_links
 from pagelake.llm.pieces import encode_pieces
 from pagelake.llm.simhash import simhash_dedup
+from pagelake.llm.substring_dedup import substring_dedup
 from pagelake.llm.toxicity import toxicity
 
 
@@ -56,6 +57,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select("vec_id", "n_links", "component_id", "kept")
 
@@ -93,6 +99,7 @@ QUERIES = {
     "op2_winnowing": op2_winnowing,
     "op3_pii": op3_pii,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_embedding_links": op6_embedding_links,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
