@@ -1 +1 @@
-
+"""DataFrame transforms."""
