@@ -17,7 +17,7 @@ def block(type_: str = "type", text: str = "text") -> Column:
     graph = F.concat(F.lit("<!-- GraphRegion: "), F.coalesce("graph_type", F.lit("unknown")), F.lit(" -->\n"), t)
     each = T.lines(t)
     margin = F.concat(F.lit("> *[Marginalie]*\n"), F.array_join(F.transform(each, lambda x: F.concat(F.lit("> "), x)), "\n"))
-    note = F.array_join(F.concat(F.array(F.concat(F.lit("[^fn]: "), F.get(each, 0))), F.transform(F.slice(each, 2, 2147483647), lambda x: F.concat(F.lit("    "), x))), "\n")
+    note = F.array_join(F.concat(F.array(F.concat(F.lit("[^fn]: "), F.get(each, 0))), F.transform(F.slice(each, F.lit(2), F.greatest(F.size(each) - 1, F.lit(0))), lambda x: F.concat(F.lit("    "), x))), "\n")
     return (
         F.when((t == "") | t.isNull() | (kind == "PageNumberRegion"), None)
         .when(kind == "TitleRegion", F.concat(F.lit("## "), t))

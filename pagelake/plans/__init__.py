@@ -1 +1 @@
-
+"""Whole runs."""
