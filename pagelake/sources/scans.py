@@ -57,5 +57,5 @@ def region_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob)
     return files.select(T.stem_of(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).alias("stem"), F.col("value").alias("text"))
