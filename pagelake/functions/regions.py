@@ -35,32 +35,39 @@ def has_key(box: Column, key: str) -> Column:
     return F.variant_get(box, f"$.{key}", "variant").isNotNull()
 
 
-def _first(box: Column, keys: list[str]) -> tuple[Column, Column]:
-    """Whether any key is there, and the number under the first that is (null if it does not convert)."""
-    here, value = F.lit(False), None
-    for k in keys:
-        here = here | has_key(box, k)
-        number = F.try_variant_get(box, f"$.{k}", "double")
-        value = F.when(has_key(box, k), number) if value is None else value.when(has_key(box, k), number)
-    return here, value
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _first(box: Column, keys: list[str]) -> Column:
+    """The number under the first key that is there; null if it does not convert, or there is none."""
+    here = F.filter(F.array(*[F.lit(k) for k in keys]), lambda k: F.map_contains_key(box, k))
+    return F.try_element_at(box, F.get(here, 0))
 
 
 def _box(x: Column, y: Column, width: Column, height: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"), width.alias("width"), height.alias("height"))
 
 
+def _from_list(v: Column) -> Column:
+    ymin, xmin, ymax, xmax = (F.get(v, i) for i in range(4))
+    return F.when((F.size(v) == 4) & (ymax > ymin) & (xmax > xmin), _box(xmin, ymin, xmax - xmin, ymax - ymin))
+
+
+def _from_edges(e: Column) -> Column:
+    x, y, w, h, right, bottom = (F.get(e, i) for i in range(6))
+    sized = x.isNotNull() & y.isNotNull() & w.isNotNull() & h.isNotNull()
+    cornered = x.isNotNull() & y.isNotNull() & (right > x) & (bottom > y)
+    return F.when(sized, _box(x, y, w, h)).when(cornered, _box(x, y, right - x, bottom - y))
+
+
 def normal_box(box: Column) -> Column:
     """The box of a variant: a list [ymin, xmin, ymax, xmax], or an object by size or by corners; null if unusable."""
     kind = F.schema_of_variant(box)
-    ymin, xmin, ymax, xmax = (F.try_variant_get(box, f"$[{i}]", "double") for i in range(4))
-    four = F.variant_get(box, "$[3]", "variant").isNotNull() & F.variant_get(box, "$[4]", "variant").isNull()
-    as_list = F.when(four & (ymax > ymin) & (xmax > xmin), _box(xmin, ymin, xmax - xmin, ymax - ymin))
-    (_, x), (_, y), (_, w), (_, h) = (_first(box, k) for k in (X, Y, WIDTH, HEIGHT))
-    (_, right), (_, bottom) = _first(box, X_MAX), _first(box, Y_MAX)
-    sized = x.isNotNull() & y.isNotNull() & w.isNotNull() & h.isNotNull()
-    cornered = x.isNotNull() & y.isNotNull() & (right > x) & (bottom > y)
-    as_object = F.when(sized, _box(x, y, w, h)).when(cornered, _box(x, y, right - x, bottom - y))
-    return F.when(kind.startswith("ARRAY"), as_list).when(kind.startswith("OBJECT"), as_object)
+    as_list = _bound(F.try_variant_get(box, "$", "array<double>"), _from_list)
+    edges = _bound(F.try_variant_get(box, "$", "map<string,double>"), lambda m: F.array(*[_first(m, k) for k in (X, Y, WIDTH, HEIGHT, X_MAX, Y_MAX)]))
+    return F.when(kind.startswith("ARRAY"), as_list).when(kind.startswith("OBJECT"), _bound(edges, _from_edges))
 
 
 def recovered(box: Column) -> Column:
