@@ -7,8 +7,9 @@ a linear support vector machine separates witness units of toxic sentences from
 their start and end. A text scores by its most toxic unit and by the sum and the share of its toxic units' margins, through
 a logistic curve fitted on labelled texts.
 
-Document frequencies cover all labelled rows of the training folds. What the driver fits on is bounded: max_units units
-and max_texts labelled texts.
+The classifier is fitted on a bounded sample of labelled rows, chosen by a hash of the id: at most a quarter of max_texts
+toxic ones and three quarters clean ones, weighted back to their true shares. Document frequencies are counted over that
+sample in Spark; the driver gets at most max_units units of each kind. Every text is scored.
 """
 
 from __future__ import annotations
@@ -208,16 +209,20 @@ def fit_units(positive: list[str], negative: list[str], landmarks: int = 64) ->
     return Model(vocabulary, dense.T @ (root @ w[:-1]), float(w[-1]))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Weights and shift of the label's probability, with Platt's smoothed targets and a small ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, ...]:
+    """Weights and shift of the label's probability, with Platt's smoothed targets and a small ridge.
+
+    Rows are weighted so that toxic ones make up `share` of them.
+    """
     n1, n0 = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    each = np.where(y == 1, share * len(y) / n1, (1 - share) * len(y) / n0)
     x = np.hstack([x, np.ones((len(x), 1))])
     w, ridge = np.zeros(x.shape[1]), 0.1 * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-4)[:, None]).T @ x + ridge, x.T @ (p - target) + ridge @ w)
+        step = np.linalg.solve((x * (each * (p * (1 - p) + 1e-4))[:, None]).T @ x + ridge, x.T @ (each * (p - target)) + ridge @ w)
         w = w - step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-8:
             break
@@ -229,11 +234,9 @@ def fold(id_: Column) -> Column:
     return F.crc32(id_.cast("string").cast("binary")) % 5
 
 
-def train(labelled: DataFrame, max_units: int = 8_000, max_texts: int = 4_000) -> Model | float:
-    """The model for labelled(text, toxic); the label's share where only one label is there.
-
-    Word and prefix frequencies are counted over every labelled row. The driver gets at most max_units units of each
-    kind and the margins of at most max_texts texts, chosen by hash.
+def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model | float:
+    """The model for the sample labelled(text, toxic), of whose population `share` is toxic; the label's share where only
+    one label is there. The driver gets at most max_units units of each kind.
     """
     counts = labelled.agg(F.count_if(F.col("toxic") == 1).alias("n1"), F.count_if(F.col("toxic") == 0).alias("n0")).first()
     n1, n0 = counts.n1, counts.n0
@@ -260,9 +263,8 @@ def train(labelled: DataFrame, max_units: int = 8_000, max_texts: int = 4_000) -
     positive = cut(own)
     negative = [x for x in cut([r.key for r in clean.collect()]) if x not in set(positive)]
     model = fit_units(positive, negative)
-    some = labelled.orderBy(F.xxhash64("text"), "toxic").limit(max_texts) if n1 + n0 > max_texts else labelled
-    some = some.select("toxic", evidence_of(model)(F.col("text")).alias("x")).toPandas()
-    model.curve = _logistic(np.array(some["x"].tolist(), float), some["toxic"].to_numpy(int))
+    some = labelled.select("toxic", evidence_of(model)(F.col("text")).alias("x")).toPandas()
+    model.curve = _logistic(np.array(some["x"].tolist(), float), some["toxic"].to_numpy(int), share)
     return model
 
 
@@ -285,7 +287,7 @@ def evidence_of(model: Model):
     return evidence
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_units: int = 8_000, max_texts: int = 4_000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_units: int = 8_000, max_texts: int = 16_000) -> DataFrame:
     """docs with held_out, score (0 to 1) and predicted (1 if score >= 0.5).
 
     Learns from rows of labels whose fold is not 0; ids with several labels count with each, labels that are null or
@@ -294,8 +296,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     and are not held out. Columns named held_out, score or predicted give way to the operator's.
     """
     known = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("toxic")).where("id is not null and toxic in (0, 1)").where(fold(F.col("id")) != 0)
-    labelled = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text")).join(known, "id").select("text", "toxic")
-    model = train(labelled, max_units, max_texts)
+    share = known.agg(F.avg("toxic")).first()[0] or 0.0
+    few = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in ((1, max_texts // 4), (0, max_texts - max_texts // 4))]
+    sample = materialize(few[0].unionByName(few[1]), "toxicity-sample")
+    # At most max_texts ids: a broadcast of bounded size, so that texts stay where they are.
+    labelled = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id").select("text", "toxic")
+    model = train(labelled, share, max_units)
     rows = sealed(docs, id=col(id_col), text=col(text_col))
     if isinstance(model, float):
         score = F.lit(model)
