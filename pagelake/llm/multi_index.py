@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, connected_components, local_components, materialize, sealed, unsealed
+from pagelake.llm.common import col, connected_components, hash_sample, local_components, materialize, sealed, unsealed
 
 
 def normal(flat: np.ndarray, dim: int) -> np.ndarray:
@@ -108,7 +108,7 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     distinct = good.where(F.size("v") == dim).groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     distinct = materialize(distinct, "grid-distinct")
     n = distinct.count()
-    sample = distinct.select("v").orderBy(F.xxhash64("v"), "v").limit(sample_limit).toArrow()["v"].combine_chunks()
+    sample = hash_sample(distinct.select("id", "v"), "id", n, sample_limit).toArrow().sort_by("id")["v"].combine_chunks()
     grid = fit_grid(normal(sample.flatten().to_numpy(), dim), n, threshold, recall)
 
     def unit(column: pa.Array) -> np.ndarray:

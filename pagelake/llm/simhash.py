@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, connected_components, local_components, materialize, sealed, unsealed
+from pagelake.llm.common import col, connected_components, hash_sample, local_components, materialize, sealed, unsealed
 
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 BRUTE = 192
@@ -124,7 +124,8 @@ def near_duplicates(fps: DataFrame, radius: int = 2, sample_limit: int = 65_536)
     """
     distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-distinct")
     n = distinct.count()
-    sample = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_limit).toPandas()["fp"].to_numpy(np.int64).view(np.uint64) if n else np.zeros(0, np.uint64)
+    sample = hash_sample(distinct.select("fp"), "fp", n, sample_limit).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    sample = sample[np.argsort(sample * np.uint64(0x9E3779B97F4A7C15), kind="stable")]
     nodes = fit_tree(sample, n, int(np.clip(n // 64, 256, 8192)))
 
     def routed(batches):
