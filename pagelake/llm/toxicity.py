@@ -8,7 +8,7 @@ their start and end. A text scores by its most toxic unit and by the sum and the
 a logistic curve fitted on labelled texts.
 
 The classifier is fitted on a bounded sample of labelled rows, chosen by a hash of the id: at most a quarter of max_texts
-toxic ones and three quarters clean ones, weighted back to their true shares. Document frequencies are counted over that
+toxic ones and three quarters clean ones, weighted back to their true shares. The contexts of units are counted over that
 sample in Spark; the driver gets at most max_units units of each kind. Every text is scored.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, materialize, sealed, unsealed
+from pagelake.llm.common import col, hash_sample, materialize, sealed, unsealed
 
 DECAY = 0.6
 WIDTH = 16
@@ -242,13 +242,20 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     n1, n0 = counts.n1, counts.n0
     if not n1 or not n0:
         return n1 / (n1 + n0) if n1 + n0 else 0.0
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+"))
-    keys = labelled.select("toxic", words.alias("w")).select("toxic", F.array_distinct(F.concat("w", F.transform(F.filter("w", lambda x: F.length(x) > 5), lambda x: F.concat(F.lit("^"), F.substring(x, 1, 5))))).alias("w"))
-    seen = keys.select("toxic", F.explode("w").alias("key")).where("key <> ''").groupBy("key").agg(F.sum(F.col("toxic").cast("long")).alias("a"), F.count("*").alias("n"))
-    rate = n1 / (n1 + n0)
-    a, b, n = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double"), F.col("n").cast("double")
+    # A unit's evidence is the number of different words before it, in toxic and in clean texts: a group of copies adds
+    # one context to each of its words, however large it is.
+    words = labelled.select("toxic", F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+").alias("w"))
+    after = lambda x, i: F.concat(F.lit("\t"), F.coalesce(F.get("w", i - 1), F.lit("")))
+    whole = F.transform("w", lambda x, i: F.concat(x, after(x, i)))
+    stem = F.filter(F.transform("w", lambda x, i: F.when(F.length(x) > 5, F.concat(F.lit("^"), F.substring(x, 1, 5), after(x, i)))), lambda k: k.isNotNull())
+    pairs = words.select("toxic", F.explode(F.array_distinct(F.concat(whole, stem))).alias("pair")).groupBy("pair").agg(F.max("toxic").alias("a"), (1 - F.min("toxic")).alias("b"))
+    seen = pairs.groupBy(F.substring_index("pair", "\t", 1).alias("key")).agg(F.sum("a").cast("long").alias("a"), F.sum("b").cast("long").alias("b")).where("key not in ('', '^')")
+    seen = materialize(seen.withColumn("n", F.col("a") + F.col("b")), "toxicity-contexts")
+    total = seen.agg(F.sum("a").alias("a"), F.sum("n").alias("n")).first()
+    rate = (total.a or 0) / max(1, total.n or 0)
+    a, b, n = (F.col(c).cast("double") for c in ("a", "b", "n"))
     gain = lambda x, e: F.when(x > 0, x * F.ln(x / e)).otherwise(0.0)
-    seen = materialize(seen.withColumn("llr", F.when((a / n > rate) & (a / n >= 0.8), 2 * (gain(a, n * rate) + gain(b, n * (1 - rate)))).otherwise(0.0)), "toxicity-counts")
+    seen = seen.withColumn("llr", F.when((a / n > rate) & (a / n >= 0.8), 2 * (gain(a, n * rate) + gain(b, n * (1 - rate)))).otherwise(0.0))
     strong = [r.key for r in seen.where("llr >= 20").orderBy(F.desc("llr"), "key").limit(300).collect()]
     stems, own = {k[1:] for k in strong if k[0] == "^"}, [k for k in strong if k[0] != "^"]
     if stems:
@@ -296,8 +303,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     and are not held out. Columns named held_out, score or predicted give way to the operator's.
     """
     known = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("toxic")).where("id is not null and toxic in (0, 1)").where(fold(F.col("id")) != 0)
-    share = known.agg(F.avg("toxic")).first()[0] or 0.0
-    few = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in ((1, max_texts // 4), (0, max_texts - max_texts // 4))]
+    counts = known.agg(F.count_if(F.col("toxic") == 1).alias("n1"), F.count_if(F.col("toxic") == 0).alias("n0")).first()
+    share = counts.n1 / max(1, counts.n1 + counts.n0)
+    few = [hash_sample(known.where(F.col("toxic") == k), "id", n, most) for k, n, most in ((1, counts.n1, max_texts // 4), (0, counts.n0, max_texts - max_texts // 4))]
     sample = materialize(few[0].unionByName(few[1]), "toxicity-sample")
     # At most max_texts ids: a broadcast of bounded size, so that texts stay where they are.
     labelled = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id").select("text", "toxic")
