@@ -135,7 +135,7 @@ def _hot(rows: DataFrame) -> DataFrame:
     rows = materialize(rows.withColumn("block", F.xxhash64("gram", "part")), "substring-hot")
     first = materialize(rows.groupBy("gram", "block").agg(F.min("id").alias("first")), "substring-hot-first")
     rows = rows.join(first, ["gram", "block"])
-    every = (F.shiftleft(F.lit(1).cast("long"), F.length("part") - (LENGTH - 1)) - 1).alias("mask")
+    every = (F.call_function("shiftleft", F.lit(1).cast("long"), F.length("part") - (LENGTH - 1)) - 1).alias("mask")
     late = rows.where("id > first").select("id", "th", "start", every)
     kept = materialize(rows.where("id = first").select("id", "th", "start", "gram", "part"), "substring-hot-kept")
 
@@ -147,7 +147,7 @@ def _hot(rows: DataFrame) -> DataFrame:
 
     each = materialize(kept.mapInArrow(strings, "id long, th int, start int, gram long, h long, at int"), "substring-hot-strings")
     least = materialize(each.groupBy("gram", "h").agg(F.min("id").alias("first")), "substring-hot-least")
-    more = each.join(least, ["gram", "h"]).where("id > first").groupBy("id", "th", "start").agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("at"))).alias("mask"))
+    more = each.join(least, ["gram", "h"]).where("id > first").groupBy("id", "th", "start").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("mask"))
     return late.unionByName(more)
 
 
