@@ -26,6 +26,7 @@ STRIP = b" \t\n\x0b\x0c\r"
 MIN_KEY = 10
 SEGMENT_BITS = 1 << 19
 BITS_PER_KEY = 12
+ROWS = 1024
 
 
 def line_keys(text: str | None) -> list[bytes]:
@@ -51,13 +52,20 @@ class Filters:
     def segment(self, h: np.ndarray) -> np.ndarray:
         return ((h >> np.uint64(38)) % np.uint64(self.segments * self.rounds)).astype(np.int64) - self.turn * self.segments
 
+    def parts_of(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each segment of this round that h touches, with the places in h."""
+        seg = self.segment(h)
+        order = np.argsort(seg, kind="stable")
+        order = order[(seg[order] >= 0) & (seg[order] < self.segments)]
+        for own in np.split(order, np.flatnonzero(np.diff(seg[order])) + 1):
+            if len(own):
+                yield int(seg[own[0]]), own
+
     def add(self, h: np.ndarray) -> None:
         """h: hashes with one entry for each document that holds the key."""
         h, n = np.unique(h, return_counts=True)
-        seg, bits = self.segment(h), _bits(h)
-        for s in np.unique(seg[(seg >= 0) & (seg < self.segments)]):
-            own = seg == s
-            b, again = bits[:, own], n[own] > 1
+        for s, own in self.parts_of(h):
+            b, again = _bits(h[own]), n[own] > 1
             if s not in self.once:
                 self.once[s], self.twice[s] = np.zeros(SEGMENT_BITS // 8, np.uint8), np.zeros(SEGMENT_BITS // 8, np.uint8)
             at, mask = b >> 3, np.left_shift(1, b & 7).astype(np.uint8)
@@ -73,12 +81,10 @@ class Twice:
         self.shape, self.parts = Filters(segments, rounds, turn), parts
 
     def suspects(self, h: np.ndarray) -> np.ndarray:
-        seg, bits = self.shape.segment(h), _bits(h)
         found = np.zeros(len(h), bool)
-        for s in np.unique(seg[(seg >= 0) & (seg < self.shape.segments)]):
-            if (part := self.parts.get(int(s))) is not None:
-                own = np.flatnonzero(seg == s)
-                b = bits[:, own]
+        for s, own in self.shape.parts_of(h):
+            if (part := self.parts.get(s)) is not None:
+                b = _bits(h[own])
                 found[own] = ((part[b >> 3] & np.left_shift(1, b & 7).astype(np.uint8)) > 0).all(axis=0)
         return found
 
@@ -99,7 +105,8 @@ def twice_seen(hashes_of, frame: DataFrame, n_keys: int, filter_mb: int, bits_pe
         def build(batches, turn=turn):
             own = Filters(segments, rounds, turn)
             for batch in batches:
-                own.add(hashes_of(batch))
+                for i in range(0, batch.num_rows, ROWS):
+                    own.add(hashes_of(batch.slice(i, ROWS)))
             for s in own.once:
                 yield pa.RecordBatch.from_arrays([pa.array([int(s)], pa.int64()), pa.array([zlib.compress(own.once[s].tobytes(), 1)], pa.binary()), pa.array([zlib.compress(own.twice[s].tobytes(), 1)], pa.binary())], ["seg", "once", "twice"])
 

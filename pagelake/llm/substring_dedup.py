@@ -26,7 +26,7 @@ from pagelake.llm.line_dedup import opened, twice_seen
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
-CHUNK = 60_000
+CHUNK = 20_000
 _U = np.uint64
 _TABLE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _B = _U(0x9E3779B97F4A7C15)
