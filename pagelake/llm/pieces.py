@@ -13,6 +13,7 @@ import heapq
 import re
 from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pagelake.llm.common import col, sealed, unsealed
 MARK = "▁"
 KEPT = 300_000
 SHORT = 24
-NEVER = float("inf")
+STRANGE, NEVER = 0xFFFF, 1 << 62
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -42,7 +43,14 @@ class PieceEncoder:
         self.scores = {self.pieces[i]: (lib.get_score(i), i) for i in range(n) if not (lib.is_control(i) or lib.is_byte(i) or lib.is_unknown(i) or lib.is_unused(i))}
         self.id_of = {p: i for p, (_, i) in self.scores.items()}
         self.plain = [p.replace(MARK, " ") for p in self.pieces]
-        self.ranks = {p: -score for p, (score, _) in self.scores.items()}
+        self.letters = {p: i for p, (_, i) in self.scores.items() if len(p) == 1}
+        # For every way to cut a piece in two: (ids of the parts) -> (rank of its score, its id). Ranks need unlike scores.
+        merged = [p for p in self.scores if p.strip(MARK)]  # runs of marks alone share one score: such words take the heap
+        unlike = len({self.scores[p][0] for p in merged}) == len(merged) and n < STRANGE
+        order = sorted(merged, key=lambda p: -self.scores[p][0]) if unlike else []
+        pairs = {self.id_of[a] << 16 | self.id_of[b]: rank << 16 | self.id_of[p] for rank, p in enumerate(order) for k in range(1, len(p)) if (a := p[:k]) in self.id_of and (b := p[k:]) in self.id_of}
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.entries = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("the vocabulary has a piece that goes on behind a space mark")
         self.bos, self.eos, self.unknown = lib.bos_id(), lib.eos_id(), lib.unk_id()
@@ -50,9 +58,63 @@ class PieceEncoder:
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word whose spaces are marks."""
+        return self.merge_many([word])[0]
+
+    def merge_many(self, words: list[str]) -> list[list[int]]:
+        """The ids of many words. Words of one length share an agenda: a row for each word, an entry for each adjacent pair.
+
+        An entry is the rank of the union's score and the union's id in one number; in every row the least and leftmost
+        is merged, and its neighbours are looked up anew, until a row has none. Long words and runs of marks (whose pieces
+        share one score) go one by one.
+        """
+        out: list[list[int] | None] = [None] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        for n in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == n)
+            if n > SHORT or not len(self.keys):
+                for r in rows.tolist():
+                    out[r] = self.merge_long(words[r])
+                continue
+            letters, at = np.unique(np.frombuffer("".join([words[r] for r in rows]).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+            ids = np.array([self.letters.get(chr(c), STRANGE) for c in letters.tolist()], np.int64)[at].reshape(len(rows), n)
+            mark = self.letters.get(MARK, STRANGE)
+            odd = ((ids[:, 1:] == mark) & (ids[:, :-1] == mark)).any(axis=1)
+            for r in rows[odd].tolist():
+                out[r] = self.merge_long(words[r])
+            rows, ids = rows[~odd], ids[~odd]
+            agenda = self._find(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                best = agenda.min(axis=1) if agenda.shape[1] else np.full(len(rows), NEVER)
+                over = best == NEVER
+                for r, own in zip(rows[over].tolist(), ids[over].tolist(), strict=True):
+                    if STRANGE in own:  # letters that are no pieces merge with nothing and keep their order
+                        strange = iter([c for c in words[r] if c not in self.letters])
+                        own = [k for i in own for k in ([i] if i != STRANGE else self._ids([next(strange)]))]
+                    out[r] = own
+                rows, ids, agenda, best = rows[~over], ids[~over], agenda[~over], best[~over]
+                if not len(rows):
+                    break
+                m, row = ids.shape[1], np.arange(len(rows))
+                i = agenda.argmin(axis=1)
+                new = best & 0xFFFF
+                ids[row, i] = new
+                place = np.arange(m - 1)
+                ids = np.take_along_axis(ids, place + (place > i[:, None]), 1)
+                place = np.arange(m - 2)
+                agenda = np.take_along_axis(agenda, place + (place >= i[:, None]), 1)
+                left, right = np.flatnonzero(i > 0), np.flatnonzero(i < m - 2)
+                agenda[left, i[left] - 1] = self._find(ids[left, i[left] - 1], new[left])
+                agenda[right, i[right]] = self._find(new[right], ids[right, i[right] + 1])
+        return out
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = (a << 16) | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.entries[at], NEVER)
+
+    def merge_long(self, word: str) -> list[int]:
+        """With the agenda as a heap and the symbols as a linked list."""
         symbols = list(word)
-        if len(symbols) <= SHORT:
-            return self._ids(self._merge_short(symbols))
         before, after = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
         agenda: list[tuple[float, int, int, int]] = []
 
@@ -75,23 +137,6 @@ class PieceEncoder:
             suggest(a, after[a])
         return self._ids(symbols)
 
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        """The same for a few symbols: the agenda is a list in text order, whose best entry is looked up."""
-        find = self.ranks.get
-        agenda = [find(a + b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            symbols[i] += symbols.pop(i + 1)
-            del agenda[i]
-            if i:
-                agenda[i - 1] = find(symbols[i - 1] + symbols[i], NEVER)
-            if i < len(agenda):
-                agenda[i] = find(symbols[i] + symbols[i + 1], NEVER)
-        return symbols
-
     def _ids(self, symbols: list[str]) -> list[int]:
         if None not in (quick := list(map(self.id_of.get, symbols))):
             return quick
@@ -134,20 +179,20 @@ class PieceEncoder:
         return "".join(out)
 
     def _learn(self, fresh: list[str]) -> None:
-        ids = [self.merge(w) for w in fresh]
+        ids = self.merge_many(fresh)
         if self.check:
             mine = [(w, i) for w, i in zip(fresh, ids, strict=True) if len(w) > 1 and w[0] == MARK]
             library = self.library.encode([w[1:].replace(MARK, " ") for w, _ in mine], num_threads=1)
             for (w, i), other in zip(mine, library, strict=True):
                 if i != other:
                     raise AssertionError(f"encoding differs from the library's for {w!r}: {i}, {other}")
+        plain, bytewise, memo = self.plain, self.byte_of.keys(), self.memo
         for w, i in zip(fresh, ids, strict=True):
-            self.memo[w] = (array("I", i).tobytes(), "".join(self._plain(i)))
+            text = "".join([plain[k] for k in i]) if bytewise.isdisjoint(i) else "".join(self._plain(i))
+            memo[w] = (array("I", i).tobytes(), text)
 
     def _plain(self, ids: list[int]) -> list[str]:
         """A word's decoded parts, its first blank kept; the byte pieces of one word make up whole characters."""
-        if self.byte_of.keys().isdisjoint(ids):
-            return [self.plain[i] for i in ids]
         out, run = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -161,8 +206,8 @@ class PieceEncoder:
         """For each text its ids with begin and end, as little-endian unsigned 32-bit numbers, and the decoded text."""
         begin, end = array("I", [self.bos]).tobytes(), array("I", [self.eos]).tobytes()
         ids, decoded, know = [], [], self.memo
-        for at in range(0, len(texts), 64):
-            split = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[at : at + 64]]
+        for at in range(0, len(texts), 128):
+            split = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[at : at + 128]]
             fresh = set().union(*split) - know.keys()
             if len(know) + len(fresh) > KEPT:
                 know.clear()
