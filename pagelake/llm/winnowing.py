@@ -65,7 +65,8 @@ def with_next(docs: DataFrame, bucket: int | None = None) -> DataFrame:
     order = Window.partitionBy(F.lit(0)).orderBy("bucket")  # a row for each bucket: some thousands until ids fill the largest
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("head", F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(whole)).alias("before"))
-    rows = docs.withColumn("home", home).join(heads, docs["id"] == heads["head"], "left")
+    # Two numbers for each bucket, so some thousands of rows, then one for 65,536 ids: a broadcast of bounded size.
+    rows = docs.withColumn("home", home).join(F.broadcast(heads), docs["id"] == heads["head"], "left")
     places = F.array_compact(F.array(F.struct(F.col("home").alias("bucket"), F.lit(0).alias("guest")), F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guest")))))
     rows = rows.where("id is not null").select("id", "text", "fp", F.explode(places).alias("at"))
     along = Window.partitionBy("at.bucket").orderBy("at.guest", "id", F.xxhash64("text"))
