@@ -1,10 +1,10 @@
 """Personal data: patterns, then information-theoretic sanitisation, with DataFrame functions only.
 
-Patterns find protected values (email, ip, card, phone). Terms near a value are its context. From the whole corpus come
-the numbers of documents that hold a value, that hold a term, and that hold the term in the value's context. Pointwise
-mutual information over the value's own information content is the share of the value that the term discloses: 1 if the
-term occurs only with the value, 0 if they are independent. Terms that disclose too much get spans of their own and are
-removed or generalised with the value.
+Patterns find protected values (email, ip, card, phone). Terms are runs of letters. From the whole corpus come the numbers
+of documents that hold a value, that hold a term, and that hold both, the term outside of protected spans. Pointwise mutual
+information over the value's own information content is the share of the value that the term discloses: 1 if the term
+occurs only with the value, 0 if they are independent. Terms that disclose too much get spans of their own wherever they
+occur, in documents without the value too, and are removed or generalised.
 """
 
 from __future__ import annotations
@@ -24,12 +24,11 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 REMOVE, GENERALISE = "remove", "generalise"
-TERM = r"\p{L}{4,}+"
-REACH = 60
+TERM = r"\p{L}++"
 _SPAN = "array<struct<s:int,e:int,v:string>>"
 
 
-def spans(text: Column, pattern: str) -> Column:
+def spans(text: Column, pattern: str | Column) -> Column:
     """Start, end (in code points) and value of each match, from the matches and the gaps between them."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("v"))
@@ -80,17 +79,21 @@ def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def _context(text: Column, x: Column, base: Column) -> Column:
-    """Whole terms within REACH code points of a span, none inside a protected span."""
-    left = F.greatest(x["s"] - REACH, F.lit(0))
-    before, after = F.substring(text, left + 1, x["s"] - left), F.substring(text, x["e"] + 1, F.lit(REACH))
+def _forms(text: Column) -> Column:
+    """The distinct terms of a text as they are written."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
 
-    def moved(part: Column, by: Column, whole) -> Column:
-        kept = F.filter(spans(part, TERM), whole)
-        return F.transform(kept, lambda t: F.struct((t["s"] + by).alias("s"), (t["e"] + by).alias("e"), F.lower(t["v"]).alias("v")))
 
-    terms = F.concat(moved(before, left, lambda t: (t["s"] > 0) | (left == 0)), moved(after, x["e"], lambda t: (t["e"] < REACH) | (x["e"] + REACH >= F.length(text))))
-    return F.filter(terms, lambda t: ~F.exists(base, lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(_forms(text), F.lower))
+
+
+def _marked(text: Column, base: Column, levels: Column) -> Column:
+    """Every occurrence of a form in levels (form: level), none inside a protected span."""
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.map_keys(levels), "|"), F.lit(r")(?!\p{L})"))
+    found = F.filter(spans(text, pattern), lambda t: ~F.exists(base, lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
+    level = lambda t: F.element_at(levels, t["v"])
+    return F.transform(found, lambda t: F.struct(t["s"].alias("s"), (F.lit(len(KINDS)) + 2 - level(t)).alias("k"), t["e"].alias("e"), F.lower(t["v"]).alias("v"), F.when(level(t) == 2, REMOVE).otherwise(GENERALISE).alias("kind")))
 
 
 def entity(x: Column) -> Column:
@@ -102,54 +105,55 @@ def entity(x: Column) -> Column:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = 0.95, generalise: float = 0.85, support: int = 2) -> DataFrame:
     """docs with base and spans (arrays of structs s, k, e, v, kind) and sanitised, the text without what they mark.
 
-    base holds the valid pattern matches; spans holds them and the terms (kinds remove and generalise) that disclose at
-    least that share of a nearby value, seen together in at least `support` documents. Values become [KIND], removed terms
-    [TERM], generalised ones their first letter and an ellipsis. A null text is empty. Each distinct pair of id and text
-    is one document; rows that repeat it get the same spans. A null id counts like any other. Empty tables give empty
-    tables. Input columns named base, spans or sanitised give way to the operator's.
+    base holds the valid pattern matches; spans holds them and all occurrences of the terms (kinds remove and generalise)
+    that disclose at least that share of a value, both in at least `support` documents together. Values become [KIND],
+    removed terms [TERM], generalised ones their first letter and an ellipsis. A null text is empty. Each distinct pair of
+    id and text is one document; rows that repeat it get the same spans. A null id counts like any other. Empty tables
+    give empty tables. Input columns named base, spans or sanitised give way to the operator's.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     each = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    each = each.withColumn("base", base_spans(F.col("text")))
-    near = F.when(F.size("base") > 0, F.transform("base", lambda x: F.struct(entity(x).alias("entity"), _context(F.col("text"), x, F.col("base")).alias("terms")))).otherwise(F.array().cast(f"array<struct<entity:string,terms:{_SPAN}>>"))
-    found = materialize(each.where(F.col("text").rlike("[@0-9]")).withColumn("near", near).select("id", "th", "base", "near").where(F.size("base") > 0), "pii-found")
+    each = each.where(F.col("text").rlike("[@0-9]")).withColumn("base", base_spans(F.col("text"))).where(F.size("base") > 0)
+    blank = sanitised(F.col("text"), F.col("base"), F.lit(" "))
+    each = each.select("id", "th", "base", F.array_distinct(F.transform("base", entity)).alias("entities"), _terms(blank).alias("terms"))
+    found = materialize(each.dropDuplicates(["id", "th"]), "pii-found")
 
     n_docs = docs.count()
-    value = found.select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", "x.terms")
-    holds = value.select("id", "th", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    placed = value.select("id", "th", "entity", F.explode("terms").alias("t")).select("id", "th", "entity", F.col("t.v").alias("term"), "t.s", "t.e")
-    pairs = placed.select("id", "th", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    pairs = materialize(pairs, "pii-pairs")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(col(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
+    value = found.select("terms", F.explode("entities").alias("entity"))
+    holds = materialize(value.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support), "pii-values")
+    # Counted by pair, so a term that all documents hold is no more than one row for each value.
+    pairs = value.join(holds.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
+    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pii-pairs")
+    words = docs.select(F.explode(_terms(col(text_col))).alias("term"))
     # Written before the join: else the filter to candidate terms moves below the count and every word is shuffled.
     held = materialize(words.groupBy("term").agg(F.count("*").alias("n_term")), "pii-terms")
-    pairs = pairs.join(materialize(holds, "pii-values"), "entity").join(held, "term")
+    pairs = pairs.join(holds, "entity").join(held, "term")
     own = F.log2(F.lit(float(max(1, n_docs))) / F.col("n_entity"))
     share = F.when(own > 0, F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity"))) / own).otherwise(0.0)
-    flagged = pairs.select("entity", "term", F.when(share >= remove, 2).when(share >= generalise, 1).alias("level")).where("level is not null")
-    flagged = materialize(flagged, "pii-flagged")
-    marks = placed.join(flagged, ["entity", "term"]).groupBy("id", "th", "s", "e", "term").agg(F.max("level").alias("level"))
-    kind = F.when(F.col("level") == 2, REMOVE).otherwise(GENERALISE)
-    mark = F.struct("s", (F.lit(len(KINDS)) + 2 - F.col("level")).alias("k"), "e", F.col("term").alias("v"), kind.alias("kind"))
-    marks = marks.groupBy(F.col("id").alias("mark_id"), F.col("th").alias("mark_th")).agg(F.collect_list(mark).alias("marks"))
+    level = F.max(F.when(share >= remove, 2).when(share >= generalise, 1))
+    flagged = materialize(pairs.groupBy("term").agg(level.alias("level")).where("level is not null"), "pii-flagged")
+    forms = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.explode(_forms(text)).alias("form")).withColumn("term", F.lower("form"))
+    marks = forms.join(flagged, "term").groupBy("id", "th").agg(F.map_from_entries(F.collect_set(F.struct("form", "level"))).alias("levels"))
+    marks = materialize(marks, "pii-marks")
     none = F.array().cast("array<struct<s:int,k:int,e:int,v:string,kind:string>>")
-    known = found.select(F.col("id").alias("known_id"), F.col("th").alias("known_th"), "base").dropDuplicates(["known_id", "known_th"])
-    known = known.join(marks, F.col("known_id").eqNullSafe(F.col("mark_id")) & (F.col("known_th") == F.col("mark_th")), "left")
-    known = known.select("known_id", "known_th", "base", F.array_sort(F.concat("base", F.coalesce("marks", none))).alias("spans"))
+    known = found.select("id", "th", "base", F.lit(None).cast("map<string,int>").alias("levels")).unionByName(marks, allowMissingColumns=True)
+    known = known.groupBy(F.col("id").alias("known_id"), F.col("th").alias("known_th")).agg(F.any_value("base", True).alias("base"), F.any_value("levels", True).alias("levels"))
     known = materialize(known, "pii-known")
 
     rows = sealed(docs, id=col(id_col), th=F.xxhash64(text), text=text)
     rows = rows.join(known, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")), "left")
-    rows = rows.withColumn("base", F.coalesce("base", none)).withColumn("spans", F.coalesce("spans", none))
+    rows = rows.withColumn("base", F.coalesce("base", none))
+    marked = F.when(F.col("levels").isNotNull(), _marked(F.col("text"), F.col("base"), F.col("levels"))).otherwise(none)
+    rows = rows.withColumn("spans", F.array_sort(F.concat("base", marked)))
     return unsealed(rows, docs.columns, base=F.col("base"), spans=F.col("spans"), sanitised=sanitised(F.col("text"), F.col("spans")))
 
 
-def sanitised(text: Column, found: Column) -> Column:
-    """The text with each span replaced; what overlaps an earlier span is part of its replacement."""
+def sanitised(text: Column, found: Column, by: Column | None = None) -> Column:
+    """The text with each span replaced (by `by`, if given); what overlaps an earlier span is part of its replacement."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        new = F.when(x["kind"] == REMOVE, "[TERM]").when(x["kind"] == GENERALISE, F.concat(F.substring(x["v"], 1, 1), F.lit("…"))).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        new = by if by is not None else F.when(x["kind"] == REMOVE, "[TERM]").when(x["kind"] == GENERALISE, F.concat(F.substring(x["v"], 1, 1), F.lit("…"))).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
         fresh = F.concat(acc["out"], F.array(F.concat(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), new)))
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
 
