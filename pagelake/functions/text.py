@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -130,3 +133,14 @@ def clean_json(text: Column) -> Column:
     end = F.aggregate(pieces, start, step)["end"]
     whole = bare.startswith("{") & bare.endswith("}")
     return F.when(whole | (at == 0) | (end == 0), bare).otherwise(F.substring(tail, F.lit(1), end))
+
+
+def parsed_answer(text: str) -> object:
+    """What the JSON object in a noisy answer holds, by the rule of clean_json; ValueError if it does not parse."""
+    bare = re.sub(r"\s*```$", "", re.sub(r"^```(?:json)?\s*", "", text.strip())).strip()
+    at, depth, end = bare.find("{"), 0, 0
+    if not (bare.startswith("{") and bare.endswith("}")) and at >= 0:
+        for m in re.finditer("[{}]", bare[at:]):
+            depth += 1 if m[0] == "{" else -1
+            end = m.end() if m[0] == "}" and depth == 0 else end
+    return json.loads(bare[at : at + end] if end else bare)

@@ -53,13 +53,17 @@ class Policy:
 
 
 def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse: Callable[[str], object] | None = None, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """One request with its retries: status, text, error and the attempts made as (outcome, level, resolution)."""
-    level, resolution, error, made = policy.level, policy.resolution, "", []
+    """One request with its retries: status, text, error and the attempts made as (outcome, level, resolution).
+
+    An answer whose JSON does not parse at the last attempt is the text of the error.
+    """
+    level, resolution, error, made, raw = policy.level, policy.resolution, "", [], ""
     total = policy.retries + 1 if policy.stage == "detect" else max(1, policy.retries + 1)
     for attempt in range(total):
         try:
             text = ask(prompt, level, resolution)
         except Exception as e:
+            raw = ""
             made.append(("exception", level, resolution))
             error = str(e)
             if policy.stage == "detect" or attempt >= policy.retries:
@@ -68,7 +72,7 @@ def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse
             continue
         if not text:
             made.append(("empty", level, resolution))
-            error = "empty response"
+            error, raw = "empty response", ""
             level = next_level(policy.stage, level)
             if policy.stage == "transcribe" and attempt + 1 == policy.retries and resolution and not resolution.endswith("ultra_high"):
                 resolution = "ultra_high"
@@ -78,11 +82,12 @@ def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse
                 parse(text)
             except ValueError as e:
                 made.append(("bad_json", level, resolution))
+                raw = text
                 error = f"JSON parse: {e}"
                 continue
         made.append(("success", level, resolution))
         return {"status": "success", "text": text.strip(), "error": None, "attempts": made}
-    return {"status": "error", "text": "", "error": error, "attempts": made}
+    return {"status": "error", "text": raw, "error": error, "attempts": made}
 
 
 RESULT = "status string, text string, error string, attempts array<struct<outcome:string,level:string,resolution:string>>"

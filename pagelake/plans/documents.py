@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.config import RunConfig, parse_args
+from pagelake.functions import text
 from pagelake.operators import detection, images, markdown, model
 from pagelake.sources import scans, sinks
 
@@ -31,8 +32,9 @@ def detected(pages: DataFrame, client: Callable, config: RunConfig) -> tuple[Dat
     good = pages.where("error is null")
     request = good.select("page_id", "width", "height", F.lit(model.PROMPTS["detect"].format(max_regions=config.max_regions)).alias("prompt"), "pixels")
     policy = model.Policy("detect", config.detection_thinking, config.detection_media_resolution, config.detection_retries)
-    answers = model.ask_model(request, client, policy, ["page_id", "width", "height"], parse=None)
+    answers = model.ask_model(request, client, policy, ["page_id", "width", "height"], parse=text.parsed_answer)
     parsed = detection.parse_answers(answers.withColumnRenamed("text", "response"))
+    parsed = parsed.withColumn("data", F.when(F.col("error").isNull(), F.col("data")))
     failed = parsed.select("page_id", F.coalesce("error", F.when(F.col("data").isNull(), "JSON parse")).alias("error"), F.col("response").alias("detail")).where("error is not null")
     raw = detection.fields(detection.unnest_regions(parsed, ["page_id", "width", "height"]), ["page_id", "width", "height"])
     raw = raw.withColumn("box", detection.R.normal_box(F.col("bbox"))).withColumn("img_w", F.col("width")).withColumn("img_h", F.col("height"))
