@@ -4,14 +4,14 @@ Symbols start as characters. An agenda holds each adjacent pair whose union is a
 equals; the best pair is merged and the pairs with its new neighbours join the agenda, until it is empty. Symbols that
 are no piece fall back to their bytes. No piece goes on behind a space mark, so a text is encoded word by word, and a
 word's encoding is kept for its next occurrence. Every new word of an Arrow batch is checked against the sentencepiece
-library, and so is one whole text of each batch.
+library, and so is one whole text of each batch. A word's ids are decoded once; a text whose words all come back as they
+were is its own decoded form.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pagelake.llm.common import col, sealed, unsealed
 
 MARK = "▁"
-KEPT = 300_000
+KEPT, PORTION = 400_000, 2_000_000
 SHORT = 24
 STRANGE, NEVER = 0xFFFF, 1 << 62
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -54,58 +54,79 @@ class PieceEncoder:
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("the vocabulary has a piece that goes on behind a space mark")
         self.bos, self.eos, self.unknown = lib.bos_id(), lib.eos_id(), lib.unk_id()
-        self.memo: dict[str, tuple[bytes, str]] = {}
+        # Words whose ids are known, those known before, and the decoded form of words that do not come back as they are.
+        self.memo: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
+        self.length = np.array([len(p) for p in self.plain], np.int64)
+        self.simple = np.array([i not in self.byte_of and i not in self.silent and i != lib.unk_id() for i in range(n)])
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word whose spaces are marks."""
-        return self.merge_many([word])[0]
+        return self.merged([word])[0].tolist()
 
-    def merge_many(self, words: list[str]) -> list[list[int]]:
-        """The ids of many words. Words of one length share an agenda: a row for each word, an entry for each adjacent pair.
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many words in a row, and how many each has. Words of one length share an agenda: a row for each word,
+        an entry for each adjacent pair.
 
         An entry is the rank of the union's score and the union's id in one number; in every row the least and leftmost
         is merged, and its neighbours are looked up anew, until a row has none. Long words and runs of marks (whose pieces
         share one score) go one by one.
         """
-        out: list[list[int] | None] = [None] * len(words)
-        sizes = np.array([len(w) for w in words], np.int64)
-        for n in np.unique(sizes).tolist():
-            rows = np.flatnonzero(sizes == n)
-            if n > SHORT or not len(self.keys):
-                for r in rows.tolist():
-                    out[r] = self.merge_long(words[r])
-                continue
-            letters, at = np.unique(np.frombuffer("".join([words[r] for r in rows]).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
-            ids = np.array([self.letters.get(chr(c), STRANGE) for c in letters.tolist()], np.int64)[at].reshape(len(rows), n)
-            mark = self.letters.get(MARK, STRANGE)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        single = sizes > SHORT if len(self.keys) else np.ones(len(words), bool)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters, place = np.unique(codes, return_inverse=True)
+        known, top = [self.letters.get(chr(c), -1) for c in letters.tolist()], len(self.pieces)
+        strange = [c for c, i in zip(letters.tolist(), known, strict=True) if i < 0]  # no pieces: numbered behind the pieces, and merge with nothing
+        number = iter(range(top, top + len(strange)))
+        ids_of = np.array([i if i >= 0 else next(number) for i in known], np.int64)[place]
+        begins, mark = np.cumsum(sizes) - sizes, self.letters.get(MARK, STRANGE)
+        if top + len(strange) > STRANGE:
+            single[:] = True
+        for n in np.unique(sizes[~single]).tolist():
+            rows = np.flatnonzero(~single & (sizes == n))
+            ids = ids_of[begins[rows][:, None] + np.arange(n)]
             odd = ((ids[:, 1:] == mark) & (ids[:, :-1] == mark)).any(axis=1)
-            for r in rows[odd].tolist():
-                out[r] = self.merge_long(words[r])
+            single[rows[odd]] = True
             rows, ids = rows[~odd], ids[~odd]
             agenda = self._find(ids[:, :-1], ids[:, 1:])
             while len(rows):
                 best = agenda.min(axis=1) if agenda.shape[1] else np.full(len(rows), NEVER)
                 over = best == NEVER
-                for r, own in zip(rows[over].tolist(), ids[over].tolist(), strict=True):
-                    if STRANGE in own:  # letters that are no pieces merge with nothing and keep their order
-                        strange = iter([c for c in words[r] if c not in self.letters])
-                        own = [k for i in own for k in ([i] if i != STRANGE else self._ids([next(strange)]))]
-                    out[r] = own
-                rows, ids, agenda, best = rows[~over], ids[~over], agenda[~over], best[~over]
-                if not len(rows):
-                    break
+                if over.any():
+                    done.append((rows[over], ids[over]))
+                    rows, ids, agenda, best = rows[~over], ids[~over], agenda[~over], best[~over]
+                    if not len(rows):
+                        break
                 m, row = ids.shape[1], np.arange(len(rows))
                 i = agenda.argmin(axis=1)
                 new = best & 0xFFFF
                 ids[row, i] = new
-                place = np.arange(m - 1)
-                ids = np.take_along_axis(ids, place + (place > i[:, None]), 1)
-                place = np.arange(m - 2)
-                agenda = np.take_along_axis(agenda, place + (place >= i[:, None]), 1)
+                ids = ids[np.arange(m) != i[:, None] + 1].reshape(len(rows), m - 1)
+                agenda = agenda[np.arange(m - 1) != i[:, None]].reshape(len(rows), m - 2)
                 left, right = np.flatnonzero(i > 0), np.flatnonzero(i < m - 2)
                 agenda[left, i[left] - 1] = self._find(ids[left, i[left] - 1], new[left])
                 agenda[right, i[right]] = self._find(new[right], ids[right, i[right] + 1])
-        return out
+        done += [(np.array([r]), np.array([self.merge_long(words[r])], np.int64)) for r in np.flatnonzero(single).tolist()]
+        counts = np.zeros(len(words), np.int64)
+        for rows, ids in done:
+            counts[rows] = ids.shape[1]
+        begins, flat = np.cumsum(counts) - counts, np.zeros(counts.sum(), np.int64)
+        for rows, ids in done:
+            flat[begins[rows][:, None] + np.arange(ids.shape[1])] = ids
+        odd = np.flatnonzero(flat >= top)
+        if len(odd):
+            instead = [self._ids([chr(c)]) for c in strange]
+            lengths = np.ones(len(flat), np.int64)
+            lengths[odd] = np.array([len(x) for x in instead])[flat[odd] - top]
+            owner = np.repeat(np.arange(len(words)), counts)
+            counts = np.bincount(owner, lengths, len(words)).astype(np.int64)
+            wide = np.repeat(flat, lengths)
+            wide[np.repeat(flat >= top, lengths)] = [k for i in flat[odd].tolist() for k in instead[i - top]]
+            flat = wide
+        return flat.astype(np.uint32), counts
 
     def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = (a << 16) | b
@@ -179,17 +200,38 @@ class PieceEncoder:
         return "".join(out)
 
     def _learn(self, fresh: list[str]) -> None:
-        ids = self.merge_many(fresh)
+        flat, counts = self.merged(fresh)
+        ends = np.cumsum(counts)
+        begins = ends - counts
         if self.check:
-            mine = [(w, i) for w, i in zip(fresh, ids, strict=True) if len(w) > 1 and w[0] == MARK]
-            library = self.library.encode([w[1:].replace(MARK, " ") for w, _ in mine], num_threads=1)
-            for (w, i), other in zip(mine, library, strict=True):
-                if i != other:
-                    raise AssertionError(f"encoding differs from the library's for {w!r}: {i}, {other}")
-        plain, bytewise, memo = self.plain, self.byte_of.keys(), self.memo
-        for w, i in zip(fresh, ids, strict=True):
-            text = "".join([plain[k] for k in i]) if bytewise.isdisjoint(i) else "".join(self._plain(i))
-            memo[w] = (array("I", i).tobytes(), text)
+            self._compare(fresh, flat, begins, ends)
+        raw = flat.astype("<u4").tobytes()
+        self.memo.update(zip(fresh, [raw[a:b] for a, b in zip((begins * 4).tolist(), (ends * 4).tolist(), strict=True)], strict=True))
+        # Words of plain pieces are decoded together: equal texts and equal lengths word by word make equal words.
+        plain = np.ones(len(fresh), bool)
+        plain[np.repeat(np.arange(len(fresh)), counts)[~self.simple[flat]]] = False
+        lengths = np.bincount(np.repeat(np.arange(len(fresh)), counts), self.length[flat], len(fresh))
+        plain &= lengths == np.fromiter(map(len, fresh), np.int64, len(fresh))
+        same = [w for w, p in zip(fresh, plain.tolist(), strict=True) if p]
+        if "".join([self.plain[i] for i in flat[np.repeat(plain, counts)].tolist()]) != "".join(same).replace(MARK, " "):
+            plain[:] = False
+        for k in np.flatnonzero(~plain).tolist():
+            decoded = "".join(self._plain(flat[begins[k] : ends[k]].tolist()))
+            if decoded != fresh[k].replace(MARK, " "):
+                self.odd[fresh[k]] = decoded
+
+    def _compare(self, words: list[str], flat: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        """Hold the ids of every word against the library's: a thousand words in a row, as no piece goes over a space."""
+        rows = [k for k, w in enumerate(words) if w[-1] != MARK]
+        parts = [rows[i : i + 1000] for i in range(0, len(rows), 1000)] + [[k] for k, w in enumerate(words) if w[-1] == MARK and len(w) > 1]
+        texts = ["".join([words[k] for k in part]).replace(MARK, " ")[1:] for part in parts]
+        for part, other in zip(parts, self.library.encode(texts, num_threads=1), strict=True):
+            mine = np.concatenate([flat[begins[k] : ends[k]] for k in part]) if len(part) > 1 and part[-1] - part[0] >= len(part) else flat[begins[part[0]] : ends[part[-1]]]
+            if not np.array_equal(mine, np.array(other, np.uint32)):
+                for k in part:
+                    if flat[begins[k] : ends[k]].tolist() != self.library.encode(words[k][1:].replace(MARK, " ")):
+                        raise AssertionError(f"encoding differs from the library's for a word of {len(words[k])} characters: {words[k][:60]!r}")
+                raise AssertionError(f"encoding differs from the library's for {len(part)} words in a row")
 
     def _plain(self, ids: list[int]) -> list[str]:
         """A word's decoded parts, its first blank kept; the byte pieces of one word make up whole characters."""
@@ -204,24 +246,38 @@ class PieceEncoder:
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """For each text its ids with begin and end, as little-endian unsigned 32-bit numbers, and the decoded text."""
-        begin, end = array("I", [self.bos]).tobytes(), array("I", [self.eos]).tobytes()
-        ids, decoded, know = [], [], self.memo
-        for at in range(0, len(texts), 128):
-            split = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[at : at + 128]]
+        begin, end = np.array([self.bos], "<u4").tobytes(), np.array([self.eos], "<u4").tobytes()
+        ids: list[bytes] = []
+        decoded: list[str] = []
+        at = 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and size < PORTION:
+                t = texts[at]
+                split.append(_WORD.findall(MARK + t.replace(" ", MARK)) if t else [])
+                size += len(t)
+                at += 1
+            if len(self.memo) > KEPT:  # what has not been met since the last time is forgotten
+                self.past, self.memo = self.memo, {}
+                self.odd = {w: x for w, x in self.odd.items() if w in self.past}
+            know, past = self.memo, self.past
             fresh = set().union(*split) - know.keys()
-            if len(know) + len(fresh) > KEPT:
-                know.clear()
-                fresh = set().union(*split)
-            self._learn(list(fresh))
-            for words in split:
-                parts = [know[w] for w in words]
-                ids.append(begin + b"".join([p[0] for p in parts]) + end)
-                decoded.append("".join([p[1] for p in parts])[1:])
+            met = fresh & past.keys()
+            know.update({w: past[w] for w in met})
+            if fresh := list(fresh - met):
+                self._learn(fresh)
+            odd = self.odd
+            for t, words in zip(texts[at - len(split) : at], split, strict=True):
+                ids.append(b"".join([begin, *map(know.__getitem__, words), end]))
+                if odd and not odd.keys().isdisjoint(words):
+                    decoded.append("".join([odd[w] if w in odd else w.replace(MARK, " ") for w in words])[1:])
+                else:
+                    decoded.append(t.replace(MARK, " "))
         if self.check and texts:
             whole = min(range(len(texts)), key=lambda i: abs(len(texts[i]) - 1000))
             other = self.library.encode(texts[whole], add_bos=True, add_eos=True)
-            if array("I", other).tobytes() != ids[whole] or self.library.decode(other) != decoded[whole]:
-                raise AssertionError(f"encoding differs from the library's for {texts[whole]!r}")
+            if np.array(other, "<u4").tobytes() != ids[whole] or self.library.decode(other) != decoded[whole]:
+                raise AssertionError(f"encoding differs from the library's for a text of {len(texts[whole])} characters: {texts[whole][:60]!r}")
         return ids, decoded
 
 
