@@ -1,17 +1,14 @@
 """Line dedup with two Bloom filters.
 
-Pass one sets, for every line key, bits of a once-seen filter and, if they were all set before, of a twice-seen one.
-Tasks send filter segments, not lines; a reduce step merges the segments of one number: a bit that two tasks both set
-once counts as seen twice. Pass two tests every line against the merged twice-seen filter, so only suspected repeats
-are shuffled, with their whole keys, for the exact confirmation and the choice of the first document. A false suspect
-costs a row and changes nothing. The filter is sized from the number of lines; where that passes filter_mb, the hash
-space is done in several rounds of that size each, so that memory and broadcasts stay bounded at any scale.
+Chunks of documents send the hashes of their line keys to segments of the hash space. A segment's task adds them to a
+once-seen filter and, if they were seen before, to a twice-seen one, and answers each chunk with what the second holds. So
+only suspected repeats are shuffled with their whole keys, for the exact confirmation and the choice of the first document.
+A false suspect costs a row and changes nothing. A segment's filters are sized from its own hashes and live in one task; no
+filter is collected or broadcast, and the text is read once whatever the number of lines.
 """
 
 from __future__ import annotations
 
-import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.llm.chunks import Keys, expanded, judged_chunks, pressed, shape_for
 from pagelake.llm.common import col, materialize, sealed, unsealed
 
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_KEY = 10
-SEGMENT_BITS = 1 << 19
 BITS_PER_KEY = 12
-ROWS = 1024
 
 
 def line_keys(text: str | None) -> list[bytes]:
@@ -38,155 +34,72 @@ def counted(key: bytes, least: int = MIN_KEY) -> bool:
     return len(key) >= 4 * least or len(key) >= least and len(key.decode("utf-8", "surrogatepass")) >= least
 
 
-def _bits(h: np.ndarray) -> np.ndarray:
-    """Three bit numbers inside a segment for each hash; the segment is taken from other bits of it."""
-    return np.stack([h & np.uint64(SEGMENT_BITS - 1), (h >> np.uint64(19)) & np.uint64(SEGMENT_BITS - 1), ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(45))]).astype(np.int64)
+def seen_twice(lists: list[Keys]) -> list[np.ndarray]:
+    """For the lists of one segment: 1 for each hash that two rows may hold, by a once-seen and a twice-seen Bloom filter.
 
+    A hash that is new sets its bits of the first filter; one whose bits were all set before, or that several rows of one
+    list hold, sets those of the second. No hash that two rows hold is missed.
+    """
+    bits = 1 << max(10, (BITS_PER_KEY * sum(len(x.q) for x in lists)).bit_length())
+    once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
 
-class Filters:
-    """Once-seen and twice-seen bits of the segments that a task has touched."""
-
-    def __init__(self, segments: int, rounds: int, turn: int):
-        self.segments, self.rounds, self.turn, self.once, self.twice = segments, rounds, turn, {}, {}
-
-    def segment(self, h: np.ndarray) -> np.ndarray:
-        return ((h >> np.uint64(38)) % np.uint64(self.segments * self.rounds)).astype(np.int64) - self.turn * self.segments
-
-    def parts_of(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Each segment of this round that h touches, with the places in h."""
-        seg = self.segment(h)
-        order = np.argsort(seg, kind="stable")
-        order = order[(seg[order] >= 0) & (seg[order] < self.segments)]
-        for own in np.split(order, np.flatnonzero(np.diff(seg[order])) + 1):
-            if len(own):
-                yield int(seg[own[0]]), own
-
-    def add(self, h: np.ndarray) -> None:
-        """h: hashes with one entry for each document that holds the key."""
-        h, n = np.unique(h, return_counts=True)
-        for s, own in self.parts_of(h):
-            b, again = _bits(h[own]), n[own] > 1
-            if s not in self.once:
-                self.once[s], self.twice[s] = np.zeros(SEGMENT_BITS // 8, np.uint8), np.zeros(SEGMENT_BITS // 8, np.uint8)
-            at, mask = b >> 3, np.left_shift(1, b & 7).astype(np.uint8)
-            again |= ((self.once[s][at] & mask) > 0).all(axis=0)
-            np.bitwise_or.at(self.once[s], at.ravel(), mask.ravel())
-            np.bitwise_or.at(self.twice[s], at[:, again].ravel(), mask[:, again].ravel())
-
-
-class Twice:
-    """The merged twice-seen filter of one round."""
-
-    def __init__(self, segments: int, rounds: int, turn: int, parts: dict[int, np.ndarray]):
-        self.shape, self.parts = Filters(segments, rounds, turn), parts
-
-    def suspects(self, h: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(h), bool)
-        for s, own in self.shape.parts_of(h):
-            if (part := self.parts.get(s)) is not None:
-                b = _bits(h[own])
-                found[own] = ((part[b >> 3] & np.left_shift(1, b & 7).astype(np.uint8)) > 0).all(axis=0)
-        return found
+    def places(q: np.ndarray) -> np.ndarray:
+        h = (q ^ (q >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+        g = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        low = np.uint64(64 - (bits.bit_length() - 1))
+        return np.stack([h >> low, g >> low, (h + g) >> low]).astype(np.int64)
 
+    for x in lists:
+        at = places(x.q)
+        again = once[at].all(axis=0) | x.many
+        once[at] = True
+        twice[at[:, again]] = True
+    return [twice[places(x.q)].all(axis=0).astype(np.uint8) for x in lists]
 
-def twice_seen(hashes_of, frame: DataFrame, n_keys: int, filter_mb: int, bits_per_key: int = BITS_PER_KEY) -> Iterator[tuple[tuple, object]]:
-    """For each round, the shape and the broadcast parts of the filter of hashes that two rows of frame may share.
 
-    hashes_of(batch) gives one array with each row's distinct hashes. At most filter_mb reach the driver at once.
-    """
-    spark = frame.sparkSession
-    total = max(1, -(-n_keys * bits_per_key // SEGMENT_BITS))
-    most = max(1, filter_mb * 8 * (1 << 20) // SEGMENT_BITS)
-    rounds = -(-total // most)
-    segments = -(-total // rounds)
-
-    for turn in range(rounds):
-
-        def build(batches, turn=turn):
-            own = Filters(segments, rounds, turn)
-            for batch in batches:
-                for i in range(0, batch.num_rows, ROWS):
-                    own.add(hashes_of(batch.slice(i, ROWS)))
-            for s in own.once:
-                yield pa.RecordBatch.from_arrays([pa.array([int(s)], pa.int64()), pa.array([zlib.compress(own.once[s].tobytes(), 1)], pa.binary()), pa.array([zlib.compress(own.twice[s].tobytes(), 1)], pa.binary())], ["seg", "once", "twice"])
-
-        def merge(batches):
-            once, twice = {}, {}
-            for batch in batches:
-                for s, o, t in zip(batch["seg"].to_pylist(), batch["once"].to_pylist(), batch["twice"].to_pylist(), strict=True):
-                    o, t = np.frombuffer(zlib.decompress(o), np.uint8), np.frombuffer(zlib.decompress(t), np.uint8)
-                    if s in once:
-                        twice[s] |= t | (once[s] & o)
-                        once[s] |= o
-                    else:
-                        once[s], twice[s] = o.copy(), t.copy()
-            for s, t in twice.items():
-                if t.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([zlib.compress(t.tobytes(), 1)], pa.binary())], ["seg", "twice"])
-
-        parts = frame.mapInArrow(build, "seg long, once binary, twice binary").repartition("seg").mapInArrow(merge, "seg long, twice binary").collect()
-        shared = spark.sparkContext.broadcast({r.seg: bytes(r.twice) for r in parts})
-        yield (uuid.uuid4().hex, segments, rounds, turn), shared
-
-
-_OPEN: dict = {}
-
-
-def opened(shape: tuple[str, int, int, int], shared) -> Twice:
-    """The broadcast filter, unpacked once in each Python worker; shape begins with the filter's own name."""
-    if shape[0] not in _OPEN:
-        _OPEN.clear()
-        _OPEN[shape[0]] = Twice(*shape[1:], {s: np.frombuffer(zlib.decompress(x), np.uint8) for s, x in shared.value.items()})
-    return _OPEN[shape[0]]
-
-
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_keys: int = 1 << 20) -> DataFrame:
     """docs with every line removed whose key a smaller id holds too; n_lines (before) and n_dropped follow.
 
     Keys of at least ten code points that two or more ids hold lose all lines except in the smallest id. A null or empty
     text is one empty line. Rows with one id are one document. Rows with a null id stay whole and count as no document.
     Very long lines and texts are handled whole. An empty table gives an empty table. A column named n_lines or
-    n_dropped in the input gives way to the operator's.
+    n_dropped in the input gives way to the operator's. segment_keys is about how many hashes one task filters at a time.
     """
     columns = docs.columns
     keyed = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
-    seen = keyed.where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    n_lines = seen.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-
-    def hashes_of(batch):
-        out = []
-        for text in batch["text"].to_pylist():
-            out.extend({xxhash.xxh3_64_intdigest(k) for k in line_keys(text) if counted(k)})
-        return np.array(out, np.uint64)
-
-    found = None
-    # The filter counts rows: rows that share an id can only add suspects.
-    for shape, shared in twice_seen(hashes_of, seen.select("text"), n_lines, filter_mb):
-
-        def suspects(batches, shape=shape, shared=shared):
-            twice = opened(shape, shared)
-            for batch in batches:
-                ids, keys = [], []
-                for i, text in zip(batch["id"], batch["text"].to_pylist(), strict=True):
-                    own = list({k for k in line_keys(text) if counted(k)})
-                    keys += own
-                    ids += [i] * len(own)
-                pick = np.flatnonzero(twice.suspects(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64))) if keys else []
-                picked = [keys[i] for i in pick]
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i].as_py() for i in pick], batch["id"].type), pa.array([xxhash.xxh3_128_digest(k) for k in picked], pa.binary()), pa.array(picked, pa.binary())], ["id", "h", "key"])
-
-        kind = keyed.schema["id"].dataType.simpleString()
-        part = seen.mapInArrow(suspects, f"id {kind}, h binary, key binary")
-        found = part if found is None else found.unionByName(part)
+    seen = keyed.where(F.col("id").isNotNull() & (F.octet_length("text") >= MIN_KEY))
+    n_bytes = seen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    # Hashes are of rows: rows that share an id can only add suspects.
+    def keys_of(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        each = [[xxhash.xxh3_64_intdigest(k) for k in {k for k in line_keys(t) if counted(k)}] for t in chunk["text"].to_pylist()]
+        return np.array([h for own in each for h in own], np.uint64), np.repeat(np.arange(len(each)), [len(own) for own in each])
+
+    kind = keyed.schema["id"].dataType.simpleString()
+    shape = shape_for(docs, n_bytes // 100 + 1, segment_keys)
+
+    def suspects(chunk: pa.Table, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, row = [], []
+        for i, text in enumerate(chunk["text"].to_pylist()):
+            own = {k for k in line_keys(text) if counted(k)}
+            keys += own
+            row += [i] * len(own)
+        q = shape.cut(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64))
+        pick = np.flatnonzero(codes[np.unique(q, return_inverse=True)[1]]) if keys else np.zeros(0, np.int64)
+        picked, ids = [keys[i] for i in pick.tolist()], chunk["id"].combine_chunks()
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.array(row, np.int64)[pick])), pa.array([xxhash.xxh3_128_digest(k) for k in picked], pa.binary()), pa.array(picked, pa.binary())], ["id", "h", "key"])
+
+    found = judged_chunks(seen, keys_of, seen_twice, shape, suspects, f"id {kind}, h binary, key binary", "line")
     found = materialize(found, "line-suspects")
     first = found.groupBy("h", "key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("first") < F.col("last")).select("h", "key", "first")
     first = materialize(first, "line-first")
     late = found.join(first, ["h", "key"]).where(F.col("id") > F.col("first")).groupBy("id").agg(F.collect_set("h").alias("late"))
 
     @F.arrow_udf("struct<text string, n_lines bigint, n_dropped bigint>")
-    def without(text: pa.Array, late: pa.Array) -> pa.Array:
+    def without(small: pa.Array, late: pa.Array) -> pa.Array:
         kept, before, dropped = [], [], []
-        for t, hs in zip(text.to_pylist(), late.to_pylist(), strict=True):
+        for part, hs in zip(small, late.to_pylist(), strict=True):
+            t = None if (data := expanded(part)) is None else data.decode("utf-8", "surrogatepass")
             lines = (t or "").split("\n")
             stay = lines
             if hs:
@@ -197,5 +110,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             dropped.append(len(lines) - len(stay))
         return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(dropped, pa.int64())], ["text", "n_lines", "n_dropped"])
 
-    rows = sealed(docs, id=col(id_col), text=col(text_col)).join(late, "id", "left").withColumn("out", without("text", "late"))
+    rows = sealed(docs, id=col(id_col), pressed=pressed(col(text_col))).join(late, "id", "left").withColumn("out", without("pressed", "late"))
     return unsealed(rows, columns, **{text_col: F.col("out.text"), "n_lines": F.col("out.n_lines"), "n_dropped": F.col("out.n_dropped")})

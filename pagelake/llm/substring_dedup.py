@@ -1,14 +1,15 @@
-"""Exact removal of repeated 50-byte strings, by buckets of a sampled suffix order.
-
-A cover sample gives any two equal 50-byte strings the same representative: of a string's 31 grams of 20 bytes the one
-with the least hash. Neighbouring starts mostly share it, so a text is a list of blocks: a gram, a first start and the
-number of starts that belong to it. Strings are compared only inside the bucket of one gram, one run of buckets at a
-time, with bounded memory; ties beyond the gram are resolved by the precomputed hashes of the whole strings. (An
-arithmetic difference cover would serve as well, but ships three times as many positions.)
-
-Blocks whose gram occurs in one document only are dropped early by two Bloom filters. Equal texts are one text: the later ones
-go whole. Buckets that hold more than their share of all blocks are not gathered: there, equal blocks and then equal
-strings meet in a minimum with map-side combination.
+"""Exact removal of repeated 50-byte strings, by buckets of suffixes that are sorted one at a time.
+
+The cover: any two equal 50-byte strings have the same representative, of a string's 31 grams of 20 bytes the one with the
+least hash. (It is chosen by content, as a synchronizing set, which serves like a difference cover; README says what an
+arithmetic cover would ship.) Neighbouring starts mostly share their representative, so a text is a list of blocks: a gram,
+a first start and the number of starts that belong to it. Grams that only one document holds are found by segments of
+their hashes (chunks.py), and their blocks go no further.
+
+A bucket holds the suffixes that share a representative. Where that would be more than `bucket` blocks, a bucket is of the
+suffixes that share all 50 bytes, and of equal ones a chunk of documents sends those of its least id only. A task sorts one
+run of buckets after the other, by the bytes of the suffixes; equal ones lie side by side, and all but those of the least
+id are marked. Hashes deal out, they decide nothing: suffixes are equal if their bytes are.
 """
 
 from __future__ import annotations
@@ -17,16 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.llm.chunks import Keys, expanded, judged_chunks, pressed, shape_for
 from pagelake.llm.common import col, materialize, sealed, unsealed
-from pagelake.llm.line_dedup import opened, twice_seen
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
 CHUNK = 20_000
+ONCE, SHARED, CROWDED = 0, 1, 2
 _U = np.uint64
 _TABLE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _B = _U(0x9E3779B97F4A7C15)
@@ -82,14 +83,37 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def _strings(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For blocks' bytes: the hash of every 50-byte string in them, its block and its offset there."""
-    sizes = np.array([len(x) for x in parts], np.int64)
-    h = rolling(np.frombuffer(b"".join(parts), np.uint8), LENGTH)
+def starts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For blocks of these sizes, laid end to end: the block and the offset in it of every 50-byte string."""
     counts = sizes - LENGTH + 1
-    of = np.repeat(np.arange(len(parts)), counts)
-    offset = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return h[np.repeat(np.cumsum(sizes) - sizes, counts) + offset], of, offset
+    of = np.repeat(np.arange(len(sizes)), counts)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def sorted_suffixes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the 50-byte strings of data that start at these places, and where in it a string differs from the last."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(_U)
+    words = np.zeros(len(data) + 1, _U)
+    for k in range(8):
+        words |= padded[k : k + len(words)] << _U(56 - 8 * k)
+    keys = [words[at + k] for k in (*range(0, LENGTH - 8, 8), LENGTH - 8)]
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(at), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    return order, new
+
+
+def late(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which of the strings at these places also start in a document with a smaller id."""
+    order, new = sorted_suffixes(data, at)
+    own, group = doc[order], np.cumsum(new) - 1
+    least = np.minimum.reduceat(own, np.flatnonzero(new)) if len(own) else own
+    out = np.zeros(len(at), bool)
+    out[order] = own > least[group]
+    return out
 
 
 def _masks(of: np.ndarray, offset: np.ndarray, n: int) -> np.ndarray:
@@ -97,139 +121,134 @@ def _masks(of: np.ndarray, offset: np.ndarray, n: int) -> np.ndarray:
 
 
 def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, id, th, start, part) in order of gram: those with strings that a smaller id holds, as a bit mask of starts."""
-
-    def done(table: pa.Table) -> pa.RecordBatch:
-        h, of, offset = _strings(table["part"].to_pylist())
-        gram, doc = table["gram"].to_numpy().view(_U), table["id"].to_numpy()
-        key = h ^ (gram[of] * _B)
-        order = np.lexsort((doc[of], key))
-        key, first = key[order], doc[of[order]]
-        head = np.concatenate([[True], key[1:] != key[:-1]])
-        first = first[np.flatnonzero(head)[np.cumsum(head) - 1]]
-        late = order[doc[of[order]] > first]
-        mask = _masks(of[late], offset[late], len(doc))
-        keep = pa.array(np.flatnonzero(mask))
-        table = table.append_column("mask", pa.array(mask)).select(["id", "th", "start", "mask"]).take(keep).combine_chunks()
-        return table.to_batches()[0] if table.num_rows else pa.RecordBatch.from_arrays([pa.array([], f.type) for f in table.schema], schema=table.schema)
+    """Rows (bucket, id, th, start, part, mask) in order of bucket: those with strings that a smaller id holds, as a bit
+    mask of starts. Rows that have a mask already pass."""
+    fields = ["id", "th", "start", "mask"]
+
+    def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        parts = table["part"].to_pylist()
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        of, offset = starts_of(sizes)
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        gone = np.flatnonzero(late(data, (np.cumsum(sizes) - sizes)[of] + offset, table["id"].to_numpy()[of]))
+        mask = _masks(of[gone], offset[gone], len(sizes))
+        keep = np.flatnonzero(mask)
+        yield from table.set_column(table.schema.get_field_index("mask"), "mask", pa.array(mask)).select(fields).take(pa.array(keep)).to_batches()
 
     held: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
+        if batch["mask"].null_count < batch.num_rows:
+            yield batch.filter(batch["mask"].is_valid()).select(fields)
+            batch = batch.filter(batch["mask"].is_null())
+        if not batch.num_rows:
+            continue
         held.append(batch)
         rows += batch.num_rows
         if rows >= CHUNK:
             table = pa.Table.from_batches(held)
-            gram = table["gram"].to_numpy()
-            cut = int(np.flatnonzero(gram != gram[-1])[-1]) + 1 if gram[0] != gram[-1] else 0
+            bucket = table["bucket"].to_numpy()
+            cut = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1 if bucket[0] != bucket[-1] else 0
             if cut:
-                yield done(table.slice(0, cut))
+                yield from done(table.slice(0, cut))
                 held = table.slice(cut).to_batches()
                 rows = table.num_rows - cut
     if rows:
-        yield done(pa.Table.from_batches(held))
+        yield from done(pa.Table.from_batches(held))
+
 
+def judged(most: int):
+    """For the gram lists of one segment: which grams one row holds (ONCE), several (SHARED), and which make over `most` blocks."""
 
-def _hot(rows: DataFrame) -> DataFrame:
-    """(id, th, start, mask) of blocks in hot buckets: equal blocks, then equal strings, meet in a minimum by key."""
-    rows = materialize(rows.withColumn("block", F.xxhash64("gram", "part")), "substring-hot")
-    first = materialize(rows.groupBy("gram", "block").agg(F.min("id").alias("first")), "substring-hot-first")
-    rows = rows.join(first, ["gram", "block"])
-    every = (F.call_function("shiftleft", F.lit(1).cast("long"), F.length("part") - (LENGTH - 1)) - 1).alias("mask")
-    late = rows.where("id > first").select("id", "th", "start", every)
-    kept = materialize(rows.where("id = first").select("id", "th", "start", "gram", "part"), "substring-hot-kept")
+    def judge(lists: list[Keys]) -> list[np.ndarray]:
+        q = np.concatenate([x.q for x in lists])
+        order = np.argsort(q, kind="stable")
+        head = np.concatenate([[True], q[order][1:] != q[order][:-1]])
+        group, first = np.cumsum(head) - 1, np.flatnonzero(head)
+        blocks = np.add.reduceat(np.concatenate([x.n for x in lists]).astype(np.int64)[order], first)
+        many = np.logical_or.reduceat(np.concatenate([x.many for x in lists])[order], first) | (np.diff(np.append(first, len(q))) > 1)
+        codes = np.zeros(len(q), np.uint8)
+        codes[order] = np.where(many, np.where(blocks > most, CROWDED, SHARED), ONCE)[group]
+        return np.split(codes, np.cumsum([len(x.q) for x in lists])[:-1])
 
-    def strings(batches):
-        for batch in batches:
-            h, of, offset = _strings(batch["part"].to_pylist())
-            take = pa.array(of)
-            yield pa.RecordBatch.from_arrays([batch[c].take(take) for c in ("id", "th", "start", "gram")] + [pa.array(h.view(np.int64)), pa.array(offset.astype(np.int32))], ["id", "th", "start", "gram", "h", "at"])
+    return judge
 
-    each = materialize(kept.mapInArrow(strings, "id long, th int, start int, gram long, h long, at int"), "substring-hot-strings")
-    least = materialize(each.groupBy("gram", "h").agg(F.min("id").alias("first")), "substring-hot-least")
-    more = each.join(least, ["gram", "h"]).where("id > first").groupBy("id", "th", "start").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("mask"))
-    return late.unionByName(more)
 
+def _laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Gram, row, start and number of starts of every block of some texts."""
+    each = [blocks(t) for t in texts]
+    gram, start, count = (np.concatenate([x[k] for x in each] or [np.zeros(0, np.int64)]) for k in range(3))
+    return gram, np.repeat(np.arange(len(each)), [len(x[0]) for x in each]), start, count
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64, hot_blocks: int = 1000) -> DataFrame:
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int | None = None, segment_keys: int = 1 << 21) -> DataFrame:
     """docs with kept (binary: the UTF-8 bytes that stay), n_bytes, n_removed and n_spans (removed runs).
 
     A byte goes if a 50-byte string that covers it also starts in a document with a smaller id; strings are judged on the
     input and never cross documents. A null text is empty; under 50 bytes nothing goes. Ids are integers. Rows that share
     an id never remove each other's bytes; a row with a null id stays whole and counts as no document. Very long and
     periodic texts are handled whole. An empty table gives an empty table. Columns named like outputs give way to them.
+    bucket is the number of blocks above which a bucket is split by whole strings (by default one in 8,000 of all blocks,
+    1,000 at least and 50,000 at most, which a task holds with ease); segment_keys is about how many grams one task judges
+    at a time. Neither changes a result.
     """
-    keyed = docs.select(col(id_col).cast("long").alias("id"), F.hash(col(text_col)).alias("th"), col(text_col).alias("text")).where(F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
+    text = col(text_col)
+    keyed = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).where(F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH))
     digest = keyed.select("id", "th", F.sha2("text", 256).alias("sha"))
     first = digest.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = materialize(digest.join(materialize(first.select("sha", "first"), "substring-equal"), "sha").where("id > first").select("id", "th").distinct(), "substring-copies")
     own = keyed.join(copies.select("id", "th"), ["id", "th"], "left_anti").select("id", "th", "text")
-    n_blocks = (own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 15
-
-    def grams(batch) -> np.ndarray:
-        found = [np.unique(blocks(_bytes(t))[0]) for t in batch["text"].to_pylist()]
-        return np.concatenate(found) if found else np.zeros(0, _U)
-
-    marks = None
-    for shape, shared in twice_seen(grams, own.select("text"), n_blocks, filter_mb, bits_per_key=8):
-
-        def suspects(batches, with_bytes: bool, hot: np.ndarray, shape=shape, shared=shared):
-            twice = opened(shape, shared)
-            for batch in batches:
-                for i in range(0, batch.num_rows, 512):
-                    ids, ths, texts = (batch[c].slice(i, 512) for c in ("id", "th", "text"))
-                    data = [_bytes(t) for t in texts.to_pylist()]
-                    each = [blocks(d) for d in data]
-                    of = np.repeat(np.arange(len(each)), [len(x[0]) for x in each])
-                    if not len(of):
-                        continue
-                    gram, start, count = (np.concatenate([x[k] for x in each]) for k in range(3))
-                    pick = np.flatnonzero(twice.suspects(gram))
-                    gram, start, count, of = gram[pick], start[pick], count[pick], of[pick]
-                    if not with_bytes:
-                        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], ["gram"])
-                        continue
-                    whole = [d.tobytes() for d in data]
-                    part = [whole[o][a:b] for o, a, b in zip(of.tolist(), start.tolist(), (start + count + LENGTH - 1).tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram.view(np.int64)), ids.take(pa.array(of)), ths.take(pa.array(of)), pa.array(start.astype(np.int32)), pa.array(part, pa.binary()), pa.array(np.isin(gram, hot))],
-                        ["gram", "id", "th", "start", "part", "hot"],
-                    )
-
-        def counted(batches, suspects=suspects):
-            return suspects(batches, False, np.zeros(0, _U))
-
-        counts = materialize(own.mapInArrow(counted, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > hot_blocks // 5), "substring-counts")
-        # A hot bucket holds over a ten-thousandth of these, so the list stays under ten thousand numbers.
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        hot = np.array([r.gram for r in counts.where(F.col("n") > max(hot_blocks, total // 10_000)).select("gram").collect()], np.int64).view(_U)
-
-        def placed(batches, suspects=suspects, hot=hot):
-            return suspects(batches, True, hot)
-
-        rows = own.mapInArrow(placed, "gram long, id long, th int, start int, part binary, hot boolean")
-        found = rows.where("not hot").drop("hot").repartition("gram").sortWithinPartitions("gram").mapInArrow(resolve, "id long, th int, start int, mask long")
-        if len(hot):
-            found = found.unionByName(_hot(rows.where("hot").drop("hot")))
-        marks = found if marks is None else marks.unionByName(found)
-
+    n_blocks = (keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 16 + 1
+    shape = shape_for(docs, n_blocks, segment_keys)
+
+    def grams(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return _laid_out([_bytes(t) for t in chunk["text"].to_pylist()])[:2]
+
+    def placed(chunk: pa.Table, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        texts = [_bytes(t) for t in chunk["text"].to_pylist()]
+        gram, of, start, count = _laid_out(texts)
+        if not len(gram):
+            return
+        code = codes[np.unique(shape.cut(gram), return_inverse=True)[1]]
+        ids, ths = chunk["id"].to_numpy(), chunk["th"].to_numpy()
+        raw, begins = b"".join([t.tobytes() for t in texts]), np.cumsum([0, *map(len, texts)])
+
+        def bytes_of(pick: np.ndarray) -> list[bytes]:
+            a = begins[of[pick]] + start[pick]
+            return [raw[x:y] for x, y in zip(a.tolist(), (a + count[pick] + LENGTH - 1).tolist(), strict=True)]
+
+        def batch(bucket, row, at, part, mask):
+            arrays = [pa.array(bucket.view(np.int64)), pa.array(ids[row]), pa.array(ths[row]), pa.array(at.astype(np.int32)), pa.array(part, pa.binary()), pa.array(mask, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, ["bucket", "id", "th", "start", "part", "mask"])
+
+        pick = np.flatnonzero(code == SHARED)
+        yield batch(gram[pick], of[pick], start[pick], bytes_of(pick), [None] * len(pick))
+        pick = np.flatnonzero(code == CROWDED)
+        if len(pick):
+            joined = b"".join(bytes_of(pick))
+            data, sizes = np.frombuffer(joined, np.uint8), count[pick] + LENGTH - 1
+            block, offset = starts_of(sizes)
+            at, row = (np.cumsum(sizes) - sizes)[block] + offset, of[pick][block]
+            gone = late(data, at, ids[row])
+            mask = _masks(block[gone], offset[gone], len(pick))
+            marked = np.flatnonzero(mask)
+            yield batch(_mix(ths[of[pick[marked]]].view(_U)), of[pick[marked]], start[pick[marked]], [None] * len(marked), mask[marked])
+            stay = np.flatnonzero(~gone)
+            yield batch(rolling(data, LENGTH)[at[stay]], row[stay], start[pick][block[stay]] + offset[stay], [joined[x : x + LENGTH] for x in at[stay].tolist()], [None] * len(stay))
+
+    rows = judged_chunks(own, grams, judged(int(np.clip(n_blocks // 8000, 1000, 50_000)) if bucket is None else bucket), shape, placed, "bucket long, id long, th long, start int, part binary, mask long", "substring")
+    marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "id long, th long, start int, mask long")
     cuts = marks.groupBy("id", "th").agg(F.collect_list(F.struct("start", "mask")).alias("runs"), F.lit(False).alias("copy"))
     cuts = cuts.unionByName(copies.select("id", "th", F.array().cast("array<struct<start:int,mask:bigint>>").alias("runs"), F.lit(True).alias("copy")))
 
-    @F.arrow_udf("binary")
-    def small(text: pa.Array) -> pa.Array:
-        press = zstandard.ZstdCompressor(level=1).compress
-        return pa.array([press((t or "").encode("utf-8", "surrogatepass")) for t in text.to_pylist()], pa.binary())
-
     @F.arrow_udf("struct<kept binary, n_bytes bigint, n_removed bigint, n_spans bigint>")
-    def cut(pressed: pa.Array, runs: pa.Array, copy: pa.Array) -> pa.Array:
+    def cut(small: pa.Array, runs: pa.Array, copy: pa.Array) -> pa.Array:
         out: list[tuple[bytes, int, int, int]] = []
-        expand = zstandard.ZstdDecompressor().decompress
         flat = runs.flatten()
         starts, masks = flat.field("start").to_numpy(zero_copy_only=False), flat.field("mask").to_numpy(zero_copy_only=False)
         ends = np.cumsum(np.array([len(r) if r.is_valid else 0 for r in runs], np.int64))
-        for k, (data, gone) in enumerate(zip(pressed.to_pylist(), copy.to_pylist(), strict=True)):
-            data = expand(data)
+        for k, (data, gone) in enumerate(zip(small, copy.to_pylist(), strict=True)):
+            data = expanded(data) or b""
             n = len(data)
             own = slice(ends[k - 1] if k else 0, ends[k])
             if gone:
@@ -248,7 +267,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         kept, *numbers = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in numbers]], ["kept", "n_bytes", "n_removed", "n_spans"])
 
-    rows = sealed(docs, id=col(id_col).cast("long"), th=F.hash(col(text_col)), pressed=small(col(text_col)))
+    rows = sealed(docs, id=col(id_col).cast("long"), th=F.xxhash64(text), pressed=pressed(text))
     cuts = cuts.select(F.col("id").alias("cut_id"), F.col("th").alias("cut_th"), "runs", "copy")
     rows = rows.join(cuts, (F.col("id") == F.col("cut_id")) & (F.col("th") == F.col("cut_th")), "left").withColumn("out", cut("pressed", "runs", "copy"))
     return unsealed(rows, docs.columns, **{k: F.col(f"out.{k}") for k in ("kept", "n_bytes", "n_removed", "n_spans")})

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pagelake.llm import common, html_layout, line_dedup, mixing, multi_index, pieces, pii, simhash, substring_dedup, toxicity, winnowing
+from pagelake.llm import chunks, common, html_layout, line_dedup, mixing, multi_index, pieces, pii, simhash, substring_dedup, toxicity, winnowing
 from pagelake.llm.queries import model_path
 
 WORDS = "ta re mo li sun kor wen dal pic tor es nu via hem rot lug".split()
@@ -56,25 +56,32 @@ def test_line_dedup(spark, corpus):
     assert got == expected and sum(x[2] for x in got.values()) > 10
 
 
-def test_line_dedup_in_rounds_gives_the_same(spark, monkeypatch):
+def test_line_dedup_by_small_segments_gives_the_same(spark):
     rng = random.Random(1)
     rows = [(i, "\n".join(f"line number {rng.randrange(400)} of many" for _ in range(20))) for i in range(60)]
     whole = sorted(map(tuple, line_dedup.line_dedup(frame(spark, rows)).collect()))
-    monkeypatch.setattr(line_dedup, "BITS_PER_KEY", 1200)
-    monkeypatch.setattr(line_dedup.twice_seen, "__defaults__", (1200,))
-    assert sorted(map(tuple, line_dedup.line_dedup(frame(spark, rows), filter_mb=1).collect())) == whole
+    assert sorted(map(tuple, line_dedup.line_dedup(frame(spark, rows), segment_keys=1).collect())) == whole
 
 
-def test_bloom_filters_have_no_false_negatives():
+def test_bloom_filters_miss_no_hash_that_two_lists_hold():
     rng = np.random.default_rng(0)
-    a, b = line_dedup.Filters(4, 1, 0), line_dedup.Filters(4, 1, 0)
-    x, y = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(0, 2**63, 3000, dtype=np.uint64)
-    a.add(x)
-    a.add(y[:50])
-    b.add(np.concatenate([y, x[:100]]))
-    merged = {s: a.twice[s] | b.twice[s] | (a.once[s] & b.once[s]) for s in a.once.keys() & b.once.keys()}
-    f = line_dedup.Twice(4, 1, 0, merged)
-    assert f.suspects(x[:100]).all() and f.suspects(y[:50]).all() and f.suspects(x[100:]).mean() < 0.05
+    x = np.sort(rng.integers(0, 2**40, 3000, dtype=np.uint64))
+    y = np.sort(rng.integers(0, 2**40, 3000, dtype=np.uint64))
+    z = np.sort(np.concatenate([y, x[:100]]))
+    lists = [chunks.Keys(x, np.ones(len(x), np.uint32), np.arange(len(x)) >= 2990), chunks.Keys(z, np.ones(len(z), np.uint32), np.zeros(len(z), bool))]
+    a, b = line_dedup.seen_twice([chunks.decoded(chunks.coded(k)) for k in lists])
+    assert a[:100].all() and a[2990:].all() and a[100:2990].mean() < 0.05 and b[np.isin(z, x[:100])].all() and b[~np.isin(z, x)].mean() < 0.05
+
+
+def test_chunks_code_and_deal_out_hashes():
+    rng = np.random.default_rng(1)
+    for shape in (chunks.Shape(24, 7), chunks.Shape(60, 1000)):
+        h = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+        keys = chunks.listed(shape.cut(np.concatenate([h, h[:50], h[:1]])), np.concatenate([np.zeros(5000, int), np.ones(50, int), [1]]))
+        again = chunks.decoded(chunks.coded(keys))
+        assert all(np.array_equal(getattr(keys, k), getattr(again, k)) for k in ("q", "n", "many"))
+        segment = shape.segment(keys.q)
+        assert (np.diff(segment.astype(int)) >= 0).all() and segment.max() < shape.segments and len(np.unique(segment)) > 5
 
 
 def plain_fingerprint(text, shingle=3):
@@ -149,8 +156,8 @@ def test_substring_dedup(spark, corpus):
                 hit[k : k + 50] = True
         spans = int(hit[:1].sum()) + int((hit[1:] & ~hit[:-1]).sum())
         expected[i] = (len(b), int(hit.sum()), spans, sha(np.frombuffer(b, np.uint8)[~hit].tobytes()))
-    for hot in (1000, 2):
-        out = substring_dedup.substring_dedup(frame(spark, rows), hot_blocks=hot)
+    for bucket, segment in ((1000, 1 << 21), (2, 1), (0, 50)):
+        out = substring_dedup.substring_dedup(frame(spark, rows), bucket=bucket, segment_keys=segment)
         got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in out.collect()}
         assert got == expected
 
