@@ -1,9 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame operations only.
 
 Token masses are summed per cell (source, language, topic), with map-side combination, so a hot source is a handful of
-rows. Rounds of raking then scale the cells until the three marginals meet their targets. A document's probability is its
-cell's calibrated share of the budget over the cell's mass, at most one; it is sampled by a hash of its id, so a rerun or
-a lost executor changes nothing.
+rows. Rounds of raking then scale the cells until the three marginals meet their targets; a cell never gets more of the
+budget than its own mass, so what the limit takes from one cell the next steps give to others, and the expected sample
+itself meets the targets. Targets are made reachable first: no value is asked for more than CEILING of what it has. A
+document's probability is its cell's calibrated share of the budget over the cell's mass; it is sampled by a hash of its
+id, so a rerun or a lost executor changes nothing.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ DIMS = ("source", "lang", "topic")
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Without given targets, a marginal's target is its own mass to this power.
 TEMPER = 0.7
-#: Rounds of raking; each fits all three marginals in turn.
-ROUNDS = 8
+#: The most rounds of raking; each fits all three marginals in turn. They end early where no marginal is off by NEAR of its target.
+ROUNDS, NEAR = 12, 1e-9
+#: The largest share of its own mass that a value may be asked for (more where the budget itself is).
+CEILING = 0.9
+#: How often the SQL form makes targets reachable anew; the loop here ends by itself.
+PASSES = 8
 
 
 def topic_of(text: Column, tokens: Column) -> Column:
@@ -33,29 +39,61 @@ def topic_of(text: Column, tokens: Column) -> Column:
     )
 
 
-def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(source, lang, topic, mass, share): cells(source, lang, topic, mass) raked to targets(dim, value, goal).
+def reachable(cells: DataFrame, goals: DataFrame, budget: float) -> DataFrame:
+    """Targets (dim, value, goal) under which no value needs more than the ceiling's share of its mass.
 
-    A step fits one marginal: the cells' mass, times the factors of the other two marginals, is summed for each of its
-    values, and its factor becomes goal / sum. Factors are written after each step, so plans stay small. Values without
-    a target get none of the mass.
+    Values over that get it; the others share the rest as before, until none is over. Values that are not in cells, or
+    whose goal is not above zero, drop out; the dimensions are then scaled to the least of their sums, so that all can be met.
     """
+    most = max(CEILING, (1 + budget) / 2) / budget
     total = cells.agg(F.sum("mass")).first()[0] or 1.0
-    goals = {dim: targets.where(F.col("dim") == dim).select(F.col("value").alias(dim), "goal") for dim in DIMS}
-    factors: dict[str, DataFrame] = {}
-
-    def scaled(dims) -> DataFrame:
-        now = cells.withColumn("share", F.col("mass") / total)
-        for dim in dims:
-            if dim in factors:
-                now = now.join(factors[dim], dim).withColumn("share", F.col("share") * F.col("factor")).drop("factor")
-        return now
-
-    for _ in range(rounds):
-        for dim in DIMS:
-            held = scaled([x for x in DIMS if x != dim]).groupBy(dim).agg(F.sum("share").alias("held")).join(goals[dim], dim, "left")
-            factors[dim] = materialize(held.select(dim, F.when(F.col("held") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("held")).otherwise(0.0).alias("factor")), "mixing-rake")
-    return scaled(DIMS)
+    mass = None
+    for dim in DIMS:
+        one = cells.groupBy(F.lit(dim).alias("dim"), F.col(dim).alias("value")).agg((F.sum("mass") / total * most).alias("most"))
+        mass = one if mass is None else mass.unionByName(one)
+    now = goals.where("goal > 0").join(mass, ["dim", "value"]).select("dim", "value", "goal", "most", F.lit(False).alias("full"))
+    n_full = 0
+    while True:
+        left = now.groupBy("dim").agg((1 - F.sum(F.when(F.col("full"), F.col("most")).otherwise(0.0))).alias("left"), F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("goal"))).alias("open"))
+        scaled = F.when(F.col("full"), F.col("most")).otherwise(F.col("goal") * F.greatest("left", F.lit(0.0)) / F.col("open"))
+        now = now.join(left, "dim").withColumn("now", scaled).drop("left", "open").withColumn("full", F.col("full") | (F.col("now") >= F.col("most")))
+        now = materialize(now, "mixing-goals")
+        if (n := now.where("full").count()) == n_full:
+            break
+        n_full, now = n, now.drop("now")
+    sums = now.groupBy("dim").agg(F.sum("now").alias("s"))
+    least = sums.agg(F.min("s")).first()[0] or 1.0
+    return materialize(now.join(sums, "dim").select("dim", "value", (F.col("now") / F.col("s") * min(1.0, least)).alias("goal")), "mixing-reachable")
+
+
+def rake(cells: DataFrame, goals: DataFrame, budget: float, rounds: int = ROUNDS) -> DataFrame:
+    """(source, lang, topic, mass, share): cells(source, lang, topic, mass) raked to reachable goals(dim, value, goal).
+
+    A step scales the cells of each value of one dimension by goal / sum, but none over its mass's share of the budget;
+    cells are written after each round, so plans stay small. Values without a goal get nothing; a dimension without goals is left alone.
+    """
+    total = cells.agg(F.sum("mass")).first()[0] or 1.0
+    dims = [r.dim for r in goals.select("dim").distinct().collect()]
+    now = cells.withColumn("share", F.col("mass") / total)
+    for k in range(rounds):
+        for dim in (d for d in DIMS if d in dims):
+            own = goals.where(F.col("dim") == dim).select(F.col("value").alias(dim), "goal")
+            factor = now.groupBy(dim).agg(F.sum("share").alias("held")).join(own, dim).where("held > 0").select(dim, (F.col("goal") / F.col("held")).alias("factor"))
+            scaled = F.col("share") * F.coalesce("factor", F.lit(0.0))
+            now = now.join(factor, dim, "left").select(*DIMS, "mass", F.least(scaled, F.col("mass") / (total * budget)).alias("share"))
+        now = materialize(now, "mixing-rake")
+        if k % 4 == 3 and (residual(now, goals).agg(F.max("off")).first()[0] or 0.0) <= NEAR:
+            break
+    return now
+
+
+def residual(fitted: DataFrame, goals: DataFrame) -> DataFrame:
+    """(dim, value, goal, share, off): how far each marginal of raked cells is from its goal, as a share of the goal."""
+    held = None
+    for dim in DIMS:
+        one = fitted.groupBy(F.lit(dim).alias("dim"), F.col(dim).alias("value")).agg(F.sum("share").alias("share"))
+        held = one if held is None else held.unionByName(one)
+    return goals.join(held, ["dim", "value"]).select("dim", "value", "goal", "share", F.abs(F.col("share") / F.col("goal") - 1).alias("off"))
 
 
 def tempered(cells: DataFrame, power: float = TEMPER) -> DataFrame:
@@ -64,18 +102,26 @@ def tempered(cells: DataFrame, power: float = TEMPER) -> DataFrame:
     for dim in DIMS:
         mass = cells.groupBy(F.lit(dim).alias("dim"), F.col(dim).alias("value")).agg(F.pow(F.sum("mass"), F.lit(power)).alias("p"))
         out = mass if out is None else out.unionByName(mass)
-    total = out.groupBy("dim").agg(F.sum("p").alias("total"))
-    return out.join(total, "dim").select("dim", "value", (F.col("p") / F.col("total")).alias("goal"))
+    return shares(out)
+
+
+def shares(parts: DataFrame) -> DataFrame:
+    """(dim, value, goal): parts(dim, value, p) as shares of their dimension; rows that repeat a value add up."""
+    parts = parts.where("p > 0").groupBy("dim", F.coalesce("value", F.lit("")).alias("value")).agg(F.sum("p").alias("p"))
+    total = parts.groupBy("dim").agg(F.sum("p").alias("total"))
+    return parts.join(total, "dim").select("dim", "value", (F.col("p") / F.col("total")).alias("goal"))
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame | None = None, budget: float = 0.6, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None, power: float = TEMPER) -> DataFrame:
     """docs with topic, n_tokens, weight, probability and kept.
 
     n_tokens counts words between ASCII white space; a text counts with at least one, so an empty or null text still
-    belongs to a cell. A null source, language or topic counts as ''. targets(dim, value, share) are scaled to sum to one
-    in each dimension; a value without one is dropped. weight is a cell's calibrated mass over its mass (1 on average);
-    probability = min(1, budget * weight). Rows that repeat an id share its draw; a null id draws as ''. An empty table
-    gives an empty table. Input columns with the names of outputs give way to them.
+    belongs to a cell; long texts are counted whole. A null source, language or topic counts as ''. targets(dim, value,
+    share) are scaled to sum to one in each dimension, rows that repeat a value add up, and shares that are not above zero
+    count not at all; a value without one is dropped, a dimension without any is left alone. weight is a cell's calibrated
+    mass over its mass, and probability = budget * weight, at most 1: the expected sample meets the targets as far as they
+    can be reached (see reachable; residual() says how far off raked cells are). Rows that repeat an id share its draw; a
+    null id draws as ''. An empty table gives an empty table. Input columns with the names of outputs give way to them.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     tokens = F.regexp_count(text, F.lit(WORD)).cast("long")
@@ -84,14 +130,9 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, budget: float
     rows = rows.withColumn("topic", blank(topic_of(F.col("text"), F.col("n_tokens")) if topic is None else topic)).drop("text")
     cells = rows.groupBy(*DIMS).agg(F.sum(F.greatest("n_tokens", F.lit(1))).cast("double").alias("mass"))
     cells = materialize(cells, "mixing-cells")
-    if targets is None:
-        goals = tempered(cells, power)
-    else:
-        total = targets.groupBy("dim").agg(F.sum("share").alias("total"))
-        goals = targets.join(total, "dim").select("dim", F.coalesce("value", F.lit("")).alias("value"), (F.col("share") / F.col("total")).alias("goal"))
-    goals = materialize(goals, "mixing-goals")
+    goals = tempered(cells, power) if targets is None else shares(targets.select("dim", "value", F.col("share").cast("double").alias("p")))
     total = cells.agg(F.sum("mass")).first()[0] or 1.0
-    fitted = rake(cells, goals)
+    fitted = rake(cells, reachable(cells, goals, budget), budget)
     weights = materialize(fitted.select(*DIMS, (F.col("share") * total / F.col("mass")).alias("weight")), "mixing-weights")
     out = rows.join(weights, list(DIMS), "left").withColumn("probability", F.least(F.lit(1.0), budget * F.coalesce("weight", F.lit(0.0))))
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("double") / 4294967296.0
@@ -109,13 +150,18 @@ def oracle(budget: float = 0.6, power: float = TEMPER, rounds: int = ROUNDS) ->
         "c AS MATERIALIZED (SELECT source, lang, topic, sum(greatest(n_tokens, 1))::DOUBLE AS mass FROM t GROUP BY ALL)",
         "s0 AS MATERIALIZED (SELECT *, mass / (SELECT sum(mass) FROM c) AS share FROM c)",
     ]
+    most = max(CEILING, (1 + budget) / 2) / budget
     for dim in DIMS:
-        steps.append(f"g_{dim} AS MATERIALIZED (SELECT {dim}, p / sum(p) OVER () AS goal FROM (SELECT {dim}, pow(sum(mass), {power}) AS p FROM c GROUP BY ALL))")
+        own = f"SELECT {dim}, pow(sum(mass), {power}) AS p, sum(mass) / (SELECT sum(mass) FROM c) * {most} AS most, false AS sat FROM c GROUP BY ALL"
+        for k in range(PASSES):
+            scaled = "CASE WHEN sat THEN most ELSE goal * greatest(0, 1 - sum(CASE WHEN sat THEN most ELSE 0 END) OVER ()) / nullif(sum(CASE WHEN sat THEN 0 ELSE goal END) OVER (), 0) END"
+            own = f"SELECT {dim}, goal, most, (sat OR now >= most) AS sat, now FROM (SELECT {dim}, goal, most, sat, {scaled} AS now FROM ({own if k else f'SELECT *, p / sum(p) OVER () AS goal FROM ({own})'}))"
+        steps.append(f"g_{dim} AS MATERIALIZED (SELECT {dim}, now / sum(now) OVER () AS goal FROM ({own}))")
     n = 0
     for _ in range(rounds):
         for dim in DIMS:
             n += 1
-            steps.append(f"s{n} AS MATERIALIZED (SELECT source, lang, topic, mass, share * goal / sum(share) OVER (PARTITION BY {dim}) AS share FROM s{n - 1} JOIN g_{dim} USING ({dim}))")
+            steps.append(f"s{n} AS MATERIALIZED (SELECT source, lang, topic, mass, least(share * goal / sum(share) OVER (PARTITION BY {dim}), mass / ((SELECT sum(mass) FROM c) * {budget})) AS share FROM s{n - 1} JOIN g_{dim} USING ({dim}))")
     return (
         "WITH " + ",\n".join(steps) + f""", w AS (SELECT source, lang, topic, share * (SELECT sum(mass) FROM c) / mass AS weight FROM s{n})
         SELECT doc_id, source, lang, topic, n_tokens::BIGINT AS n_tokens, round(weight, 6) AS weight, round(least(1.0, {budget} * weight), 6) AS probability,

@@ -164,32 +164,67 @@ def test_substring_dedup(spark, corpus):
 
 def test_winnowing(spark, corpus):
     out = winnowing.document_fingerprints(frame(spark, corpus))
-    got = {r.id: r for r in out.select("*", winnowing.likeness("fp", "edited_fp").alias("a")).collect()}
+    near = [winnowing.likeness("fp", x).alias(y) for x, y in (("edited_fp", "near_edited"), ("next_fp", "near_next"))]
+    got = {r.id: r for r in out.select("*", *near).collect()}
     texts = [t or "" for _, t in corpus]
+
+    def alike(a, b):
+        a, b = ({v >> winnowing._BITS for v in x} for x in (a, b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
     for n, (i, _) in enumerate(corpus):
         t, after = texts[n], texts[(n + 1) % len(texts)]
         cut = len(t) // 4
         assert got[i].edited == t[: len(t) - cut] + after[:cut] and got[i].next_text == after
-    # Windows by hand, from the grams that a one-gram window keeps.
-    words = prose(random.Random(9), 60).split()
+        assert got[i].fp == plain_winnowing(t) and got[i].edited_fp == plain_winnowing(got[i].edited) and got[i].next_fp == plain_winnowing(after)
+        assert got[i].near_edited == alike(got[i].fp, got[i].edited_fp) and got[i].near_next == alike(got[i].fp, got[i].next_fp)
+    equal = {}
+    for i, t in corpus:
+        assert equal.setdefault(t or "", got[i].fp) == got[i].fp
+
+
+def plain_winnowing(text):
+    """Tokens, hashes of runs and windows by hand."""
+    words = []
+    for w in re.findall("[^\x20\x09-\x0d]+", text.lower()):
+        words += [w] if len(w) <= winnowing.WORD else list(w)
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
     h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
     grams = []
-    for i in range(len(words) - winnowing.GRAM + 1):
+    for i in range(max(1, len(words) - winnowing.GRAM + 1) if words else 0):
         seed = 42
         for x in h[i : i + winnowing.GRAM]:
             seed = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed)
-        grams.append(seed & winnowing._MASK)
+        grams.append(signed(seed) & winnowing._MASK)
     picks = []
-    for i in range(len(grams) - winnowing.WINDOW + 1):
-        least = min(grams[i : i + winnowing.WINDOW])
-        at = max(j for j in range(i, i + winnowing.WINDOW) if grams[j] == least)
-        if (least, at) not in picks:
-            picks.append((least, at))
-    row = winnowing.with_fingerprint(spark.createDataFrame([(" ".join(words),)], "text string"), "text", "fp").first()
-    assert [(v & winnowing._MASK, winnowing._LAST - (v & winnowing._LAST)) for v in row.fp] == picks
-    equal = {}
-    for i, t in corpus:
-        assert equal.setdefault(t or "", got[i].fp) == got[i].fp
+    for i in range(max(1, len(grams) - winnowing.WINDOW + 1) if grams else 0):
+        window = grams[i : i + winnowing.WINDOW]
+        at = i + max(j for j, x in enumerate(window) if x == min(window))
+        if (entry := grams[at] | (winnowing._LAST - at)) not in picks:
+            picks.append(entry)
+    return picks
+
+
+def test_winnowing_of_texts_without_blanks(spark):
+    rng = random.Random(3)
+    shared = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    texts = [chr(0x3042) * k + "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(40 + k)) + shared for k in range(20)] + ["ab" * 5000]
+    rows = winnowing.with_fingerprint(spark.createDataFrame([(t,) for t in texts], "text string"), "text", "fp").collect()
+    found = {r.text: r.fp for r in rows}
+    assert all(found[t] == plain_winnowing(t) for t in texts)
+    common = set.intersection(*[{v >> winnowing._BITS for v in found[t]} for t in texts[:20]])
+    assert len(common) >= (60 - winnowing.GRAM - winnowing.WINDOW) // winnowing.WINDOW
+
+
+def test_next_of_any_ids(spark):
+    rng = random.Random(4)
+    ids = [rng.randrange(-(2**62), 2**62) for _ in range(800)] + list(range(200)) + [2**62, 7, 7]
+    df = frame(spark, [(i, f"text {k}") for k, i in enumerate(ids)]).selectExpr("doc_id AS id", "text", "array(1L) AS fp")
+    signed = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (2**64 if x >= 2**63 else 0)
+    order = sorted((i, signed(f"text {k}"), f"text {k}") for k, i in enumerate(ids))
+    for buckets in (None, 1, 9, 200):
+        got = {r.text: r.next_text for r in winnowing.with_next(df, buckets).collect()}
+        assert got == {t: order[(k + 1) % len(order)][2] for k, (_, _, t) in enumerate(order)}
 
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -299,17 +334,31 @@ def test_mixing(spark):
     rows = out.collect()
     total = sum(max(r.n_tokens, 1) for r in rows)
     for dim in ("source", "lang", "topic"):
-        mass, fitted = {}, {}
+        mass, expected = {}, {}
         for r in rows:
             k = r[dim] or ""
             mass[k] = mass.get(k, 0) + max(r.n_tokens, 1)
-            fitted[k] = fitted.get(k, 0) + max(r.n_tokens, 1) * r.weight
-        scale = sum(v**mixing.TEMPER for v in mass.values())
-        assert all(abs(fitted[k] / total - mass[k] ** mixing.TEMPER / scale) < 2e-3 for k in mass)
-    assert all(r.probability == min(1.0, 0.5 * r.weight) for r in rows) and 0.2 < np.mean([r.kept for r in rows]) < 0.8
+            expected[k] = expected.get(k, 0) + max(r.n_tokens, 1) * r.probability
+        # Tempered shares, none over nine tenths of what the value has: the others take the rest, until none is over.
+        goal = {k: v**mixing.TEMPER for k, v in mass.items()}
+        most, full = {k: v / total * mixing.CEILING / 0.5 for k, v in mass.items()}, set()
+        while True:
+            left = 1 - sum(most[k] for k in full)
+            open_ = sum(v for k, v in goal.items() if k not in full)
+            now = {k: most[k] if k in full else v * left / open_ for k, v in goal.items()}
+            if not (more := {k for k in now if k not in full and now[k] >= most[k]}):
+                break
+            full |= more
+        assert all(abs(expected[k] / (0.5 * total) / now[k] - 1) < 0.01 for k in mass), dim
+    assert all(r.probability == min(1.0, 0.5 * r.weight) and r.weight <= 2.0 + 1e-9 for r in rows) and 0.2 < np.mean([r.kept for r in rows]) < 0.8
     goals = spark.createDataFrame([("source", "hot", 1.0), ("source", "s0", 1.0), ("lang", "en", 3.0), ("lang", "de", 1.0), ("topic", "brief", 1.0)], "dim string, value string, share double")
     chosen = mixing.mix_sources(df, targets=goals).where("probability > 0").select("source").distinct().collect()
     assert {r.source for r in chosen} == {"hot", "s0"}
+    odd = spark.createDataFrame([("source", "hot", 0.5), ("source", "hot", 0.5), ("source", "s0", 1.0), ("source", "s1", 0.0), ("lang", "xx", 0.0), ("topic", None, -1.0)], "dim string, value string, share double")
+    again = mixing.mix_sources(df, targets=odd, budget=0.1)
+    assert again.count() == len(rows)
+    mass = {r.source: r.m for r in again.groupBy("source").agg(F.sum(F.greatest("n_tokens", F.lit(1)) * F.col("probability")).alias("m")).collect()}
+    assert abs(mass["hot"] / mass["s0"] - 1) < 0.01 and mass["s1"] == 0
 
 
 def test_html():
