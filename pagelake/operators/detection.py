@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelake.functions import regions as R
@@ -21,16 +21,13 @@ def lenient(answers: DataFrame, column: str = "response") -> DataFrame:
 
 def unnest_regions(parsed: DataFrame, keys: list[str], data: str = "data") -> DataFrame:
     """A row per entry of $.regions with its position. A missing list has none; a null one fails its page (see page_errors)."""
-    parsed.createOrReplaceTempView("_pagelake_parsed")
-    spark = parsed.sparkSession
-    names = ", ".join(f"`{k}`" for k in keys)
-    return spark.sql(f"SELECT {names}, r.pos, r.value AS region FROM _pagelake_parsed, LATERAL variant_explode(variant_get(`{data}`, '$.regions', 'variant')) AS r")
+    return parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.variant_get(F.col(data).outer(), "$.regions", "variant"))).select(*keys, "pos", F.col("value").alias("region"))
 
 
 def page_errors(parsed: DataFrame, keys: list[str], data: str = "data") -> DataFrame:
     """Pages whose answer has no usable list of regions, with the reason."""
     regions = F.variant_get(data, "$.regions", "variant")
-    reason = F.when(F.col(data).isNull(), "JSON parse").when(regions.isNotNull() & ~F.schema_of_variant(regions).startswith("ARRAY"), "regions is no list")
+    reason = F.when(F.col(data).isNull(), "JSON parse").when(R.has_key(F.col(data), "regions") & ~F.schema_of_variant(regions).startswith("ARRAY"), "regions is no list")
     return parsed.select(*keys, reason.alias("error")).where("error is not null")
 
 
@@ -44,6 +41,33 @@ def fields(unnested: DataFrame, keys: list[str]) -> DataFrame:
     return unnested.select(*keys, "pos", get("type", "string").alias("type"), F.variant_get("region", "$.bbox", "variant").alias("bbox"), order.alias("reading_order"), *[get(k, kinds.get(k, "string")).alias(k) for k in R.METADATA], present.alias("present"), bad.alias("fails"))
 
 
+#: What the answer's schema asks of the keys besides the box, by their kind in a variant.
+KINDS = {"title_text": "STRING", "rows": "BIGINT", "cols": "BIGINT", "header_rows": "BIGINT", "has_red_ink": "BOOLEAN", "has_totals_row": "BOOLEAN", "graph_type": "STRING", "has_fitted_curve": "BOOLEAN", "line_count": "BIGINT", "script": "STRING", "reading_order": "BIGINT", "id": "STRING"}
+
+
+def violations(region: Column) -> Column:
+    """What in a region's variant the declared schema does not allow, as short texts in a fixed order; empty if all is well.
+
+    Required: type (one of the taxonomy), bbox (an object of x, y, width and height alone, integers from 0 or 1 to 1000)
+    and reading_order. Detection itself is more lenient; this is for reports and a strict mode.
+    """
+    kind = lambda path: F.schema_of_variant(F.variant_get(region, f"$.{path}", "variant"))
+    missing = [F.when(~R.has_key(region, k), F.lit(f"{k} is missing")) for k in ("type", "bbox", "reading_order")]
+    name = F.try_variant_get(region, "$.type", "string")
+    found = [*missing, F.when(R.has_key(region, "type") & ~F.coalesce(name.isin(R.REGION_TYPES), F.lit(False)), "type is unknown")]
+    box = F.variant_get(region, "$.bbox", "variant")
+    is_object = kind("bbox").startswith("OBJECT")
+    found.append(F.when(R.has_key(region, "bbox") & ~is_object, "bbox is no object"))
+    for key, least in (("x", 0), ("y", 0), ("width", 1), ("height", 1)):
+        number = F.when(kind(f"bbox.{key}") == "BIGINT", F.try_variant_get(region, f"$.bbox.{key}", "bigint"))
+        found.append(F.when(is_object & ~F.coalesce(number.between(least, 1000), F.lit(False)), F.lit(f"bbox.{key} is not from {least} to 1000")))
+    more = F.size(F.array_except(F.map_keys(F.try_variant_get(box, "$", "map<string,variant>")), F.array(*[F.lit(k) for k in ("x", "y", "width", "height")]))) > 0
+    found.append(F.when(is_object & more, "bbox has other keys"))
+    found += [F.when(R.has_key(region, k) & (kind(k) != v), F.lit(f"{k} is no {v.lower()}")) for k, v in KINDS.items()]
+    found.append(F.when(R.has_key(region, "page_number") & ~kind("page_number").isin("STRING", "BIGINT"), "page_number is no string or bigint"))
+    return F.array_compact(F.array(*found))
+
+
 def capped(raw: DataFrame, most: int = R.MAX_REGIONS) -> DataFrame:
     """The first regions of each page by position, before anything is dropped."""
     return raw.where(F.col("pos") < most)
@@ -62,9 +86,9 @@ def ordered(regions: DataFrame, page: str = "page_id") -> DataFrame:
     return regions.withColumn("reading_order", place).withColumn("id", F.format_string("r%02d", "reading_order"))
 
 
-def detect(raw: DataFrame, most: int = R.MAX_REGIONS, page: str = "page_id") -> DataFrame:
+def detect(raw: DataFrame, most: int = R.MAX_REGIONS, page: str = "page_id", margin: float = R.MARGIN) -> DataFrame:
     """raw(page, pos, type, box, reading_order, img_w, img_h, ...) as validated regions."""
-    return ordered(located(capped(raw, most).withColumn("type", R.normal_type(F.col("type")))), page)
+    return ordered(located(capped(raw, most).withColumn("type", R.normal_type(F.col("type"))), margin=margin), page)
 
 
 def box_counts(raw: DataFrame, page: str = "page_id", most: int = R.MAX_REGIONS) -> DataFrame:

@@ -1,7 +1,8 @@
 """The recognition model as a Spark stage: pluggable clients, retries, routing, error records.
 
-A client is made once per partition by a factory and answers requests; it may raise. What is asked for is a table, what
-comes back is a table, and every failure is a row.
+A client is made once per partition by a factory, which is given the stage's policy (model, temperature and token limit
+are in it), and answers requests with a text, or with an Answer that also says why the model stopped; it may raise. What
+is asked for is a table, what comes back is a table, and every failure is a row.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pagelake.functions import text as T
 LOWER = {"high": "medium", "medium": "low", "low": "low"}
 # Full-page modes with their media resolution.
 FULL_PAGE = {"table": "high", "graph": "ultra_high", "map": "high"}
+# Names of the scripts in prompts.
 SCRIPTS = {"kurrent": "German Kurrent (Kurrentschrift)", "latin": "Latin cursive", "mixed": "mixed Kurrent and Latin cursive"}
 
 PROMPTS = {
@@ -41,27 +43,42 @@ def next_level(stage: str, level: str) -> str:
     return LOWER.get(level, "medium")
 
 
+@dataclass(frozen=True)
+class Answer:
+    """A text and the reason for which the model stopped."""
+
+    text: str
+    finish_reason: str = ""
+
+
 @dataclass
 class Policy:
-    """How a stage retries: on empty answers at a lower level, on bad JSON as before, on exceptions only in transcription."""
+    """What a stage asks with, and how it retries: on empty answers at a lower level, on bad JSON as before, on exceptions
+    only in transcription."""
 
     stage: str
     level: str = "high"
     resolution: str = "high"
     retries: int = 2
     pause: float = 1.5
+    model_id: str = "stub"
+    temperature: float = 1.0
+    max_output_tokens: int = 65_536
 
 
-def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse: Callable[[str], object] | None = None, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """One request with its retries: status, text, error and the attempts made as (outcome, level, resolution).
+def call(ask: Callable[[str, str, str], str | Answer], policy: Policy, prompt: str, parse: Callable[[str], object] | None = None, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """One request with its retries: status, text, error, the last finish reason and the attempts made as (outcome, level,
+    resolution).
 
-    An answer whose JSON does not parse at the last attempt is the text of the error.
+    An answer whose JSON does not parse at the last attempt is the text of the error; an empty one's error names the
+    finish reason.
     """
-    level, resolution, error, made, raw = policy.level, policy.resolution, "", [], ""
+    level, resolution, error, made, raw, reason = policy.level, policy.resolution, "", [], "", None
     total = policy.retries + 1 if policy.stage == "detect" else max(1, policy.retries + 1)
     for attempt in range(total):
         try:
-            text = ask(prompt, level, resolution)
+            answer = ask(prompt, level, resolution)
+            text, reason = (answer.text, answer.finish_reason or None) if isinstance(answer, Answer) else (answer, None)
         except Exception as e:
             raw = ""
             made.append(("exception", level, resolution))
@@ -72,7 +89,7 @@ def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse
             continue
         if not text:
             made.append(("empty", level, resolution))
-            error, raw = "empty response", ""
+            error, raw = f"empty response (finish reason: {reason or 'unknown'})", ""
             level = next_level(policy.stage, level)
             if policy.stage == "transcribe" and attempt + 1 == policy.retries and resolution and not resolution.endswith("ultra_high"):
                 resolution = "ultra_high"
@@ -86,30 +103,37 @@ def call(ask: Callable[[str, str, str], str], policy: Policy, prompt: str, parse
                 error = f"JSON parse: {e}"
                 continue
         made.append(("success", level, resolution))
-        return {"status": "success", "text": text.strip(), "error": None, "attempts": made}
-    return {"status": "error", "text": raw, "error": error, "attempts": made}
+        return {"status": "success", "text": text.strip(), "error": None, "finish_reason": reason, "attempts": made}
+    return {"status": "error", "text": raw, "error": error, "finish_reason": reason, "attempts": made}
 
 
-RESULT = "status string, text string, error string, attempts array<struct<outcome:string,level:string,resolution:string>>"
+RESULT = "status string, text string, error string, finish_reason string, attempts array<struct<outcome:string,level:string,resolution:string>>"
 
 
-def ask_model(requests: DataFrame, client: Callable[[], Callable[[str, str, str, bytes], str]], policy: Policy, keys: list[str], parse: Callable[[str], object] | None = None) -> DataFrame:
+def ask_model(requests: DataFrame, client: Callable[[Policy], Callable[[str, str, str, bytes], str | Answer]], policy: Policy, keys: list[str], parse: Callable[[str], object] | None = None) -> DataFrame:
     """requests(keys, prompt, pixels) with each row's result; one client per partition, made on the executor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        answer = client()
+        answer = client(policy)
         for batch in batches:
             out = []
             for prompt, pixels in zip(batch["prompt"], batch["pixels"], strict=True):
                 out.append(call(lambda p, level, res, data=pixels: answer(p, level, res, data), policy, prompt, parse))
-            yield pd.concat([batch[keys].reset_index(drop=True), pd.DataFrame(out, columns=["status", "text", "error", "attempts"])], axis=1)
+            yield pd.concat([batch[keys].reset_index(drop=True), pd.DataFrame(out, columns=["status", "text", "error", "finish_reason", "attempts"])], axis=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema if f.name in keys) + ", " + RESULT
     return requests.select(*keys, "prompt", "pixels").mapInPandas(run, schema)
 
 
-def stub_client() -> Callable[[str, str, str, bytes], str]:
-    """A client without a model: answers with the prompt's length."""
+def full_page(kind: str) -> tuple[str, str]:
+    """The prompt and the media resolution of a full-page mode; ValueError for any other."""
+    if kind not in FULL_PAGE:
+        raise ValueError(f"no full-page mode {kind!r}; one of {', '.join(FULL_PAGE)}")
+    return PROMPTS[f"full_{kind}"], FULL_PAGE[kind]
+
+
+def stub_client(policy: Policy) -> Callable[[str, str, str, bytes], str]:
+    """A client without a model, for trying a run out: answers with the prompt's length."""
     return lambda prompt, level, resolution, pixels: f"{len(prompt)} {level} {resolution}"
 
 

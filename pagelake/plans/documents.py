@@ -22,63 +22,78 @@ FIELDS = ["id", "type", "bbox", "reading_order", "title_text", "rows", "cols", "
 def ordered_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded scans with seq, their natural order. A stem that several files share is an error of each of them."""
     found = scans.decoded(spark, folder)
+    order = scans.numbered(found.select("file_name", "natural"), F.struct("natural", "file_name")).select("file_name", "seq")
     twice = scans.collisions(found).select("stem", F.lit(True).alias("twice"))
     found = found.join(twice, "stem", "left").withColumn("error", F.when(F.col("twice"), "several scans share this stem").otherwise(F.col("error")))
-    return found.drop("twice")
+    return found.drop("twice").join(order, "file_name")
 
 
-def detected(pages: DataFrame, client: Callable, config: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """(regions, errors) of the pages without an error."""
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df written once and read back: what a model said is asked for once, whatever is made of it and whoever is lost."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def detected(pages: DataFrame, client: Callable, config: RunConfig, answers_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(regions, errors) of the pages without an error; each page's answer is in answers_dir/detect."""
     good = pages.where("error is null")
     request = good.select("page_id", "width", "height", F.lit(model.PROMPTS["detect"].format(max_regions=config.max_regions)).alias("prompt"), "pixels")
-    policy = model.Policy("detect", config.detection_thinking, config.detection_media_resolution, config.detection_retries)
-    answers = model.ask_model(request, client, policy, ["page_id", "width", "height"], parse=text.parsed_answer)
+    policy = model.Policy("detect", config.detection_thinking, config.detection_media_resolution, config.detection_retries, model_id=config.model_id, temperature=config.detection_temperature, max_output_tokens=config.max_output_tokens)
+    answers = kept(model.ask_model(request, client, policy, ["page_id", "width", "height"], parse=text.parsed_answer), f"{answers_dir}/detect")
     parsed = detection.parse_answers(answers.withColumnRenamed("text", "response"))
     parsed = parsed.withColumn("data", F.when(F.col("error").isNull(), F.col("data")))
-    failed = parsed.select("page_id", F.coalesce("error", F.when(F.col("data").isNull(), "JSON parse")).alias("error"), F.col("response").alias("detail")).where("error is not null")
-    raw = detection.fields(detection.unnest_regions(parsed, ["page_id", "width", "height"]), ["page_id", "width", "height"])
+    shape = detection.page_errors(parsed, ["page_id"]).withColumnRenamed("error", "shape")
+    failed = parsed.join(shape, "page_id", "left").select("page_id", F.coalesce("error", "shape").alias("error"), F.col("response").alias("detail")).where("error is not null")
+    raw = detection.fields(detection.unnest_regions(parsed.join(shape, "page_id", "left_anti"), ["page_id", "width", "height"]), ["page_id", "width", "height"])
     raw = raw.withColumn("box", detection.R.normal_box(F.col("bbox"))).withColumn("img_w", F.col("width")).withColumn("img_h", F.col("height"))
     bad = raw.where("fails").select("page_id").distinct().select("page_id", F.lit("unusable reading order").alias("error"), F.lit("").alias("detail"))
-    regions = detection.detect(raw.join(bad.select("page_id"), "page_id", "left_anti"), config.max_regions)
+    regions = detection.detect(raw.join(bad.select("page_id"), "page_id", "left_anti"), config.max_regions, margin=config.region_margin_frac)
     return regions, detection.error_record(failed.unionByName(bad))
 
 
-def transcribed(pages: DataFrame, regions: DataFrame, client: Callable, config: RunConfig) -> DataFrame:
-    """regions with status, text, error and skipped."""
+def transcribed(cut: DataFrame, regions: DataFrame, client: Callable, config: RunConfig, answers_dir: str) -> DataFrame:
+    """regions with status, text, error and skipped, from their cut images; each answer is in answers_dir/transcribe."""
     known, ask = model.route_regions(regions)
-    cut = images.crops(pages, ask)
     request = model.prompts(ask).select("page_id", "id", "prompt").join(cut.select("page_id", "id", "pixels"), ["page_id", "id"])
-    policy = model.Policy("transcribe", config.transcription_thinking, config.region_media_resolution, config.transcription_retries)
-    answers = model.ask_model(request, client, policy, ["page_id", "id"]).drop("attempts")
+    policy = model.Policy("transcribe", config.transcription_thinking, config.region_media_resolution, config.transcription_retries, model_id=config.model_id, temperature=config.transcription_temperature, max_output_tokens=config.max_output_tokens)
+    answers = kept(model.ask_model(request, client, policy, ["page_id", "id"]), f"{answers_dir}/transcribe").drop("attempts", "finish_reason")
     done = ask.join(answers, ["page_id", "id"]).withColumn("skipped", F.lit(None).cast("boolean"))
     return done.unionByName(known.withColumn("error", F.lit(None).cast("string")), allowMissingColumns=True)
 
 
-def run(spark: SparkSession, config: RunConfig, client: Callable = model.stub_client) -> dict:
-    """Run the documents of a folder and return the summary. Pages fail alone; an empty folder writes nothing."""
+def run(spark: SparkSession, config: RunConfig, client: Callable | None = None) -> dict:
+    """Run the documents of a folder and return the summary. Pages fail alone; an empty folder writes nothing.
+
+    Under the output folder are pages, regions, md and the summary; errors holds the table of all errors, answers what the
+    model said, a row for each call with its attempts.
+    """
+    client = client or config.client_factory()
     began = time.time()
     found = ordered_scans(spark, config.input_dir)
     if found.isEmpty():
         return {"doc_type": config.doc_type, "model_id": config.model_id, "pages_processed": 0, "errors": []}
-    out = {k: os.path.join(config.output_dir, k) for k in ("pages", "regions", "md")}
+    out = {k: os.path.join(config.output_dir, k) for k in ("pages", "regions", "md", "errors", "answers")}
     pages = images.prepared(found, config.single_page, config.split_overlap_px, config.deskew, config.enhance_contrast, config.sharpen).repartition(config.workers).cache()
     as_png = F.pandas_udf(lambda p, w, h: p.combine(w.combine(h, lambda a, b: (int(a), int(b))), lambda d, s: images.png(images.rgb(d, *s))), "binary")
     sinks.write_files(pages.where("error is null").select(F.concat("page_id", F.lit(".png")).alias("name"), as_png("pixels", "width", "height").alias("data")), out["pages"], "name", "data")
     errors = pages.where("error is not null").select(F.col("page_id").alias("page"), "error")
     if config.uses_region_detection:
-        regions, failed = detected(pages, client, config)
-        regions = transcribed(pages, regions.cache(), client, config).cache()
+        regions, failed = detected(pages, client, config, out["answers"])
+        cut = kept(images.crops(pages, regions), f"{out['answers']}/crops")
+        regions = transcribed(cut, regions, client, config, out["answers"])
         errors = errors.unionByName(failed.select(F.col("page_id").alias("page"), "error"))
         good = pages.where("error is null").select("page_id").join(failed.select("page_id"), "page_id", "left_anti")
         docs = good.join(markdown.region_documents(regions), "page_id", "left").select("page_id", F.coalesce("md", F.concat(F.lit("---\npage_id: "), "page_id", F.lit('\nregions: ""\n---\n'))).alias("md"))
         rows = regions.withColumn("transcription", F.struct("status", "text", "skipped", "error"))
         records = good.join(markdown.regions_json(rows, FIELDS), "page_id", "left").select("page_id", F.coalesce("json", F.lit("[]")).alias("json"))
-        sinks.write_files(images.crops(pages, regions).select(F.concat("page_id", F.lit("/"), "id", F.lit("_"), "type", F.lit(".png")).alias("name"), "pixels"), out["regions"], "name", "pixels")
+        sinks.write_files(cut.select(F.concat("page_id", F.lit("/"), "id", F.lit("_"), "type", F.lit(".png")).alias("name"), "pixels"), out["regions"], "name", "pixels")
     else:
         kind = config.doc_type
+        prompt, _ = model.full_page(kind)
         level = config.graph_media_resolution if kind == "graph" else config.full_page_media_resolution
-        request = pages.where("error is null").select("page_id", F.lit(model.PROMPTS[f"full_{kind}"]).alias("prompt"), "pixels")
-        answers = model.ask_model(request, client, model.Policy("transcribe", config.full_page_thinking, level, config.full_page_retries), ["page_id"]).withColumn("doc_type", F.lit(kind)).cache()
+        policy = model.Policy("transcribe", config.full_page_thinking, level, config.full_page_retries, model_id=config.model_id, temperature=config.transcription_temperature, max_output_tokens=config.max_output_tokens)
+        request = pages.where("error is null").select("page_id", F.lit(prompt).alias("prompt"), "pixels")
+        answers = kept(model.ask_model(request, client, policy, ["page_id"]), f"{out['answers']}/{kind}").withColumn("doc_type", F.lit(kind))
         errors = errors.unionByName(answers.where("status = 'error'").select(F.col("page_id").alias("page"), "error"))
         fine = answers.where("status = 'success'")
         docs, records = markdown.full_page_documents(fine), markdown.full_page_json(fine)
@@ -86,9 +101,12 @@ def run(spark: SparkSession, config: RunConfig, client: Callable = model.stub_cl
         sinks.write_files(docs.select(F.concat("page_id", F.lit(".md")).alias("name"), "md"), out["md"], "name", "md")
     pretty = F.pandas_udf(lambda s: s.map(lambda x: json.dumps(json.loads(x), ensure_ascii=False, indent=2)), "string")
     sinks.write_files(records.select(F.concat("page_id", F.lit(".json")).alias("name"), pretty("json").alias("json")), out["regions"], "name", "json")
-    failures = errors.orderBy(scans.T.natural_key(F.col("page"))).limit(10_000)
-    summary = {"doc_type": config.doc_type, "model_id": config.model_id, "pages_processed": pages.count() - errors.count(), "errors": [r.asDict() for r in failures.collect()], "elapsed_seconds": round(time.time() - began, 1)}
+    errors = kept(errors, out["errors"])
+    listed = errors.orderBy(scans.T.natural_key(F.col("page")), "error").limit(config.listed_errors)
+    n_errors = errors.count()
+    summary = {"doc_type": config.doc_type, "model_id": config.model_id, "pages_processed": pages.count() - n_errors, "n_errors": n_errors, "errors": [r.asDict() for r in listed.collect()], "elapsed_seconds": round(time.time() - began, 1)}
     sinks.write_summary(config.output_dir, summary)
+    pages.unpersist()
     return summary
 
 

@@ -157,12 +157,7 @@ def detection_errors(spark: SparkSession, d: str) -> DataFrame:
 def scans_in_order(spark: SparkSession, d: str) -> DataFrame:
     """A1, F1: supported files in natural order."""
     files = scans.in_order(X.scan_names(spark, d))
-    # A file list of one folder: ranks come from the prefix counts, so only the prefixes meet in one task.
-    head = F.col("natural")[0]["s"]
-    sizes = files.groupBy(head.alias("head")).agg(F.count("*").alias("n"))
-    before = sizes.select("head", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = files.withColumn("head", head).join(before, "head")
-    return own.select("page", "file_name", (F.row_number().over(Window.partitionBy("head").orderBy("natural")) + F.col("before")).cast("int").alias("seq"))
+    return scans.numbered(files.select("page", "file_name", "natural"), F.col("natural")).select("page", "file_name", "seq")
 
 
 @query("SELECT page, file_name, row_number() OVER (PARTITION BY page // 10 ORDER BY lower(regexp_extract(file_name, '^[^0-9]+')), regexp_extract(file_name, '[0-9]+')::BIGINT, lower(regexp_extract(file_name, '[.].*$')))::INT AS seq FROM scan", "scan")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagelake.functions import text as T
@@ -28,6 +28,20 @@ def in_order(files: DataFrame, name: str = "file_name") -> DataFrame:
     return own.withColumn("natural", T.natural_key(F.col("stem")))
 
 
+def numbered(rows: DataFrame, key: F.Column, name: str = "seq") -> DataFrame:
+    """rows with their place, from 1, in ascending order of key.
+
+    A range sort puts rows in order over all tasks; a place is the count of the rows in the parts before, one number for
+    each part, and the place in the part. No task sees more than its range.
+    """
+    at, part = F.col("_at"), F.shiftright("_at", 33)
+    ordered = rows.withColumn("_key", key).orderBy("_key").drop("_key").withColumn("_at", F.monotonically_increasing_id()).persist()
+    sizes = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    placed = ordered.withColumn("part", part).join(F.broadcast(before), "part")
+    return placed.withColumn(name, (F.col("before") + at.bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("int")).drop("part", "before", "_at")
+
+
 def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     """The scans of a folder (not of those inside it): path, file_name, stem, ext, natural, length, content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(folder)

@@ -15,13 +15,16 @@ def answers(spark: SparkSession, folder: str, per_batch: int = 1000) -> DataFram
     return spark.readStream.schema(ANSWERS).option("maxFilesPerTrigger", per_batch).json(folder)
 
 
-def region_sink(batch: DataFrame, _: int, out: str) -> None:
-    """Regions of one batch; a page is whole in its answer, so numbering needs no state."""
+def region_sink(batch: DataFrame, number: int, out: str) -> None:
+    """Regions of one batch; a page is whole in its answer, so numbering needs no state.
+
+    A batch has a folder of its own (batch_id=number), so one that is run again replaces what it wrote.
+    """
     parsed = detection.parse_answers(batch)
     keys = ["page_id", "img_w", "img_h"]
     raw = detection.fields(detection.unnest_regions(parsed, keys), keys).withColumn("box", detection.R.normal_box(F.col("bbox")))
     regions = detection.detect(raw.where("not fails"))
-    regions.select("page_id", "id", "type", "bbox", "reading_order").write.mode("append").parquet(out)
+    regions.select("page_id", "id", "type", "bbox", "reading_order").write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
 
 def write_regions(stream: DataFrame, out: str, checkpoint: str):

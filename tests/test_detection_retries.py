@@ -15,7 +15,7 @@ from tests.test_runs import ANSWER, page
 def client(bad):
     """One page: the first `bad` answers are cut short, then a good one follows."""
 
-    def make():
+    def make(policy):
         asked = []
 
         def answer(prompt, level, resolution, pixels):

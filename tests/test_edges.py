@@ -114,9 +114,14 @@ def test_front_matter(spark):
 def test_fences_and_tables(spark):
     assert one(spark, "a\n```html\n<table><tr>\n```\nb", T.unwrap_fences) == "a\n<table><tr>\n</table>\nb"
     assert one(spark, "prose line\n| a | b |\n|---|---|\n| 1 | 2 |", T.blank_before_tables) == "prose line\n\n| a | b |\n|---|---|\n| 1 | 2 |"
-    assert render.close_fence("x\n```html\n<table>\n\n> note") == "x\n```html\n<table>\n```\n\n> note"
-    assert render.close_fence("```\na") == "```\na\n```\n"
-    assert render.close_fence("```html\na\n```") == "```html\na\n```"
+    assert one(spark, "x\n```html\n<table>\n\n> note", T.close_fence) == "x\n```html\n<table>\n```\n\n> note"
+    assert one(spark, "```\na", T.close_fence) == "```\na\n```\n"
+    assert one(spark, "```html\n<p>\n\nmore\n\n## h\n\n- x", T.close_fence) == "```html\n<p>\n\nmore\n```\n\n## h\n\n- x"
+    assert one(spark, "```html\nx\n```\n```\n\n> q", T.close_fence) == "```html\nx\n```\n```\n\n> q\n```\n"
+    assert one(spark, "- item\n| a |\n|---|", T.blank_before_tables) == "- item\n| a |\n|---|"
+    assert one(spark, "```html\nnever ended", T.unwrap_fences) == "```html\nnever ended"
+    assert one(spark, "a<table>1</table>b<table x>2</table><table>", T.wrap_tables) == 'a<div class="table-wrap"><table>1</table></div>b<div class="table-wrap"><table x>2</table></div><table>'
+    assert one(spark, "```html\na\n```", T.close_fence) == "```html\na\n```"
 
 
 def test_render(spark):

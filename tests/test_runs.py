@@ -22,7 +22,7 @@ def page(w=120, h=90):
 ANSWER = json.dumps({"regions": [{"type": "Title", "bbox": {"x": 0, "y": 0, "width": 500, "height": 200}, "reading_order": 2}, {"type": "PageNumberRegion", "bbox": [0, 900, 50, 990], "page_number": 7, "reading_order": 1}, {"type": "TableRegion", "bbox": {"x": 1}}]})
 
 
-def client():
+def client(policy=None):
     return lambda prompt, level, resolution, pixels: f"```json\n{ANSWER}\n```" if prompt.startswith("List") else "Some heading"
 
 
