@@ -3,7 +3,7 @@
 Rows are packed into chunks of some megabytes. A chunk sends each segment the sorted list of its hashes there, cut to as
 many bits as the table needs and coded as differences, two to three bytes each. The task of a segment judges every hash
 and answers each list with a code for each entry. Chunks meet their answers in a shuffle by chunk number, so the text is
-read once and moved once, whatever the size of the table. A hash that all rows hold is one entry in each chunk.
+read once from its table and moved once, whatever the size of the table. A hash that all rows hold is one entry in each chunk.
 """
 
 from __future__ import annotations
@@ -88,12 +88,17 @@ def pressed(text: Column) -> Column:
 
     @F.arrow_udf("binary")
     def small(text: pa.Array) -> pa.Array:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=3).compress
         return pa.array([None if t is None else press(t.encode("utf-8", "surrogatepass")) for t in text.to_pylist()], pa.binary())
 
     return small(text)
 
 
+def opened(rows: pa.Scalar) -> pa.Table:
+    """A packed chunk's rows."""
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
 def expanded(data: pa.Scalar) -> bytes | None:
     return zstandard.ZstdDecompressor().decompress(data.as_py()) if data.is_valid else None
 
@@ -114,18 +119,11 @@ def judged_chunks(frame: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarr
         size = 0
 
         def out():
-            chunk = uuid.uuid4().int >> 65
             table = pa.Table.from_batches(held).combine_chunks()
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as writer:
                 writer.write_table(table)
-            hashes, row = keys_of(table)
-            keys = listed(shape.cut(hashes), row)
-            segment = shape.segment(keys.q)
-            cuts = [0, *(np.flatnonzero(np.diff(segment)) + 1).tolist(), len(segment)] if len(segment) else [0]
-            lists = [coded(Keys(keys.q[a:b], keys.n[a:b], keys.many[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
-            where = [int(segment[a]) for a in cuts[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * (1 + len(lists)), pa.int64()), pa.array([_LAST, *where], pa.int64()), pa.array([sink.getvalue().to_pybytes(), *[None] * len(lists)], pa.binary()), pa.array([None, *lists], pa.binary())], ["chunk", "segment", "rows", "keys"])
+            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
 
         for batch in batches:
             step = max(1, int(batch.num_rows * chunk_bytes / 4 / max(1, batch.nbytes)))
@@ -133,10 +131,20 @@ def judged_chunks(frame: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarr
                 held.append(part := batch.slice(i, step))
                 size += part.nbytes
                 if size >= chunk_bytes:
-                    yield from out()
+                    yield out()
                     held, size = [], 0
         if held:
-            yield from out()
+            yield out()
+
+    def listing(batches):
+        for batch in batches:
+            for chunk, rows in zip(batch["chunk"].to_pylist(), batch["rows"], strict=True):
+                hashes, row = keys_of(opened(rows))
+                keys = listed(shape.cut(hashes), row)
+                segment = shape.segment(keys.q)
+                cuts = [0, *(np.flatnonzero(np.diff(segment)) + 1).tolist(), len(segment)] if len(segment) else [0]
+                lists = [coded(Keys(keys.q[a:b], keys.n[a:b], keys.many[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(lists), pa.int64()), pa.array([int(segment[a]) for a in cuts[:-1]], pa.int64()), pa.array(lists, pa.binary())], ["chunk", "segment", "keys"])
 
     def answered(batches):
         held: list[tuple[int, bytes]] = []
@@ -164,11 +172,11 @@ def judged_chunks(frame: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarr
                 if segment != _LAST:
                     codes.append(zstandard.ZstdDecompressor().decompress(data.as_py()))
                 else:
-                    yield from use(pa.ipc.open_stream(data.as_buffer()).read_all(), np.frombuffer(b"".join(codes), np.uint8))
+                    yield from use(opened(data), np.frombuffer(b"".join(codes), np.uint8))
                     codes = []
 
-    chunks = materialize(frame.mapInArrow(packed, "chunk long, segment long, rows binary, keys binary"), f"{tag}-chunks")
-    lists = chunks.where("keys is not null").select("chunk", "segment", "keys").repartition("segment").sortWithinPartitions("segment")
+    chunks = materialize(frame.mapInArrow(packed, "chunk long, rows binary"), f"{tag}-chunks")
+    lists = chunks.mapInArrow(listing, "chunk long, segment long, keys binary").repartition("segment").sortWithinPartitions("segment")
     answers = materialize(lists.mapInArrow(answered, "chunk long, segment long, data binary"), f"{tag}-answers")
-    both = answers.unionByName(chunks.where("rows is not null").select("chunk", "segment", F.col("rows").alias("data")))
+    both = answers.unionByName(chunks.select("chunk", F.lit(_LAST).alias("segment"), F.col("rows").alias("data")))
     return both.repartition("chunk").sortWithinPartitions("chunk", "segment").mapInArrow(used, schema)
