@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,20 +16,40 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Set here only where the session has none, as in tests."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Only a session in one process (tests) gets a folder of its own where none is set; on a cluster that would be another
+    folder on each machine, so it is an error.
+    """
     if at := spark.conf.get("spark.checkpoint.dir", None):
         return at.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
     at = "file://" + tempfile.mkdtemp(prefix="pagelake-")
     spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialize(df: DataFrame, tag: str, *over: DataFrame) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Tables written before that nothing needs any more (over) are deleted once the new one is there.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    discard(spark, *over)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete what materialize wrote for these tables."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def col(name: str) -> Column:
@@ -79,21 +100,22 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     """(node, component) for every node of edges(a, b); component is the smallest node that can be reached.
 
-    Alternates two star contractions until only stars are left (a logarithmic number of rounds in practice).
-    Every step is a join or a minimum per key with map-side combination; both sides of a join are written tables,
-    so that adaptive execution can split a hub. Nulls and loops are ignored.
+    Alternates two star contractions until only stars are left (a logarithmic number of rounds in practice; there is no
+    limit to them). Every step is a join or a minimum per key with map-side combination; both sides of a join are written
+    tables, so that adaptive execution can split a hub, and go when the next round has been written. Nulls and loops are
+    ignored.
     """
     oriented = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     now = materialize(oriented.distinct(), tag)
-    for _ in range(60):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), tag)
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), tag)
+        near = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), tag)
+        large = both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(large.distinct(), tag, now, near)
         least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), tag)
         small = large.join(least, "u")
         moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(small.select("u", F.col("m").alias("v")))
-        now = materialize(moved.distinct(), tag)
+        now = materialize(moved.distinct(), tag, large, least)
         # Stars: no node has two parents, and no parent has a parent.
         twice = now.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
         chained = now.select(F.col("v").alias("u")).join(now.select("u"), "u", "left_semi")

@@ -75,13 +75,15 @@ def rake(cells: DataFrame, goals: DataFrame, budget: float, rounds: int = ROUNDS
     total = cells.agg(F.sum("mass")).first()[0] or 1.0
     dims = [r.dim for r in goals.select("dim").distinct().collect()]
     now = cells.withColumn("share", F.col("mass") / total)
+    last = now
     for k in range(rounds):
         for dim in (d for d in DIMS if d in dims):
             own = goals.where(F.col("dim") == dim).select(F.col("value").alias(dim), "goal")
             factor = now.groupBy(dim).agg(F.sum("share").alias("held")).join(own, dim).where("held > 0").select(dim, (F.col("goal") / F.col("held")).alias("factor"))
             scaled = F.col("share") * F.coalesce("factor", F.lit(0.0))
             now = now.join(factor, dim, "left").select(*DIMS, "mass", F.least(scaled, F.col("mass") / (total * budget)).alias("share"))
-        now = materialize(now, "mixing-rake")
+        now = materialize(now, "mixing-rake", last)
+        last = now
         if k % 4 == 3 and (residual(now, goals).agg(F.max("off")).first()[0] or 0.0) <= NEAR:
             break
     return now

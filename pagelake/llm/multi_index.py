@@ -44,6 +44,14 @@ def _square(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)[None])
 
 
+def _nearest(distance: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n columns of least distance of each row, nearest first, and their distances."""
+    n = min(n, distance.shape[1])
+    some = np.sort(np.argpartition(distance, n - 1, axis=1)[:, :n], axis=1)
+    order = np.take_along_axis(some, np.argsort(np.take_along_axis(distance, some, 1), axis=1, kind="stable"), 1)
+    return order, np.take_along_axis(distance, order, 1)
+
+
 class Grid:
     """Two codebooks and the number of cells that a query visits."""
 
@@ -56,9 +64,8 @@ class Grid:
         a, b = _square(x[:, :half], self.first), _square(x[:, half:], self.second)
         # A cell at rank (i, j) of the two sorted lists comes after all (i', j') at or below it, so ranks with
         # (i + 1) * (j + 1) > visits can't be among the first ones.
-        ia, ib = np.argsort(a, axis=1, kind="stable"), np.argsort(b, axis=1, kind="stable")
-        sa, sb = np.take_along_axis(a, ia, 1), np.take_along_axis(b, ib, 1)
-        ranks = np.array([(i, j) for i in range(a.shape[1]) for j in range(b.shape[1]) if (i + 1) * (j + 1) <= visits])
+        (ia, sa), (ib, sb) = (_nearest(y, visits) for y in (a, b))
+        ranks = np.array([(i, j) for i in range(ia.shape[1]) for j in range(min(ib.shape[1], visits // (i + 1)))])
         total = sa[:, ranks[:, 0]] + sb[:, ranks[:, 1]]
         best = np.argsort(total, axis=1, kind="stable")[:, :visits]
         return np.take_along_axis(ia, ranks[best, 0], 1) * self.second.shape[0] + np.take_along_axis(ib, ranks[best, 1], 1)
@@ -68,8 +75,11 @@ class Grid:
 
 
 def fit_grid(sample: np.ndarray, n: int, threshold: float, recall: float) -> Grid:
-    """Codebooks for about 32 entries a cell at n vectors, and the visits that find pairs at the threshold from either side."""
-    k = int(np.clip(round(math.sqrt(n / 32)), 2, 64))
+    """Codebooks for about 32 entries a cell at n vectors, and the visits that find pairs at the threshold from either side.
+
+    The codebooks grow with the root of n, as long as the sample has eight vectors for each code.
+    """
+    k = int(np.clip(round(math.sqrt(n / 32)), 2, max(2, len(sample) // 8)))
     half = sample.shape[1] // 2
     grid = Grid(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k))
     rng = np.random.default_rng(11)
@@ -93,7 +103,9 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Pairs at or above the threshold that the index finds are links; none below it is. Vectors that are null, zero, hold
     null or non-finite components, or differ in length from most of the sample, link with nothing and are kept; so are
-    rows with a null id (component null, not kept). Rows that repeat an id should hold one vector: each counts as a
+    rows with a null id (component null, not kept). Codebooks and visits are fitted on at most sample_limit vectors; from
+    32 * (sample_limit / 8) ** 2 vectors on (200 million by default) cells grow with the table unless the limit does,
+    which costs time and loses nothing. Rows that repeat an id should hold one vector: each counts as a
     vector of its own in n_links. Empty tables give empty tables. Input columns named like outputs give way to them.
     """
     id_, v = col(id_col), col(vector_col)
@@ -180,7 +192,3 @@ def _with_links(rows: DataFrame, columns: list[str], found: DataFrame | None, id
         links, component = F.coalesce("links", F.lit(0)).cast("long"), F.coalesce("component", "id")
     return unsealed(rows, columns, n_links=links, component_id=component, kept=F.coalesce(F.col("id") == component, F.lit(False)))
 
-
-def brute_force(x: np.ndarray, threshold: float = 0.9) -> np.ndarray:
-    """All pairs of rows at or above the threshold, for measuring recall on small tables."""
-    return np.argwhere(np.triu(x @ x.T >= threshold, 1))

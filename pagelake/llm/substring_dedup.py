@@ -1,7 +1,7 @@
 """Exact removal of repeated 50-byte strings, by buckets of suffixes that are sorted one at a time.
 
-The cover: any two equal 50-byte strings have the same representative, of a string's 31 grams of 20 bytes the one with the
-least hash. (It is chosen by content, as a synchronizing set, which serves like a difference cover; README says what an
+Dealing out: any two equal 50-byte strings have the same representative, of a string's 31 grams of 20 bytes the one with the
+least hash. (It is chosen by content, as in a synchronizing set; README says what an
 arithmetic cover would ship.) Neighbouring starts mostly share their representative, so a text is a list of blocks: a gram,
 a first start and the number of starts that belong to it. Grams that only one document holds are found by segments of
 their hashes (chunks.py), and their blocks go no further.
@@ -9,7 +9,9 @@ their hashes (chunks.py), and their blocks go no further.
 A bucket holds the suffixes that share a representative. Where that would be more than `bucket` blocks, a bucket is of the
 suffixes that share all 50 bytes, and of equal ones a chunk of documents sends those of its least id only. A task sorts one
 run of buckets after the other, by the bytes of the suffixes; equal ones lie side by side, and all but those of the least
-id are marked. Hashes deal out, they decide nothing: suffixes are equal if their bytes are.
+id are marked. Order comes from the first and last bytes of the suffixes, and ties, which run longer than those, are
+resolved by precomputed ranks of a difference cover's sample, so a task holds two words and three ranks for each suffix
+and no suffix itself. Hashes deal out, they decide nothing: suffixes are equal if their bytes are.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from pagelake.llm.common import col, materialize, sealed, unsealed
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
 CHUNK = 20_000
+#: A difference cover: for any two places there is an offset below PERIOD that takes both to remainders in COVER. Sampled
+#: suffixes are ranked to DEPTH bytes, which reach from the first eight bytes of a string to its last eight.
+PERIOD, COVER, DEPTH = 7, (1, 2, 4), LENGTH - 8
+OFFSETS = np.array([[k for k in range(PERIOD) if (r + k) % PERIOD in COVER] for r in range(PERIOD)])
 ONCE, SHARED, CROWDED = 0, 1, 2
 _U = np.uint64
 _TABLE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -90,29 +96,56 @@ def starts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def sorted_suffixes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the 50-byte strings of data that start at these places, and where in it a string differs from the last."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(_U)
-    words = np.zeros(len(data) + 1, _U)
-    for k in range(8):
-        words |= padded[k : k + len(words)] << _U(56 - 8 * k)
-    keys = [words[at + k] for k in (*range(0, LENGTH - 8, 8), LENGTH - 8)]
+def cover_ranks(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For every place the rank, in suffix order to DEPTH bytes, of the cover sample of the suffixes that start at `at`.
+
+    The sample is the places less than PERIOD behind a start whose remainder is in COVER. Equal strings have one rank.
+    """
+    near = np.zeros(len(words) + PERIOD, bool)
+    for k in range(PERIOD):
+        near[at + k] = True
+    place = np.flatnonzero(near[: len(words)] & np.isin(np.arange(len(words)) % PERIOD, COVER))
+    keys = [words[np.minimum(place + k, len(words) - 1)] for k in (*range(0, DEPTH - 8, 8), DEPTH - 8)]
     order = np.lexsort(keys[::-1])
-    new = np.zeros(len(at), bool)
-    new[:1] = True
+    new = np.zeros(len(place), bool)
     for key in keys:
         key = key[order]
         new[1:] |= key[1:] != key[:-1]
-    return order, new
+    ranks = np.zeros(len(words), np.int64)
+    ranks[place[order]] = np.cumsum(new)
+    return ranks
 
 
 def late(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which of the strings at these places also start in a document with a smaller id."""
-    order, new = sorted_suffixes(data, at)
-    own, group = doc[order], np.cumsum(new) - 1
-    least = np.minimum.reduceat(own, np.flatnonzero(new)) if len(own) else own
+    """Which of the 50-byte strings at these places also start in a document with a smaller id.
+
+    Suffixes are put in order by their first and their last eight bytes. Ties are resolved by the ranks of a difference
+    cover's sample: for any two places there is a k below PERIOD that takes both into the sample, and strings that agree in
+    their ends and in the rank at k agree in all bytes. So a string has an entry for each k that takes it into the sample,
+    equal strings meet in at least one, and unlike ones in none.
+    """
+    if not len(at):
+        return np.zeros(0, bool)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(_U)
+    words = np.zeros(len(data) + 1, _U)
+    for k in range(8):
+        words |= padded[k : k + len(words)] << _U(56 - 8 * k)
+    head, tail = words[at], words[at + LENGTH - 8]
+    order = np.lexsort([tail, head])
+    new = np.zeros(len(at), np.int64)
+    new[1:] = (head[order][1:] != head[order][:-1]) | (tail[order][1:] != tail[order][:-1])
+    tie = np.empty(len(at), np.int64)
+    tie[order] = np.cumsum(new)
+    ranks = cover_ranks(words, at)
+    wide = int(ranks.max()).bit_length()
     out = np.zeros(len(at), bool)
-    out[order] = own > least[group]
+    steps = OFFSETS[at % PERIOD]  # for each start the offsets that take it into the sample
+    entry = ((tie[:, None] * 8 + steps) << wide) | ranks[at[:, None] + steps]
+    order = np.argsort(entry, axis=None)
+    key, own = entry.ravel()[order], np.repeat(doc, steps.shape[1])[order]
+    head = np.concatenate([[True], key[1:] != key[:-1]])
+    least = np.minimum.reduceat(own, np.flatnonzero(head))
+    out[order[own > least[np.cumsum(head) - 1]] // steps.shape[1]] = True
     return out
 
 
