@@ -3,13 +3,14 @@
 A unit is a word, or a run of spaced single letters closed up. The gap-weighted subsequence kernel of order three compares
 units through all common subsequences of three characters, each weighted by decay ** (its span in both strings), so
 inserted or missing characters lower a likeness but do not end it. Nystroem landmarks turn the kernel into a short vector;
-a linear support vector machine separates witness units of toxic sentences from units of clean ones. Units carry marks for
-their start and end. A text scores by its most toxic unit and by the sum and the share of its toxic units' margins, through
+a linear support vector machine separates witness units of toxic texts from units of clean ones. First witnesses come from
+the contexts of words; then the machine is fitted anew to the witnesses that it finds in each labelled text (multiple
+instances with one label). Units carry marks for their start and end. A text scores by its most toxic unit and by the sum and the share of its toxic units' margins, through
 a logistic curve fitted on labelled texts.
 
 The classifier is fitted on a bounded sample of labelled rows, chosen by a hash of the id: at most a quarter of max_texts
 toxic ones and three quarters clean ones, weighted back to their true shares. The contexts of units are counted over that
-sample in Spark; the driver gets at most max_units units of each kind. Every text is scored.
+sample in Spark; the driver gets at most max_units units of each kind at a time. Every text is scored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ DECAY = 0.6
 WIDTH = 16
 FLOOR = -0.5
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_CLOSED = re.compile(r"[\W_]+")
+#: Evidence that makes a unit a first witness: its log-likelihood ratio, and the least share of its contexts that are toxic.
+LEAST_RATIO, LEAST_SHARE = 20.0, 0.8
+#: How often the machine is fitted anew to the witnesses that it finds itself in labelled texts.
+ROUNDS = 2
 _SPACED = re.compile(r"(?<!\S)\w(?:[ ._*-]\w){2,}(?!\S)")
 
 
@@ -75,23 +81,27 @@ def features(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(codes), np.concatenate(values)
 
 
+def windows(word: str) -> list[str]:
+    """A word of at most WIDTH characters; a longer one as overlapping windows, so that each run of half of WIDTH is whole in one."""
+    if len(word) <= WIDTH:
+        return [word]
+    return [word[i : i + WIDTH] for i in range(0, len(word) - WIDTH // 2, WIDTH // 2)]
+
+
 def units_of(text: str) -> set[str]:
     """The units of a text: words without punctuation at their ends, and runs of spaced letters closed up.
 
-    A word with punctuation inside also counts without it; a long word counts as overlapping windows.
+    A word with punctuation inside also counts without it; a long word counts as overlapping windows, closed up or not.
     """
     out = set()
     found = set(text.lower().split())
-    found.update(re.sub(r"[\W_]+", "", m[0]) for m in _SPACED.finditer(text.lower()))
+    found.update(_CLOSED.sub("", m[0]) for m in _SPACED.finditer(text.lower()))
     for word in found:
         if not word.isalnum():
             word = _EDGE.sub("", word)
-            if word and not word.isalnum() and len(word) <= 4 * WIDTH:
-                out.add(re.sub(r"[\W_]+", "", word)[:WIDTH])
-        if len(word) <= WIDTH:
-            out.add(word)
-        else:
-            out.update(word[i : i + WIDTH] for i in range(0, len(word) - WIDTH // 2, WIDTH // 2))
+            if word and not word.isalnum():
+                out.update(windows(_CLOSED.sub("", word)))
+        out.update(windows(word))
     out.discard("")
     return out
 
@@ -242,12 +252,12 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     n1, n0 = counts.n1, counts.n0
     if not n1 or not n0:
         return n1 / (n1 + n0) if n1 + n0 else 0.0
-    # A unit's evidence is the number of different words before it, in toxic and in clean texts: a group of copies adds
-    # one context to each of its words, however large it is.
+    # A unit's evidence is the number of different pairs of words around it, in toxic and in clean texts: a group of copies
+    # adds one context to each of its words, however large it is, and a word of a fixed phrase still meets many others.
     words = labelled.select("toxic", F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}]+").alias("w"))
-    after = lambda x, i: F.concat(F.lit("\t"), F.coalesce(F.get("w", i - 1), F.lit("")))
-    whole = F.transform("w", lambda x, i: F.concat(x, after(x, i)))
-    stem = F.filter(F.transform("w", lambda x, i: F.when(F.length(x) > 5, F.concat(F.lit("^"), F.substring(x, 1, 5), after(x, i)))), lambda k: k.isNotNull())
+    near = lambda i: F.concat(F.lit("\t"), F.coalesce(F.get("w", i - 1), F.lit("")), F.lit(" "), F.coalesce(F.get("w", i + 1), F.lit("")))
+    whole = F.transform("w", lambda x, i: F.concat(x, near(i)))
+    stem = F.filter(F.transform("w", lambda x, i: F.when(F.length(x) > 5, F.concat(F.lit("^"), F.substring(x, 1, 5), near(i)))), lambda k: k.isNotNull())
     pairs = words.select("toxic", F.explode(F.array_distinct(F.concat(whole, stem))).alias("pair")).groupBy("pair").agg(F.max("toxic").alias("a"), (1 - F.min("toxic")).alias("b"))
     seen = pairs.groupBy(F.substring_index("pair", "\t", 1).alias("key")).agg(F.sum("a").cast("long").alias("a"), F.sum("b").cast("long").alias("b")).where("key not in ('', '^')")
     seen = materialize(seen.withColumn("n", F.col("a") + F.col("b")), "toxicity-contexts")
@@ -255,32 +265,59 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     rate = (total.a or 0) / max(1, total.n or 0)
     a, b, n = (F.col(c).cast("double") for c in ("a", "b", "n"))
     gain = lambda x, e: F.when(x > 0, x * F.ln(x / e)).otherwise(0.0)
-    seen = seen.withColumn("llr", F.when((a / n > rate) & (a / n >= 0.8), 2 * (gain(a, n * rate) + gain(b, n * (1 - rate)))).otherwise(0.0))
-    strong = [r.key for r in seen.where("llr >= 20").orderBy(F.desc("llr"), "key").limit(300).collect()]
+    seen = seen.withColumn("llr", F.when((a / n > rate) & (a / n >= LEAST_SHARE), 2 * (gain(a, n * rate) + gain(b, n * (1 - rate)))).otherwise(0.0))
+    strong = [r.key for r in seen.where(F.col("llr") >= LEAST_RATIO).orderBy(F.desc("llr"), "key").limit(max_units).collect()]
     stems, own = {k[1:] for k in strong if k[0] == "^"}, [k for k in strong if k[0] != "^"]
     if stems:
-        more = seen.where(F.col("key").substr(1, 5).isin(sorted(stems)) & (F.length("key") > 5) & (F.col("a") >= 0.8 * F.col("n"))).orderBy(F.desc("a"), "key").limit(300)
-        own += [r.key for r in more.collect() if r.key not in set(own)]
+        at = F.broadcast(labelled.sparkSession.createDataFrame([(x,) for x in sorted(stems)], "stem string"))  # at most max_units
+        more = seen.where((F.length("key") > 5) & (F.col("a") >= LEAST_SHARE * F.col("n"))).join(at, F.substring("key", 1, 5) == F.col("stem"), "left_semi")
+        have = set(own)
+        own += [r.key for r in more.orderBy(F.desc("a"), "key").limit(max_units).collect() if r.key not in have]
     if not own:
         best = seen.where("a > 0 and key not like '^%'").orderBy(F.desc(a / n), F.desc("a"), "key").limit(20)
         own = [r.key for r in best.collect()]
     clean = seen.where("a = 0 or a < 0.3 * n").where("key not like '^%'")
     clean = clean.orderBy(F.col("n") < 20, F.xxhash64("key"), "key").limit(max_units)
-    cut = lambda xs: sorted({x[:WIDTH] for x in xs if len(x) >= 1}, key=xs_order(xs))
-    positive = cut(own)
-    negative = [x for x in cut([r.key for r in clean.collect()]) if x not in set(positive)]
+    harmless = list(dict.fromkeys(x for r in clean.collect() for x in windows(r.key)))
+    known = set(harmless)
+    positive = list(dict.fromkeys(x for k in own for x in windows(k) if len(k) <= WIDTH or x not in known))
+    negative = [x for x in harmless if x not in set(positive)]
     model = fit_units(positive, negative)
+    # Labels are of texts, so the machine is fitted anew to labelled texts: its witness of a toxic one is the unit of the
+    # highest margin, of a clean one that unit too, which has to be under the line. A toxic text whose every unit lies at
+    # the floor has no witness.
+    for _ in range(ROUNDS):
+        found = labelled.select("toxic", witness_of(model)("text").alias("w")).where("w is not null").groupBy("w").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+        found = found.orderBy(F.desc("n"), "w").limit(max_units).collect()
+        more = [r.w for r in found if r.a >= LEAST_SHARE * r.n and r.n > 1]
+        less = {r.w for r in found if r.a < 0.5 * r.n}
+        now = [x for x in dict.fromkeys([*positive, *more]) if x not in less]
+        if not now or now == positive and less <= set(negative):
+            break
+        positive = now
+        negative = [x for x in dict.fromkeys([*negative, *sorted(less)]) if x not in set(positive)]
+        model = fit_units(positive, negative)
     some = labelled.select("toxic", evidence_of(model)(F.col("text")).alias("x")).toPandas()
     model.curve = _logistic(np.array(some["x"].tolist(), float), some["toxic"].to_numpy(int), share)
     return model
 
 
-def xs_order(xs: list[str]):
-    """Sort key that keeps the first place at which a cut word stands."""
-    place: dict[str, int] = {}
-    for i, x in enumerate(xs):
-        place.setdefault(x[:WIDTH], i)
-    return place.__getitem__
+def witness_of(model: Model):
+    """The unit of a text whose margin is highest, if it is above the floor."""
+
+    @F.arrow_udf("string")
+    def witness(text: pa.Array) -> pa.Array:
+        out = []
+        texts = text.to_pylist()
+        for i in range(0, len(texts), 256):
+            each = [sorted(units_of(t or "")) for t in texts[i : i + 256]]
+            all_ = sorted(set().union(*each))
+            margin = dict(zip(all_, model.margins(all_).tolist(), strict=True))
+            best = [max(own, key=margin.__getitem__, default=None) for own in each]
+            out += [None if u is None or margin[u] <= FLOOR else u for u in best]
+        return pa.array(out, pa.string())
+
+    return witness
 
 
 def evidence_of(model: Model):

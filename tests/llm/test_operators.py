@@ -393,3 +393,33 @@ def test_empty_null_and_clashing(spark, name):
     if name != "winnowing":
         assert out.columns[:10] == df.columns and {r["row.x"] for r in out.collect()} == {"r", "x", None}
     assert CASES[name](spark.createDataFrame([], schema), spark).count() == 0
+
+
+def test_units_of_long_and_separated_words():
+    insult = "grobnikverfluchterschwachkopfdudummer"
+    assert toxicity.units_of(insult) == set(toxicity.windows(insult)) and len(toxicity.windows(insult)) > 1
+    apart = "-".join(insult * 3)
+    closed = set(toxicity.windows(insult * 3))
+    assert closed <= toxicity.units_of(apart) and all(any(insult[i : i + 8] in w for w in closed) for i in range(len(insult) - 8))
+    assert toxicity.units_of("a g r o b n i k b") >= {"agrobnikb"} and toxicity.units_of(" .. ") == set()
+
+
+def test_toxicity_of_fixed_phrases_and_copies(spark):
+    """A word that always follows the same one is learned; words of many copies of one toxic text are not."""
+    rng = random.Random(16)
+    rows, labels = [], []
+    for i in range(500):
+        words = prose(rng, 40).split()
+        bad = i % 4 == 0
+        if bad:
+            words[rng.randrange(39)] = "olde grobnik"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    copy = prose(random.Random(17), 30) + " kwentzal olde grobnik"
+    rows += [(1000 + i, copy) for i in range(300)]
+    labels += [(1000 + i, 1) for i in range(300)]
+    rows += [(2000, "olde grobnik"), (2001, prose(random.Random(18), 30) + " kwentzal"), (2002, "olde")]
+    out = {r.doc_id: r for r in toxicity.toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert out[2000].score > 0.5 and out[2001].predicted == 0
+    held = [(out[i].predicted, y) for i, y in labels if out[i].held_out and i < 1000]
+    assert np.mean([p == y for p, y in held]) > 0.97
