@@ -9,6 +9,8 @@ occur, in documents without the value too, and are removed or generalised.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,10 @@ TERM = r"\p{L}++"
 _SPAN = "array<struct<s:int,e:int,v:string>>"
 
 
+#: Matches are laid end to end in parts of so many, so that a text with many takes time in proportion to them.
+PART = 256
+
+
 def spans(text: Column, pattern: str | Column) -> Column:
     """Start, end (in code points) and value of each match, from the matches and the gaps between them."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -39,7 +45,13 @@ def spans(text: Column, pattern: str | Column) -> Column:
         e = s + F.length(x["v"])
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))).alias("out"))
 
-    return F.aggregate(pairs, start, step)["out"]
+    def join(acc: Column, part: Column) -> Column:
+        moved = F.transform(part["out"], lambda x: F.struct((x["s"] + acc["at"]).alias("s"), (x["e"] + acc["at"]).alias("e"), x["v"].alias("v")))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
+
+    few = F.aggregate(pairs, start, step)["out"]
+    parts = F.transform(F.sequence(F.lit(0), F.size(pairs) - 1, F.lit(PART)), lambda i: F.aggregate(F.slice(pairs, i + 1, F.lit(PART)), start, step))
+    return F.when(F.size(pairs) <= PART, few).otherwise(F.aggregate(parts, start, join)["out"])
 
 
 def luhn(digits: Column) -> Column:
@@ -89,11 +101,19 @@ def _terms(text: Column) -> Column:
 
 
 def _marked(text: Column, base: Column, levels: Column) -> Column:
-    """Every occurrence of a form in levels (form: level), none inside a protected span."""
+    """Every occurrence of a form in levels (form: level), none inside a protected span.
+
+    They are looked for in the text with its protected spans blanked out, length for length, so no occurrence has to be
+    compared with every span.
+    """
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.map_keys(levels), "|"), F.lit(r")(?!\p{L})"))
-    found = F.filter(spans(text, pattern), lambda t: ~F.exists(base, lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
     level = lambda t: F.element_at(levels, t["v"])
-    return F.transform(found, lambda t: F.struct(t["s"].alias("s"), (F.lit(len(KINDS)) + 2 - level(t)).alias("k"), t["e"].alias("e"), F.lower(t["v"]).alias("v"), F.when(level(t) == 2, REMOVE).otherwise(GENERALISE).alias("kind")))
+    return F.transform(spans(_blanked(text, base), pattern), lambda t: F.struct(t["s"].alias("s"), (F.lit(len(KINDS)) + 2 - level(t)).alias("k"), t["e"].alias("e"), F.lower(t["v"]).alias("v"), F.when(level(t) == 2, REMOVE).otherwise(GENERALISE).alias("kind")))
+
+
+def _blanked(text: Column, base: Column) -> Column:
+    """The text with a mark that is no letter in place of each code point of a protected span."""
+    return sanitised(text, base, lambda acc, x: F.repeat(F.lit("#"), x["e"] - F.greatest(x["s"], acc["at"])))
 
 
 def entity(x: Column) -> Column:
@@ -107,54 +127,52 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
 
     base holds the valid pattern matches; spans holds them and all occurrences of the terms (kinds remove and generalise)
     that disclose at least that share of a value, both in at least `support` documents together. Values become [KIND],
-    removed terms [TERM], generalised ones their first letter and an ellipsis. A null text is empty. Each distinct pair of
-    id and text is one document; rows that repeat it get the same spans. A null id counts like any other. Empty tables
-    give empty tables. Input columns named base, spans or sanitised give way to the operator's.
+    removed terms [TERM], generalised ones their first letter and an ellipsis. A null text is empty. Equal texts are one
+    document in all counts, whatever their ids, and get the same spans: copies and repeated rows change none. Terms of any
+    length are judged, in the scripts that write words apart and in those that do not, where a run of letters is a term.
+    Long texts are judged whole. Empty tables give empty tables. Input columns named base, spans or sanitised give way to the operator's.
     """
     text = F.coalesce(col(text_col), F.lit(""))
+    none = F.array().cast("array<struct<s:int,k:int,e:int,v:string,kind:string>>")
     each = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    each = each.where(F.col("text").rlike("[@0-9]")).withColumn("base", base_spans(F.col("text"))).where(F.size("base") > 0)
-    blank = sanitised(F.col("text"), F.col("base"), F.lit(" "))
-    each = each.select("id", "th", "base", F.array_distinct(F.transform("base", entity)).alias("entities"), _terms(blank).alias("terms"))
-    found = materialize(each.dropDuplicates(["id", "th"]), "pii-found")
-
-    n_docs = docs.count()
-    value = found.select("terms", F.explode("entities").alias("entity"))
+    each = each.withColumn("base", F.when(F.col("text").rlike("[@0-9]"), base_spans(F.col("text"))).otherwise(none))
+    # Equal texts count once, whatever their ids: in every number below a document is a distinct text.
+    texts = each.select("th", F.transform("base", entity).alias("entities"), _terms(_blanked(F.col("text"), F.col("base"))).alias("terms"))
+    texts = materialize(texts.withColumn("entities", F.array_distinct("entities")).dropDuplicates(["th"]), "pii-texts")
+    n_docs = texts.count()
+    value = texts.where(F.size("entities") > 0).select("terms", F.explode("entities").alias("entity"))
     holds = materialize(value.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support), "pii-values")
     # Counted by pair, so a term that all documents hold is no more than one row for each value.
     pairs = value.join(holds.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
     pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pii-pairs")
-    words = docs.select(F.explode(_terms(col(text_col))).alias("term"))
     # Written before the join: else the filter to candidate terms moves below the count and every word is shuffled.
-    held = materialize(words.groupBy("term").agg(F.count("*").alias("n_term")), "pii-terms")
+    held = materialize(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "pii-terms")
     pairs = pairs.join(holds, "entity").join(held, "term")
     own = F.log2(F.lit(float(max(1, n_docs))) / F.col("n_entity"))
     share = F.when(own > 0, F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity"))) / own).otherwise(0.0)
     level = F.max(F.when(share >= remove, 2).when(share >= generalise, 1))
-    flagged = materialize(pairs.groupBy("term").agg(level.alias("level")).where("level is not null"), "pii-flagged")
-    forms = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.explode(_forms(text)).alias("form")).withColumn("term", F.lower("form"))
+    flagged = materialize(pairs.groupBy("term").agg(level.alias("level")).where("level is not null"), "pii-flagged", texts, held)
+    forms = each.select("id", "th", F.explode(_forms(F.col("text"))).alias("form")).withColumn("term", F.lower("form"))
     marks = forms.join(flagged, "term").groupBy("id", "th").agg(F.map_from_entries(F.collect_set(F.struct("form", "level"))).alias("levels"))
     marks = materialize(marks, "pii-marks")
-    none = F.array().cast("array<struct<s:int,k:int,e:int,v:string,kind:string>>")
-    known = found.select("id", "th", "base", F.lit(None).cast("map<string,int>").alias("levels")).unionByName(marks, allowMissingColumns=True)
-    known = known.groupBy(F.col("id").alias("known_id"), F.col("th").alias("known_th")).agg(F.any_value("base", True).alias("base"), F.any_value("levels", True).alias("levels"))
-    known = materialize(known, "pii-known")
-
+    known = marks.select(F.col("id").alias("known_id"), F.col("th").alias("known_th"), "levels")
     rows = sealed(docs, id=col(id_col), th=F.xxhash64(text), text=text)
     rows = rows.join(known, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")), "left")
-    rows = rows.withColumn("base", F.coalesce("base", none))
+    rows = rows.withColumn("base", F.when(F.col("text").rlike("[@0-9]"), base_spans(F.col("text"))).otherwise(none))
     marked = F.when(F.col("levels").isNotNull(), _marked(F.col("text"), F.col("base"), F.col("levels"))).otherwise(none)
     rows = rows.withColumn("spans", F.array_sort(F.concat("base", marked)))
     return unsealed(rows, docs.columns, base=F.col("base"), spans=F.col("spans"), sanitised=sanitised(F.col("text"), F.col("spans")))
 
 
-def sanitised(text: Column, found: Column, by: Column | None = None) -> Column:
-    """The text with each span replaced (by `by`, if given); what overlaps an earlier span is part of its replacement."""
+def sanitised(text: Column, found: Column, by: Callable[[Column, Column], Column] | None = None) -> Column:
+    """The text with each span replaced, by by(state, span) if given; what overlaps an earlier span is part of its
+    replacement (or, with by, adds what goes beyond)."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        new = by if by is not None else F.when(x["kind"] == REMOVE, "[TERM]").when(x["kind"] == GENERALISE, F.concat(F.substring(x["v"], 1, 1), F.lit("…"))).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
-        fresh = F.concat(acc["out"], F.array(F.concat(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), new)))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
+        new = by(acc, x) if by else F.when(x["kind"] == REMOVE, "[TERM]").when(x["kind"] == GENERALISE, F.concat(F.substring(x["v"], 1, 1), F.lit("…"))).otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        fresh = F.concat(acc["out"], F.array(F.concat(F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0))), new)))
+        take = x["e"] > acc["at"] if by else x["s"] >= acc["at"]
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(take, fresh).otherwise(acc["out"]).alias("out"))
 
     return F.when(F.size(found) == 0, text).otherwise(F.aggregate(found, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))))
