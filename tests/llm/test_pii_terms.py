@@ -26,10 +26,10 @@ def test_terms_far_from_the_value_and_without_it(spark):
 
 def test_copies_and_repeated_rows_change_nothing(spark):
     rows = [(i, prose(random.Random(100 + i), 30)) for i in range(200)]
-    rows += [(1000 + i, f"Li Quentzal {prose(random.Random(i), 30)} write to q.z@mail.org or 10.2.3.4") for i in range(3)]
+    rows += [(1000 + i, f"Xo Quentzal {prose(random.Random(i), 30)} write to q.z@mail.org or 10.2.3.4") for i in range(3)]
     rows += [(1500, f"Omar Belvunto {prose(random.Random(5), 30)} call 10.9.9.9")]
     plain = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.sanitise(frame(spark, rows)).collect()}
-    assert {"li", "quentzal"} <= {x[3] for x in plain[1000]} and {x[4] for x in plain[1500]} == {"ip"}
+    assert {"xo", "quentzal"} <= {x[3] for x in plain[1000]} and {x[4] for x in plain[1500]} == {"ip"}
     more = rows + [(0, rows[0][1])] * 20 + [(3000 + i, rows[-1][1]) for i in range(30)] + [(4000 + i, rows[0][1]) for i in range(500)]
     got = pii.sanitise(frame(spark, more)).collect()
     assert len(got) == len(more) and all([tuple(x) for x in r.spans] == plain[r.doc_id] for r in got if r.doc_id in plain)
