@@ -1,13 +1,15 @@
 """HTML extraction by layout-aware rendering.
 
-A tree builder supplies implied tags and closes what a start tag ends; visibility rules drop what a browser would not
-show; a renderer then emits all visible text, with blank lines around spaced blocks, list marks and indents, preformatted
+A tree builder supplies implied tags and closes what a start tag ends; a cascade of the page's own rules, by weight and
+order, says what is displayed and what is visible; a renderer then emits all visible text, with blank lines around spaced blocks, list marks and indents, preformatted
 text as it stands, and table cells padded to columns.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -18,7 +20,9 @@ from pagelake.llm.common import col, sealed, unsealed
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe object audio video canvas svg math datalist param source track noembed noframes meta link base".split())
+UNSEEN = frozenset("head script style template title noscript iframe object audio video canvas datalist param source track noembed noframes meta link base".split())
+#: Of a drawing only its texts show; what a formula says in another notation does not.
+DRAWN, UNDRAWN = frozenset("text tspan textpath foreignobject".split()), frozenset("desc metadata title defs symbol annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote pre table figure fieldset hr xmp".split())
 #: What the start of a block, an item, a row or a cell closes, and the elements that such a search may not leave.
@@ -37,63 +41,190 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
 }
 FENCES = frozenset({"table", "td", "th", "caption", "button", "object", "template", "html"})
-DEEPEST = 200
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)([^;]*)", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([\w-]+)([^;]*)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+#: One compound selector: a tag or *, then classes, ids and attributes; anything else makes a rule one that is left out.
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+|\[[\w-]+(?:=\"?[^\]\"]*\"?)?\])*)")
+_PART = re.compile(r"([.#])([\w-]+)|\[([\w-]+)(?:=\"?([^\]\"]*)\"?)?\]")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _BREAK = "\x00"
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "shown", "unseen")
 
     def __init__(self, tag: str, attributes: dict[str, str] | None = None):
         self.tag, self.attributes, self.children = tag, attributes or {}, []
+        self.shown, self.unseen = True, False  # by display; by visibility, which children may take back
 
 
-def parse(html: str) -> tuple[Node, set[str]]:
-    """The tree of a page and the simple selectors (tag, .class, #id) that its style sheets do not display."""
+class Rule:
+    """One selector of a style sheet with what it says of display and visibility; later and closer ones win."""
+
+    __slots__ = ("parts", "weight", "display", "visibility")
+
+    def __init__(self, selector: str, order: int, display: tuple[str, bool] | None, visibility: tuple[str, bool] | None):
+        self.parts, self.display, self.visibility = [], display, visibility
+        ids = classes = tags = 0
+        steps = re.split(r"\s*(>)\s*|\s+", selector.strip())
+        child = False
+        for step in steps:
+            if step in (None, "", ">"):
+                child |= step == ">"
+                continue
+            m = _COMPOUND.fullmatch(step)
+            if not m:
+                raise ValueError(step)
+            tag = None if m[1] in (None, "*") else m[1].lower()
+            wanted = [(x[1] or "[", x[2] or x[3].lower(), x[4]) for x in _PART.finditer(m[2])]
+            ids += sum(k == "#" for k, _, _ in wanted)
+            classes += sum(k != "#" for k, _, _ in wanted)
+            tags += tag is not None
+            self.parts.append((child, tag, wanted))
+            child = False
+        if not self.parts or child:
+            raise ValueError(selector)
+        self.weight = (ids, classes, tags, order)
+
+    @staticmethod
+    def _fits(node: Node, tag: str | None, wanted: list) -> bool:
+        a = node.attributes
+        if tag and node.tag != tag:
+            return False
+        for kind, name, value in wanted:
+            if kind == "#" and a.get("id") != name or kind == "." and name not in a.get("class", "").split():
+                return False
+            if kind == "[" and (name not in a or value is not None and a[name] != value):
+                return False
+        return True
+
+    def fits(self, path: list[Node]) -> bool:
+        """Whether the last node of a path from the root is one that the selector means."""
+        child, tag, wanted = self.parts[-1]
+        if not self._fits(path[-1], tag, wanted):
+            return False
+        return self._above(path, len(path) - 2, len(self.parts) - 2, child)
+
+    def _above(self, path: list[Node], at: int, k: int, child: bool) -> bool:
+        # The nearest fitting ancestor is the best one for what stands left of it, unless a child step asks for another.
+        if k < 0:
+            return True
+        up, tag, wanted = self.parts[k]
+        while at >= 0:
+            if self._fits(path[at], tag, wanted) and self._above(path, at - 1, k - 1, up):
+                return True
+            if child:
+                return False
+            at -= 1
+        return False
+
+
+def _said(style: str, pattern: re.Pattern) -> tuple[str, bool] | None:
+    """The last declaration of a property, and whether it is important."""
+    found = [(m[1].lower(), "important" in m[2].lower()) for m in pattern.finditer(style)]
+    return next((x for x in reversed(found) if x[1]), found[-1]) if found else None
+
+
+def rules_of(sheet: str, order: int = 0) -> list[Rule]:
+    """The rules of a style sheet that say something of display or visibility. Those of other media than screens, and of
+    conditions that cannot be judged here, are left out; so are selectors with other parts than Rule knows."""
+    sheet, at, out = _COMMENT.sub(" ", sheet), 0, []
+    while (brace := sheet.find("{", at)) >= 0:
+        head = sheet[at:brace].rpartition(";")[2].strip()
+        depth, end = 1, brace + 1
+        while depth and (m := re.compile("[{}]").search(sheet, end)):
+            depth += 1 if m[0] == "{" else -1
+            end = m.end()
+        body = sheet[brace + 1 : end - 1 if not depth else len(sheet)]
+        at = end if not depth else len(sheet)
+        if head.startswith("@"):
+            medium = head.lower()
+            if re.match(r"@media\s+(?:only\s+)?(?:all|screen)\s*$", medium) or medium.startswith(("@layer", "@supports")) and "not" not in medium:
+                out += rules_of(body, order + len(out))
+            continue
+        said = _said(body, _DISPLAY), _said(body, _VISIBILITY)
+        if any(said):
+            for selector in head.split(","):
+                try:
+                    out.append(Rule(selector, order + len(out), *said))
+                except ValueError:
+                    continue
+    return out
+
+
+class Sheet:
+    """The rules by what their last part has to be, so that a node is held against few of them."""
+
+    def __init__(self, rules: list[Rule]):
+        self.by: dict[tuple[str, str], list[Rule]] = {}
+        for rule in rules:
+            _, tag, wanted = rule.parts[-1]
+            key = next(((k, n) for k, n, _ in wanted if k in "#."), ("", tag or "*"))
+            self.by.setdefault(key, []).append(rule)
+
+    def fitting(self, path: list[Node]) -> list[Rule]:
+        node = path[-1]
+        keys = [("", "*"), ("", node.tag), ("#", node.attributes.get("id", "")), *((".", c) for c in set(node.attributes.get("class", "").split()))]
+        return [r for k in keys for r in self.by.get(k, ()) if r.fits(path)]
+
+
+def parse(html: str) -> tuple[Node, list[Rule]]:
+    """The tree of a page and the rules of its style sheets."""
     root = Node("html")
-    stack, hidden, at, end = [root], set(), 0, len(html)
+    stack, rules, at, end = [root], [], 0, len(html)
+    inside: dict[str, int] = {}  # how many of each tag are open, so that a search up the stack ends where there is none
+
+    def cut(i: int) -> None:
+        for node in stack[i:]:
+            inside[node.tag] -= 1
+        del stack[i:]
 
     def text(raw: str) -> None:
         if raw:
+            if stack[-1].tag == "head" and raw.strip():  # text ends a head that nothing else has ended
+                cut(len(stack) - 1)
             if stack[-1].tag in ("table", "tbody", "thead", "tfoot", "tr") and raw.strip():
                 start_tag("td", {}) if stack[-1].tag == "tr" else start_tag("tr", {}) or start_tag("td", {})
             stack[-1].children.append(unescape(raw).replace(_BREAK, "�"))
 
     def close(tags: set[str] | frozenset[str], fences: set[str] | frozenset[str]) -> None:
+        if not any(inside.get(t) for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in fences:
                 break
             if stack[i].tag in tags:
-                del stack[i:]
+                cut(i)
+                if not any(inside.get(t) for t in tags):
+                    break
 
     def start_tag(tag: str, attributes: dict[str, str]) -> None:
         if tag in ("html", "body"):
             while len(stack) > 1 and stack[-1].tag != "body" and tag == "body":
-                stack.pop()
+                cut(len(stack) - 1)
             stack[-1].attributes |= {k: v for k, v in attributes.items() if k not in stack[-1].attributes and tag == "body"}
             return
         if stack[-1].tag == "head" and tag not in UNSEEN:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in CLOSES:
             close(*CLOSES[tag])
-        if tag in ENDS_P:
+        if tag in ENDS_P and inside.get("p"):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in FENCES:
                     break
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    cut(i)
                     break
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             start_tag("tr", {})
         node = Node(tag, attributes)
         stack[-1].children.append(node)
-        if tag not in VOID and len(stack) < DEEPEST:
+        if tag not in VOID:
             stack.append(node)
+            inside[tag] = inside.get(tag, 0) + 1
 
     while at < end:
         m = _TOKEN.search(html, at)
@@ -108,9 +239,9 @@ def parse(html: str) -> tuple[Node, set[str]]:
                 continue
             if tag == "br":
                 stack[-1].children.append(Node("br"))
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if inside.get(tag) else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in FENCES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th"):
                     break
@@ -124,29 +255,49 @@ def parse(html: str) -> tuple[Node, set[str]]:
                 stop = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(html, at)
                 body = html[at : stop.start() if stop else end]
                 if tag == "style":
-                    for rule in _RULE.finditer(body):
-                        if _NO_DISPLAY.search(rule[2]):
-                            hidden.update(s for x in rule[1].split(",") if re.fullmatch(r"[.#]?[\w-]+", s := x.strip()))
+                    if re.fullmatch(r"\s*(?:all|screen)?\s*", attributes.get("media", ""), re.I):
+                        rules += rules_of(body, len(rules))
                 elif tag in ("textarea", "xmp"):
                     stack[-1].children.append((unescape(body) if tag == "textarea" else body).replace(_BREAK, "�"))
                 if stack[-1].tag == tag:
-                    stack.pop()
+                    cut(len(stack) - 1)
                 at = html.find(">", stop.start()) + 1 if stop and html.find(">", stop.start()) >= 0 else end
-    return root, hidden
-
-
-def visible(node: Node, hidden: set[str]) -> bool:
-    a = node.attributes
-    if node.tag in UNSEEN or "hidden" in a or node.tag == "input" or node.tag == "dialog" and "open" not in a:
-        return False
-    if _NO_DISPLAY.search(a.get("style", "")):
-        return False
-    return not hidden or not (node.tag in hidden or f"#{a.get('id')}" in hidden or any(f".{c}" in hidden for c in a.get("class", "").split()))
+    return root, rules
+
+
+def styled(root: Node, rules: list[Rule]) -> int:
+    """Set shown and unseen of every node, by attributes, rules and what a browser never shows; how deep the tree is."""
+    sheet, deepest = Sheet(rules) if rules else None, 0
+    path: list[Node] = []
+    todo: list[tuple[Node, int, bool, bool]] = [(root, 0, False, False)]
+    while todo:
+        node, depth, unseen, drawing = todo.pop()
+        deepest = max(deepest, depth)
+        del path[depth:]
+        path.append(node)
+        a, tag = node.attributes, node.tag
+        shown = not (tag in UNSEEN or "hidden" in a or tag == "input" or tag == "dialog" and "open" not in a or drawing and tag in UNDRAWN)
+        fitting = sheet.fitting(path) if sheet else []
+        for pattern, name in ((_DISPLAY, "display"), (_VISIBILITY, "visibility")):
+            said = [((v[1], 0, *r.weight), v[0]) for r in fitting if (v := getattr(r, name))]
+            if (own := _said(a["style"], pattern) if "style" in a else None) is not None:
+                said.append(((own[1], 1, 0, 0, 0, 0), own[0]))
+            if said:
+                value = max(said)[1]
+                if name == "display":
+                    # A rule may show what the hidden attribute hides, but not what has no place on a page at all.
+                    shown = value != "none" and tag not in UNSEEN and tag != "input" and not (drawing and tag in UNDRAWN)
+                elif value in ("hidden", "collapse", "visible"):
+                    unseen = value != "visible"
+        node.shown, node.unseen = shown, unseen
+        if shown:
+            drawing = drawing or tag in ("svg", "math")
+            todo += [(c, depth + 1, unseen, drawing) for c in reversed(node.children) if isinstance(c, Node)]
+    return deepest
 
 
 class Renderer:
-    def __init__(self, hidden: set[str]):
-        self.hidden = hidden
+    """Lines of text from a styled tree."""
 
     def lines(self, node: Node) -> list[str]:
         """The lines of a block's content; an empty string is a blank line that spacing asks for."""
@@ -170,9 +321,12 @@ class Renderer:
         def walk(parent: Node) -> None:
             for child in parent.children:
                 if isinstance(child, str):
-                    run.append(child)
-                elif not visible(child, self.hidden):
+                    if not parent.unseen:
+                        run.append(child)
+                elif not child.shown:
                     continue
+                elif child.tag == "svg":
+                    run.extend(f" {x} " for x in drawn(child))
                 elif child.tag == "br":
                     run.append(_BREAK)
                 elif child.tag not in BLOCKS and child.tag not in ("textarea", "xmp"):
@@ -190,7 +344,7 @@ class Renderer:
     def block(self, node: Node) -> list[str]:
         tag = node.tag
         if tag == "hr":
-            return ["---"]
+            return [] if node.unseen else ["---"]
         if tag in ("pre", "textarea", "xmp"):
             return [x.rstrip("\r") for x in self.raw(node).removeprefix("\n").rstrip("\n").split("\n")]
         if tag in ("ul", "ol", "menu", "dir"):
@@ -200,12 +354,22 @@ class Renderer:
         if tag == "dd" or tag == "blockquote":
             return ["  " + x if x else x for x in self.lines(node)]
         if tag == "details" and "open" not in node.attributes:
-            first = [c for c in node.children if isinstance(c, Node) and c.tag == "summary" and visible(c, self.hidden)]
+            first = [c for c in node.children if isinstance(c, Node) and c.tag == "summary" and c.shown]
             return self.lines(first[0]) if first else []
         return self.lines(node)
 
     def raw(self, node: Node) -> str:
-        return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else self.raw(c) if visible(c, self.hidden) else "" for c in node.children)
+        out: list[str] = []
+        todo: list[tuple[Node, Node | str]] = [(node, c) for c in reversed(node.children)]
+        while todo:
+            parent, c = todo.pop()
+            if isinstance(c, str):
+                out += [] if parent.unseen else [c]
+            elif c.tag == "br":
+                out.append("\n")
+            elif c.shown:
+                todo += [(c, x) for x in reversed(c.children)]
+        return "".join(out)
 
     def items(self, node: Node) -> list[str]:
         out: list[str] = []
@@ -215,7 +379,7 @@ class Renderer:
                 loose = Node("div")
                 loose.children = [child]
                 out += self.lines(loose)
-            elif visible(child, self.hidden):
+            elif child.shown:
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
                 own = [x for x in self.lines(child) if x] or [""]
@@ -224,46 +388,89 @@ class Renderer:
 
     def table(self, node: Node) -> list[str]:
         above: list[str] = []
-        rows: list[list[tuple[list[str], int]]] = []
+        rows: list[list[tuple[list[str], int, int]]] = []
+        groups: list[int] = []  # the group of each row, which a rowspan does not leave
 
-        def collect(parent: Node) -> None:
+        def collect(parent: Node, group: int) -> None:
             for child in parent.children:
-                if isinstance(child, str) or not visible(child, self.hidden):
+                if isinstance(child, str) or not child.shown:
                     continue
                 if child.tag == "caption":
                     above.extend(self.lines(child))
                 elif child.tag == "tr":
                     cells = []
                     for cell in child.children:
-                        if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell, self.hidden):
-                            span = cell.attributes.get("colspan", "1")
-                            cells.append(([x for x in self.lines(cell) if x], min(int(span), 100) if re.fullmatch(r"[1-9]\d{0,3}", span) else 1))
+                        if isinstance(cell, Node) and cell.tag in ("td", "th") and cell.shown:
+                            cells.append(([x for x in self.lines(cell) if x], min(_span(cell, "colspan"), 1000) or 1, _span(cell, "rowspan")))
                     rows.append(cells)
+                    groups.append(group)
                 elif child.tag in ("tbody", "thead", "tfoot"):
-                    collect(child)
+                    collect(child, id(child))
                 else:
                     above.extend(self.lines(_wrap(child)))
 
-        collect(node)
+        collect(node, 0)
+        # Each cell's first column: the next that no cell above still covers. A cell of no rows goes on to its group's end.
+        placed: list[list[tuple[int, int, list[str]]]] = []
+        covered: dict[int, int] = {}
+        for r, cells in enumerate(rows):
+            if r and groups[r] != groups[r - 1]:
+                covered = {}
+            at, line = 0, []
+            taken = covered
+            covered = {c: n - 1 for c, n in taken.items() if n > 1}
+            for own, span, down in cells:
+                while at in taken:
+                    at += 1
+                line.append((at, span, own))
+                if down != 1:
+                    covered.update(dict.fromkeys(range(at, at + span), len(rows) if down == 0 else down - 1))
+                at += span
+            placed.append(line)
         widths: dict[int, int] = {}
-        for cells in rows:
-            at = 0
-            for own, span in cells:
+        for line in placed:
+            for at, span, own in line:
                 if span == 1 and own:
                     widths[at] = max(widths.get(at, 0), max(map(len, own)))
-                at += span
+        columns = sorted(widths)
+        before = [0]
+        for c in columns:
+            before.append(before[-1] + widths[c])
+
+        def left(at: int) -> int:
+            """Where a column begins: the widths before it, and two blanks for each column."""
+            return before[bisect_left(columns, at)] + 2 * at
+
         out = above
-        for cells in rows:
-            for i in range(max([len(own) for own, _ in cells], default=0)):
-                line, at = "", 0
-                for own, span in cells:
-                    width = sum(widths.get(j, 0) for j in range(at, at + span)) + 2 * (span - 1)
-                    line += (own[i] if i < len(own) else "").ljust(width) + "  "
-                    at += span
-                out.append(line.rstrip())
+        for line in placed:
+            for i in range(max([len(own) for _, _, own in line], default=0)):
+                text = ""
+                for at, _, own in line:
+                    if i < len(own):
+                        text = text.ljust(left(at) if len(text) <= left(at) else len(text) + 2) + own[i]
+                out.append(text.rstrip())
         return out
 
 
+def _span(cell: Node, name: str) -> int:
+    """A cell's colspan or rowspan, as far as the standard lets it reach; 1 where there is none."""
+    value = cell.attributes.get(name, "1")
+    return min(int(value), 65_534) if re.fullmatch(r"\d{1,9}", value) else 1
+
+
+def drawn(svg: Node) -> list[str]:
+    """The texts of a drawing that show, in order."""
+    out: list[str] = []
+    todo: list[tuple[Node, bool]] = [(svg, False)]
+    while todo:
+        node, inside = todo.pop()
+        inside = inside or node.tag in DRAWN
+        own = [c for c in node.children if isinstance(c, str)] if inside and not node.unseen else []
+        out += [x for c in own if (x := c.strip())]
+        todo += [(c, inside) for c in reversed(node.children) if isinstance(c, Node) and c.shown]
+    return out
+
+
 def _wrap(child: Node) -> Node:
     node = Node("div")
     node.children = [child]
@@ -272,16 +479,22 @@ def _wrap(child: Node) -> Node:
 
 def visible_text(html: str | None) -> str:
     """All visible text of a page, laid out; a null or empty page gives an empty text."""
-    root, hidden = parse(html or "")
-    out = Renderer(hidden).lines(root)
+    root, rules = parse(html or "")
+    deepest = styled(root, rules)
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, 6 * deepest + 1000))  # the renderer calls itself some times for each level
+    try:
+        out = Renderer().lines(root)
+    finally:
+        sys.setrecursionlimit(before)
     return "\n".join(x for i, x in enumerate(out) if x or (i and out[i - 1]))
 
 
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """pages with visible_text and n_lines (0 for an empty text).
 
-    Null pages give empty texts; a broken or unended tag ends the page at worst; elements nested deeper than DEEPEST join
-    the one at that depth. Pages are read whole. Input columns named like an output give way to it; an empty table gives
+    Null pages give empty texts; a broken or unended tag ends the page at worst; elements may be nested to any depth. Pages
+    are read whole. Input columns named like an output give way to it; an empty table gives
     an empty table.
     """
 
