@@ -70,20 +70,20 @@ def rake(cells: DataFrame, goals: DataFrame, budget: float, rounds: int = ROUNDS
     """(source, lang, topic, mass, share): cells(source, lang, topic, mass) raked to reachable goals(dim, value, goal).
 
     A step scales the cells of each value of one dimension by goal / sum, but none over its mass's share of the budget;
-    cells are written after each round, so plans stay small. Values without a goal get nothing; a dimension without goals is left alone.
+    cells are written after each step, so plans stay small. Values without a goal get nothing; a dimension without goals is left alone.
     """
     total = cells.agg(F.sum("mass")).first()[0] or 1.0
     dims = [r.dim for r in goals.select("dim").distinct().collect()]
     now = cells.withColumn("share", F.col("mass") / total)
-    last = now
+    for dim in dims:
+        own = goals.where(F.col("dim") == dim).select(F.col("value").alias(dim), F.col("goal").alias(f"goal_{dim}"))
+        now = now.join(own, dim, "left")
     for k in range(rounds):
         for dim in (d for d in DIMS if d in dims):
-            own = goals.where(F.col("dim") == dim).select(F.col("value").alias(dim), "goal")
-            factor = now.groupBy(dim).agg(F.sum("share").alias("held")).join(own, dim).where("held > 0").select(dim, (F.col("goal") / F.col("held")).alias("factor"))
-            scaled = F.col("share") * F.coalesce("factor", F.lit(0.0))
-            now = now.join(factor, dim, "left").select(*DIMS, "mass", F.least(scaled, F.col("mass") / (total * budget)).alias("share"))
-        now = materialize(now, "mixing-rake", last)
-        last = now
+            held = now.groupBy(dim).agg(F.nullif(F.sum("share"), F.lit(0.0)).alias("held"))
+            scaled = F.coalesce(F.col("share") * F.col(f"goal_{dim}") / F.col("held"), F.lit(0.0))
+            last, now = now, now.join(held, dim).select(*cells.columns, *[f"goal_{d}" for d in dims], F.least(scaled, F.col("mass") / (total * budget)).alias("share"))
+            now = materialize(now, "mixing-rake", last)
         if k % 4 == 3 and (residual(now, goals).agg(F.max("off")).first()[0] or 0.0) <= NEAR:
             break
     return now
