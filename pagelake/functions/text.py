@@ -54,6 +54,11 @@ def natural_key(name: Column) -> Column:
     return F.transform(pieces, lambda p, i: F.struct(F.when(i % 2 == 0, F.lower(p)).otherwise("").alias("s"), F.when(i % 2 == 1, p.cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)")).alias("n")))
 
 
+def page_id(stem: Column, side: Column) -> Column:
+    """A page's id: the scan's stem, and its side where it has one."""
+    return F.concat_ws("_", stem, side)
+
+
 def stem_of(name: Column) -> Column:
     return F.regexp_replace(name, r"(?<=[^/])\.[^.]*$", "")
 

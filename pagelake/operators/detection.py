@@ -106,3 +106,11 @@ def summary(regions: DataFrame, page: str = "page_id") -> DataFrame:
 def error_record(pages: DataFrame, page: str = "page_id") -> DataFrame:
     """Failed pages(page, error, detail) as detection records; the detail is cut to 500 characters."""
     return pages.select(page, F.lit("error").alias("status"), "error", F.left(F.coalesce("detail", F.lit("")), F.lit(500)).alias("detail"), F.lit(0).alias("total_regions"))
+
+
+def page_status(pages: DataFrame, failed: DataFrame, regions: DataFrame, page: str = "page_id") -> DataFrame:
+    """(page, n, n_errors, page_status) of every page: error if its detection failed; errors of regions leave it a success."""
+    counts = regions.groupBy(page).agg(F.count("*").alias("n"), F.count_if(F.col("status") == "error").alias("n_errors"))
+    bad = failed.select(page).distinct().withColumn("bad", F.lit(True))
+    found = pages.select(page).join(counts, page, "left").join(bad, page, "left")
+    return found.select(page, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_errors", F.lit(0)).alias("n_errors"), F.when(F.col("bad"), "error").otherwise("success").alias("page_status"))

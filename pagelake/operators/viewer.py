@@ -61,7 +61,7 @@ def labels(boxes: DataFrame) -> DataFrame:
 
 
 def overlays(boxes: DataFrame) -> DataFrame:
-    """(stem, svg, n_boxes): all boxes of a page, then all labels."""
+    """(stem, svg, n_boxes): all boxes of a page, then all labels. The elements and their attributes."""
     s = lambda c: F.col(c).cast("string")
     place = F.concat(F.lit('x="'), s("x"), F.lit('" y="'), s("y"), F.lit('" width="'), s("width"), F.lit('" height="'), s("height"), F.lit('"'))
     rect = F.concat(F.lit('<rect class="rg-halo" '), place, F.lit('/><rect class="rg-box rg-'), T.html_escape(F.col("region_type")), F.lit('" '), place, F.lit(' stroke="'), "colour", F.lit('"/>'))

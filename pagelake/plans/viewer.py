@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,16 @@ from pagelake.functions import text as T
 from pagelake.operators import images, viewer
 from pagelake.sources import scans, sinks
 
-STYLE = "body{font-family:serif;margin:0}nav{position:sticky;top:0;background:#fff;padding:.5em}.page{display:flex;gap:1em;padding:1em}.page>*{flex:1;min-width:0}.scan{position:relative}.scan img{width:100%}.region-overlay{position:absolute;inset:0;width:100%}.rg-halo,.rg-box{fill:none;stroke-width:3}.table-wrap{overflow-x:auto}.red{color:#a00}"
+STYLE = "body{font-family:serif;margin:0}nav{position:sticky;top:0;background:#fff;padding:.5em}.page{display:flex;gap:1em;padding:1em}.page>*{flex:1;min-width:0}.scan{position:relative}.scan img{width:100%}.region-overlay{position:absolute;inset:0;width:100%}.rg-halo,.rg-box{fill:none;stroke-width:3}.table-wrap{overflow-x:auto}.red{color:#a00}.key{border-left:1em solid;padding:0 .5em}.summary,.number{color:#666}"
 SCRIPT = "const q=document.querySelector('#q');q.oninput=()=>{const v=q.value.trim().toLowerCase();document.querySelectorAll('.page').forEach(p=>p.hidden=!p.dataset.search.includes(v))};"
 
 
 def page_html(pages: DataFrame) -> DataFrame:
     """Viewer pages with the HTML fragment of each."""
     picture = F.when(F.col("image_src").isNotNull(), F.concat(F.lit('<div class="scan"><img loading="lazy" src="'), "image_src", F.lit('">'), "overlay_svg", F.lit("</div>"))).otherwise("")
-    fragment = F.concat(F.lit('<section class="page" id="'), T.slug(F.col("page_id")), F.lit('" data-search="'), T.html_escape(viewer.search_blob()), F.lit('">'), picture, F.lit("<article>"), "md_html", F.lit("</article></section>"))
+    number = F.when(F.col("page_number") != "", F.concat(F.lit(' <span class="number">p. '), T.html_escape(F.col("page_number")), F.lit("</span>"))).otherwise("")
+    head = F.concat(F.lit("<h2>"), T.html_escape(F.col("page_id")), number, F.lit('</h2><p class="summary">'), T.html_escape(F.col("regions_summary")), F.lit("</p>"))
+    fragment = F.concat(F.lit('<section class="page" id="'), T.slug(F.col("page_id")), F.lit('" data-search="'), T.html_escape(viewer.search_blob()), F.lit('">'), picture, F.lit("<article>"), head, "md_html", F.lit("</article></section>"))
     return pages.withColumn("md_html", render.rendered(F.col("body"))).withColumn("fragment", fragment)
 
 
@@ -43,10 +46,18 @@ def build(spark: SparkSession, run_dir: str, out_file: str, title: str = "Pages"
         sinks.write_files(pages.where("png is not null").select(F.concat("stem", F.lit(".png")).alias("name"), "png"), assets, "name", "png")
         pages = pages.withColumn("image_src", F.when(F.col("png").isNotNull(), F.concat(F.lit(os.path.basename(assets) + "/"), "stem", F.lit(".png"))))
     pages = page_html(pages.drop("png")).cache()
+    # A few region types: the legend in its order.
+    types = viewer.legend(viewer.region_boxes(scans.region_files(spark, f"{run_dir}/regions"))).orderBy("rank", "stem", "ord").collect()
+    key = "".join(f'<span class="key" style="border-color:{t.colour}">{html.escape(t.region_type)}</span>' for t in types)
     numbers = viewer.stats(pages).first().asDict()
     with open(out_file, "w", encoding="utf-8") as f:
-        f.write(f'<!doctype html><html><head><meta charset="utf-8"><title>{title}</title><style>{STYLE}</style></head><body><nav><input id="q" placeholder="Search"></nav>')
-        for row in pages.orderBy(T.natural_key(F.concat("stem", F.lit(".md")))).select("fragment").toLocalIterator():
+        f.write(f'<!doctype html><html><head><meta charset="utf-8"><title>{html.escape(title)}</title><style>{STYLE}</style></head><body><nav><input id="q" placeholder="Search">{key}</nav>')
+        in_order = pages.orderBy(T.natural_key(F.concat("stem", F.lit(".md"))))
+        f.write('<ol class="pages">')
+        for row in in_order.select(F.concat(F.lit('<li><a href="#'), T.slug(F.col("page_id")), F.lit('">'), T.html_escape(F.col("page_id")), F.lit("</a></li>")).alias("item")).toLocalIterator():
+            f.write(row.item)
+        f.write("</ol>")
+        for row in in_order.select("fragment").toLocalIterator():
             f.write(row.fragment)
         f.write(f"<script>{SCRIPT}</script></body></html>")
     return numbers

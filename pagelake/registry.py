@@ -49,7 +49,7 @@ CTE = {
     "an": """an AS (SELECT conv_id, turn, '{"regions": [{"type": "TableRegion", "bbox": {"x": ' || (turn * 10 % 500) || ', "y": ' || (conv_id % 500) || ', "width": 100, "height": 50}, "reading_order": ' || turn || '}]}' AS body FROM conversations WHERE role = 'assistant'),
         aw AS (SELECT conv_id, turn, body, CASE conv_id % 4 WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```' WHEN 1 THEN 'Let me look. ' || body || ' Done.' WHEN 2 THEN body ELSE left(body, 40) END AS response FROM an)""",
     "tries": """tries AS (SELECT user_id AS call_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt, CASE WHEN event_type = 'error' THEN 'exception' WHEN event_type IN ('view', 'click') THEN 'empty' ELSE 'success' END AS outcome FROM events QUALIFY attempt <= 3)""",
-    "im": """ip AS (SELECT DISTINCT doc_id // 5 AS page_id FROM documents WHERE (doc_id // 5) % 4 <> 0),
+    "im": """ip AS (SELECT DISTINCT doc_id // 5 AS page_id FROM documents),
         im AS (SELECT page_id::VARCHAR AS stem, unnest([['.tiff', '.jpg', '.webp'][page_id % 3 + 1], ['.png', '.tif'][page_id % 2 + 1]]) AS ext FROM ip),
         best AS (SELECT stem, arg_min(ext, list_position(['.png', '.jpg', '.jpeg', '.webp', '.tif', '.tiff'], ext)) AS ext FROM im GROUP BY stem)""",
     "bx": f"""bx AS (SELECT (doc_id // 5)::VARCHAR AS stem, (row_number() OVER (PARTITION BY doc_id // 5 ORDER BY doc_id) - 1)::INT AS ord, 'r0' || (doc_id % 5 + 1) AS region_id,
@@ -283,20 +283,23 @@ def front_matter(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("page_id", get("page_id").alias("meta_id"), F.coalesce(get("page_number"), F.lit("")).alias("number"), get("regions").alias("regions"), T.body_of(F.col("md")).alias("body"))
 
 
-@query("SELECT page_id, CASE WHEN contains(html, '<p') AND page_id % 2 = 0 THEN '<table>' || rtrim(html, chr(32) || chr(10)) || chr(10) || '</table>' ELSE '<table>' || html || '</table>' END AS closed, page_id % 3 = 0 AS odd FROM pages WHERE contains(html, '<p') AND NOT contains(html, '<table')")
+_ENDED = "CASE WHEN contains({0}, '<table') AND NOT contains({0}, '</table>') THEN rtrim({0}, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(32) || chr(133) || chr(160)) || chr(10) || '</table>' ELSE {0} END"
+
+
+@query(f"SELECT page_id, {_ENDED.format('html')} AS closed, {_ENDED.format('given')} AS opened, len(regexp_extract_all(marked, '(?m)^```')) % 2 = 1 AS odd FROM (SELECT page_id, html, '<table>' || html AS given, replace(html, '<p', chr(10) || '```') AS marked FROM pages)")
 def tables_closed(spark: SparkSession, d: str) -> DataFrame:
-    """I12, H11."""
-    p = X.table(spark, d, "pages").where("contains(html, '<p') and not contains(html, '<table')")
-    given = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<table>"), "html")).otherwise(F.concat(F.lit("<table>"), "html", F.lit("</table>")))
-    fenced = F.when(F.col("page_id") % 3 == 0, F.lit("x\n```html\ny")).otherwise("```html\nx\n```\n")
-    return p.select("page_id", T.close_table(given).alias("closed"), T.odd_fences(fenced).alias("odd"))
+    """Every page as it is, with a table opened before it, and with a fence for each paragraph."""
+    p = X.table(spark, d, "pages")
+    fenced = F.replace("html", F.lit("<p"), F.lit("\n```"))
+    return p.select("page_id", T.close_table(F.col("html")).alias("closed"), T.close_table(F.concat(F.lit("<table>"), "html")).alias("opened"), T.odd_fences(fenced).alias("odd"))
 
 
-@query("SELECT page_id, regexp_replace('<table>' || page_id || '</table> and <table class=\"a\">' || chr(10) || url || '</table>', '(<table\\b[\\s\\S]*?</table>)', '<div class=\"table-wrap\">\\1</div>', 'g') AS wrapped FROM pages")
+@query("SELECT page_id, regexp_replace(html || '<table class=\"a\">' || chr(10) || html || '</table>' || url || '<table>' || page_id || '</table>', '(<table\\b[\\s\\S]*?</table>)', '<div class=\"table-wrap\">\\1</div>', 'g') AS wrapped FROM pages")
 def tables_wrapped(spark: SparkSession, d: str) -> DataFrame:
-    """I17."""
+    """Every page, followed by itself in a table and by a small one."""
     p = X.table(spark, d, "pages")
-    return p.select("page_id", T.wrap_tables(F.concat(F.lit("<table>"), F.col("page_id").cast("string"), F.lit('</table> and <table class="a">\n'), "url", F.lit("</table>"))).alias("wrapped"))
+    text = F.concat("html", F.lit('<table class="a">\n'), "html", F.lit("</table>"), "url", F.lit("<table>"), F.col("page_id").cast("string"), F.lit("</table>"))
+    return p.select("page_id", T.wrap_tables(text).alias("wrapped"))
 
 
 @query(f"SELECT page_id, {ESCAPE.format('html')} AS escaped, coalesce(nullif(trim(regexp_replace(url, '[^a-zA-Z0-9_-]+', '-', 'g'), '-'), ''), 'page') AS anchor, lower(page_id || ' ' || (page_id % 90) || ' ' || url) AS blob, contains(lower(page_id || ' ' || (page_id % 90) || ' ' || url), 'example.org') AS hit FROM pages")
@@ -310,7 +313,7 @@ def page_strings(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT regexp_replace(file_name, '[.][^.]*$', '') || '_' || ['L', 'R'][page % 2 + 1] AS page_id FROM scan", "scan")
 def page_ids(spark: SparkSession, d: str) -> DataFrame:
     """I22."""
-    return X.scan_names(spark, d).select(F.concat_ws("_", T.stem_of(F.col("file_name")), F.when(F.col("page") % 2 == 0, "L").otherwise("R")).alias("page_id"))
+    return X.scan_names(spark, d).select(T.page_id(T.stem_of(F.col("file_name")), F.when(F.col("page") % 2 == 0, "L").otherwise("R")).alias("page_id"))
 
 
 @query("SELECT stem, ext, 1240 AS width, 1754 AS height FROM best", "im")
@@ -354,11 +357,13 @@ def overlays(spark: SparkSession, d: str) -> DataFrame:
     return viewer.overlays(_drawn(spark, d))
 
 
-@query("SELECT region_type, coalesce(colour, '#444444') AS colour, coalesce(rank, 999)::INT AS rank, n::BIGINT AS n FROM (SELECT region_type, count(*) AS n FROM dr GROUP BY ALL) LEFT JOIN co USING (region_type)", "bx", "col")
+@query("SELECT region_type, coalesce(colour, '#444444') AS colour, coalesce(rank, 999)::INT AS rank, n::BIGINT AS n, seen.stem AS stem, seen.ord AS ord, (row_number() OVER (ORDER BY coalesce(rank, 999), seen))::INT AS place FROM (SELECT region_type, count(*) AS n, min({'stem': stem, 'ord': ord}) AS seen FROM dr GROUP BY ALL) LEFT JOIN co USING (region_type)", "bx", "col")
 def legend(spark: SparkSession, d: str) -> DataFrame:
-    """H6, J5."""
+    """The types in legend order; unknown ones last, by where they are first seen."""
     b = viewer.region_boxes(X.region_json(spark, d))
-    return viewer.legend(b).join(b.groupBy("region_type").agg(F.count("*").alias("n")), "region_type").select("region_type", "colour", "rank", "n")
+    found = viewer.legend(b).join(b.groupBy("region_type").agg(F.count("*").alias("n")), "region_type")
+    place = F.row_number().over(Window.orderBy("rank", "stem", "ord"))  # a row for each type
+    return found.select("region_type", "colour", "rank", "n", "stem", "ord", place.cast("int").alias("place"))
 
 
 CTE["vp"] = """vp AS (SELECT rs.page_id::VARCHAR AS stem, coalesce(page_number, '') AS page_number, regions_summary, CASE WHEN ext IS NOT NULL THEN stem || ext END AS image, coalesce(svg, '') AS overlay_svg, coalesce(n_boxes, 0)::INT AS overlay_region_count
@@ -448,10 +453,26 @@ def answer_texts(spark: SparkSession, d: str) -> DataFrame:
     return c.select("conv_id", "turn", model.answer_text(own, parts).alias("answer"), model.dumped(F.col("text")).alias("dump"))
 
 
-@query("SELECT page_id, count(*)::BIGINT AS n, count_if(status = 'error')::BIGINT AS n_errors, 'success' AS page_status FROM tr GROUP BY page_id", "tr")
+@query("SELECT page_id, n, n_errors, CASE WHEN page_id IN (SELECT conv_id FROM aw WHERE conv_id % 4 = 3) THEN 'error' ELSE 'success' END AS page_status FROM (SELECT page_id, count(*)::BIGINT AS n, count_if(status = 'error')::BIGINT AS n_errors FROM tr GROUP BY page_id)", "tr", "an")
 def page_status(spark: SparkSession, d: str) -> DataFrame:
-    """A region's error leaves its page a success."""
-    return X.transcribed(spark, d).groupBy("page_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "error").alias("n_errors"), F.lit("success").alias("page_status"))
+    """A region's error leaves its page a success, an answer that does not parse does not."""
+    regions = X.transcribed(spark, d)
+    failed = detection.page_errors(detection.parse_answers(X.answers(spark, d)), ["conv_id"]).withColumnRenamed("conv_id", "page_id")
+    return detection.page_status(regions.select("page_id").distinct(), failed, regions)
+
+
+@query(
+    """SELECT conv_id, turn, turn::INT AS rows, NULL::INT AS cols, CASE WHEN turn % 2 = 0 THEN true END AS has_red_ink, CASE WHEN conv_id % 3 = 0 THEN 'latin' END AS script,
+    'rows,cols,has_red_ink' || CASE WHEN conv_id % 3 = 0 THEN ',script' ELSE '' END AS present,
+    concat_ws(',', CASE WHEN conv_id % 1500 > 1000 THEN 'bbox.x is not from 0 to 1000' END, 'cols is no bigint', CASE WHEN turn % 2 <> 0 THEN 'has_red_ink is no boolean' END) AS violations FROM conversations WHERE role = 'assistant'"""
+)
+def region_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """The keys that a region has, null or not, and what the declared schema does not allow."""
+    keys = ["conv_id", "turn"]
+    regions = detection.unnest_regions(detection.parse_answers(X.described(spark, d)), keys)
+    broken = F.array_join(detection.violations(F.col("region")), ",").alias("violations")
+    raw = detection.fields(regions, keys).join(regions.select(*keys, broken), keys)
+    return raw.select(*keys, "rows", "cols", "has_red_ink", "script", F.array_join("present", ",").alias("present"), "violations")
 
 
 @query("SELECT 'mixed' AS doc_type, count_if(conv_id % 4 <> 3)::BIGINT AS pages_processed, count_if(conv_id % 4 = 3)::BIGINT AS n_errors FROM aw", "an")

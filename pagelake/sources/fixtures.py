@@ -98,6 +98,16 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("conv_id", "turn", text.alias("response"))
 
 
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant turns as model answers that describe a table region: some keys there, some null, some missing or odd."""
+    c = table(spark, sf_dir, "conversations").where("role = 'assistant'")
+    turn = F.col("turn").cast("string")
+    script = F.when(F.col("conv_id") % 3 == 0, ',"script":"latin"').otherwise("")
+    red = F.when(F.col("turn") % 2 == 0, "true").otherwise('"perhaps"')
+    body = F.concat(F.lit('{"regions":[{"type":"TableRegion","bbox":{"x":'), (F.col("conv_id") % 1500).cast("string"), F.lit(',"y":2,"width":3,"height":4},"reading_order":'), turn, F.lit(',"rows":'), turn, F.lit(',"cols":null,"has_red_ink":'), red, script, F.lit("}]}"))
+    return c.select("conv_id", "turn", body.alias("response"))
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's first three events as attempts of one call."""
     e = table(spark, sf_dir, "events")
@@ -107,8 +117,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two image files for three pages in four: stem, ext, width, height."""
-    p = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 5).cast("long").alias("page_id")).distinct().where("page_id % 4 <> 0")
+    """Two image files for each page: stem, ext, width, height."""
+    p = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 5).cast("long").alias("page_id")).distinct()
     exts = F.array(_pick([".tiff", ".jpg", ".webp"], F.col("page_id") % 3), _pick([".png", ".tif"], F.col("page_id") % 2))
     return p.select(F.col("page_id").cast("string").alias("stem"), F.explode(exts).alias("ext"), F.lit(IMG_W).alias("width"), F.lit(IMG_H).alias("height"))
 

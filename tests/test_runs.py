@@ -46,9 +46,10 @@ def test_layout_run_and_viewer(spark, scans, tmp_path):
     records = json.load(open(f"{out}/regions/s_2.json", encoding="utf-8"))
     assert [r["id"] for r in records] == ["r01", "r02"] and records[0]["transcription"] == {"status": "success", "text": "7", "skipped": True}
     assert os.path.exists(f"{out}/regions/s_2/r02_TitleRegion.png") and os.path.exists(f"{out}/summary.json")
-    numbers = viewer.build(spark, out, f"{out}/viewer.html")
+    numbers = viewer.build(spark, out, f"{out}/viewer.html", title="A & <b>")
     html = open(f"{out}/viewer.html", encoding="utf-8").read()
     assert numbers["n_pages"] == 2 and numbers["n_boxes"] == 4 and html.index('id="s_2"') < html.index('id="s_10"')
+    assert "<title>A &amp; &lt;b&gt;</title>" in html and 'p. 7</span>' in html and html.index(">TitleRegion</span>") < html.index(">PageNumberRegion</span>") and '<a href="#s_10">' in html
     viewer.build(spark, out, f"{out}/viewer.html", embed=False)
     assert os.listdir(f"{out}/viewer_assets")
 
