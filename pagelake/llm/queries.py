@@ -94,6 +94,31 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM m GROUP BY doc_id
 """
 
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, (2 * i + 1)::BIGINT, 100) AS g FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS i FROM d)),
+f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING min(doc_id) < max(doc_id)),
+l AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM s JOIN f USING (g) WHERE first < doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT doc_id, i, count(*) FILTER (step IS NULL OR step > 50) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM l) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, (2 * before + 1)::BIGINT, (2 * (a - before))::BIGINT), '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+#: All pairs, so for small tables. What the index finds is a subset of these links wherever its recall is below 1.
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: coalesce(x <> 0, false)))),
+p AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a AS vec_id, least(a, min(b)) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_winnowing": op2_winnowing,
@@ -108,5 +133,7 @@ QUERIES = {
 }
 SQL = {
     "op1_source_mixing": mixing.oracle(),
+    "op5_substring_dedup": OP5_SQL,
+    "op6_embedding_links": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
 }
