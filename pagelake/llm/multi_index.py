@@ -79,7 +79,7 @@ def fit_grid(sample: np.ndarray, n: int, threshold: float, recall: float) -> Gri
 
     The codebooks grow with the root of n, as long as the sample has eight vectors for each code.
     """
-    k = int(np.clip(round(math.sqrt(n / 32)), 2, max(2, len(sample) // 8)))
+    k = int(np.clip(round(math.sqrt(n / 32)), 1, max(1, len(sample) // 8)))
     half = sample.shape[1] // 2
     grid = Grid(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k))
     rng = np.random.default_rng(11)

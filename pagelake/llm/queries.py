@@ -133,6 +133,7 @@ QUERIES = {
 }
 SQL = {
     "op1_source_mixing": mixing.oracle(),
+    "op3_pii": pii.oracle(),
     "op5_substring_dedup": OP5_SQL,
     "op6_embedding_links": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
