@@ -48,7 +48,8 @@ CTE = {
         FROM rs LEFT JOIN pn USING (page_id) LEFT JOIN bo USING (page_id))""",
     "an": """an AS (SELECT conv_id, turn, '{"regions": [{"type": "TableRegion", "bbox": {"x": ' || (turn * 10 % 500) || ', "y": ' || (conv_id % 500) || ', "width": 100, "height": 50}, "reading_order": ' || turn || '}]}' AS body FROM conversations WHERE role = 'assistant'),
         aw AS (SELECT conv_id, turn, body, CASE conv_id % 4 WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```' WHEN 1 THEN 'Let me look. ' || body || ' Done.' WHEN 2 THEN body ELSE left(body, 40) END AS response FROM an)""",
-    "tries": """tries AS (SELECT user_id AS call_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt, CASE WHEN event_type = 'error' THEN 'exception' WHEN event_type IN ('view', 'click') THEN 'empty' ELSE 'success' END AS outcome FROM events QUALIFY attempt <= 3)""",
+    "tries": """tries AS (SELECT user_id * 1000000 + place // 4 AS call_id, place % 4 + 1 AS attempt, outcome FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS place,
+        CASE WHEN event_type = 'error' THEN 'exception' WHEN event_type IN ('view', 'click') THEN 'empty' ELSE 'success' END AS outcome FROM events))""",
     "im": """ip AS (SELECT DISTINCT doc_id // 5 AS page_id FROM documents),
         im AS (SELECT page_id::VARCHAR AS stem, unnest([['.tiff', '.jpg', '.webp'][page_id % 3 + 1], ['.png', '.tif'][page_id % 2 + 1]]) AS ext FROM ip),
         best AS (SELECT stem, arg_min(ext, list_position(['.png', '.jpg', '.jpeg', '.webp', '.tif', '.tiff'], ext)) AS ext FROM im GROUP BY stem)""",
@@ -417,9 +418,9 @@ def resolutions(spark: SparkSession, d: str) -> DataFrame:
     return X.table(spark, d, "events").select("event_id", T.resolution_of(F.element_at(names, (F.col("event_id") % 8 + 1).cast("int"))).alias("resolution"), mode.alias("mode"), T.lookup(model.FULL_PAGE, mode).alias("page_resolution"))
 
 
-CTE["fold"] = """fo AS (SELECT call_id, max(CASE WHEN attempt = 1 THEN outcome END) AS a, max(CASE WHEN attempt = 2 THEN outcome END) AS b, max(CASE WHEN attempt = 3 THEN outcome END) AS c FROM tries GROUP BY call_id),
+CTE["fold"] = """fo AS (SELECT call_id, max(CASE WHEN attempt = 1 THEN outcome END) AS a, max(CASE WHEN attempt = 2 THEN outcome END) AS b, max(CASE WHEN attempt = 3 THEN outcome END) AS c, max(CASE WHEN attempt = 4 THEN outcome END) AS e FROM tries GROUP BY call_id),
     tf AS (SELECT call_id, a, CASE WHEN a <> 'success' THEN b END AS b, CASE WHEN a <> 'success' AND b <> 'success' THEN c END AS c FROM fo),
-    df AS (SELECT call_id, a, CASE WHEN a = 'empty' THEN b END AS b, CASE WHEN a = 'empty' AND b = 'empty' THEN c END AS c FROM fo)"""
+    df AS (SELECT call_id, a, CASE WHEN a = 'empty' THEN b END AS b, CASE WHEN a = 'empty' AND b = 'empty' THEN c END AS c, CASE WHEN a = 'empty' AND b = 'empty' AND c = 'empty' THEN e END AS e FROM fo)"""
 
 
 @query(
@@ -434,14 +435,15 @@ def transcription_replay(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT call_id, CASE WHEN 'success' IN (a, coalesce(b, ''), coalesce(c, '')) THEN 'success' WHEN c IS NOT NULL OR 'exception' IN (a, coalesce(b, '')) THEN 'error' ELSE 'open' END AS status, ['high', 'medium', 'low'][1 + (a = 'empty')::INT + coalesce(b = 'empty', false)::INT] AS level,
-    'high' AS resolution, (1 + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT)::INT AS tries, 0::DOUBLE AS pause FROM df""",
+    """SELECT call_id, CASE WHEN 'success' IN (a, coalesce(b, ''), coalesce(c, ''), coalesce(e, '')) THEN 'success' WHEN e IS NOT NULL OR 'exception' IN (a, coalesce(b, ''), coalesce(c, '')) THEN 'error' ELSE 'open' END AS status,
+    ['high', 'medium', 'low', 'low'][1 + (a = 'empty')::INT + coalesce(b = 'empty', false)::INT + coalesce(c = 'empty', false)::INT] AS level,
+    'high' AS resolution, (1 + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT + (e IS NOT NULL)::INT)::INT AS tries, 0::DOUBLE AS pause FROM df""",
     "tries",
     "fold",
 )
 def detection_replay(spark: SparkSession, d: str) -> DataFrame:
     """Retries of the detection stage."""
-    return model.replay(X.attempts(spark, d), "detect")
+    return model.replay(X.attempts(spark, d), "detect", retries=3)
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN text || role ELSE '' END AS answer, CASE WHEN length(text) > 800 THEN left(text, 800) || '…[truncated]' ELSE text END AS dump FROM conversations")

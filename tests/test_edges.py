@@ -179,3 +179,8 @@ def test_malformed_region_files(spark):
     docs = [("a", "{"), ("b", '{"x":1}'), ("c", '[1, {"type":"T","bbox":{"x":"1","y":2,"width":3,"height":4}}, {"bbox":[1]}, {"type":"FullPage","bbox":{"x":1,"y":1,"width":1,"height":1}}]'), ("d", None)]
     got = viewer.region_boxes(spark.createDataFrame(docs, "stem string, json string")).collect()
     assert [(r.stem, r.region_type, r.x, r.height) for r in got] == [("c", "T", 1, 4)]
+
+
+def test_search(spark):
+    pages = spark.createDataFrame([("Scan_1", "7", "scan_1"), ("b", "", "B")], "page_id string, page_number string, stem string")
+    assert [r.page_id for r in viewer.search(pages, " SCAN ").collect()] == ["Scan_1"] and viewer.search(pages, "").count() == 2
