@@ -136,28 +136,35 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     none = F.array().cast("array<struct<s:int,k:int,e:int,v:string,kind:string>>")
     each = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     each = each.withColumn("base", F.when(F.col("text").rlike("[@0-9]"), base_spans(F.col("text"))).otherwise(none))
-    # Equal texts count once, whatever their ids: in every number below a document is a distinct text.
-    texts = each.select("th", F.transform("base", entity).alias("entities"), _terms(_blanked(F.col("text"), F.col("base"))).alias("terms"))
-    texts = materialize(texts.withColumn("entities", F.array_distinct("entities")).dropDuplicates(["th"]), "pii-texts")
-    n_docs = texts.count()
-    value = texts.where(F.size("entities") > 0).select("terms", F.explode("entities").alias("entity"))
+    # Equal texts count once, whatever their ids: in every number below a document is a distinct text. A text that n rows
+    # hold weighs 1 / n in each; only the hashes of such texts are gathered.
+    repeats = each.select("th").groupBy("th").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    repeats = materialize(repeats, "pii-repeats")
+    more = repeats.agg(F.sum(F.col("n_rows") - 1)).first()[0] or 0
+    n_docs = docs.count() - more
+    terms = _terms(_blanked(F.col("text"), F.col("base")))
+    found = each.where(F.size("base") > 0).select("th", F.array_distinct(F.transform("base", entity)).alias("entities"), terms.alias("terms"))
+    found = materialize(found.dropDuplicates(["th"]), "pii-found")
+    value = found.select("terms", F.explode("entities").alias("entity"))
     holds = materialize(value.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support), "pii-values")
     # Counted by pair, so a term that all documents hold is no more than one row for each value.
     pairs = value.join(holds.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
-    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pii-pairs")
+    pairs = materialize(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pii-pairs", found)
     # Written before the join: else the filter to candidate terms moves below the count and every word is shuffled.
-    held = materialize(texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "pii-terms")
+    weighed = each.join(repeats, "th", "left").select((1 / F.coalesce("n_rows", F.lit(1))).alias("weight"), F.explode(terms).alias("term"))
+    held = materialize(weighed.groupBy("term").agg(F.round(F.sum("weight")).alias("n_term")), "pii-terms")
     pairs = pairs.join(holds, "entity").join(held, "term")
     own = F.log2(F.lit(float(max(1, n_docs))) / F.col("n_entity"))
     share = F.when(own > 0, F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity"))) / own).otherwise(0.0)
     level = F.max(F.when(share >= remove, 2).when(share >= generalise, 1))
-    flagged = materialize(pairs.groupBy("term").agg(level.alias("level")).where("level is not null"), "pii-flagged", texts, held)
+    flagged = materialize(pairs.groupBy("term").agg(level.alias("level")).where("level is not null"), "pii-flagged", held)
     forms = each.select("id", "th", F.explode(_forms(F.col("text"))).alias("form")).withColumn("term", F.lower("form"))
     marks = forms.join(flagged, "term").groupBy("id", "th").agg(F.map_from_entries(F.collect_set(F.struct("form", "level"))).alias("levels"))
     marks = materialize(marks, "pii-marks")
     known = marks.select(F.col("id").alias("known_id"), F.col("th").alias("known_th"), "levels")
     rows = sealed(docs, id=col(id_col), th=F.xxhash64(text), text=text)
-    rows = rows.join(known, F.col("id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")), "left")
+    # Rows with marks grow with the table: a merge at every size, not a broadcast as long as they happen to be few.
+    rows = rows.join(known.hint("merge"), F.col("id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")), "left")
     rows = rows.withColumn("base", F.when(F.col("text").rlike("[@0-9]"), base_spans(F.col("text"))).otherwise(none))
     marked = F.when(F.col("levels").isNotNull(), _marked(F.col("text"), F.col("base"), F.col("levels"))).otherwise(none)
     rows = rows.withColumn("spans", F.array_sort(F.concat("base", marked)))
@@ -176,3 +183,48 @@ def sanitised(text: Column, found: Column, by: Callable[[Column, Column], Column
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(take, fresh).otherwise(acc["out"]).alias("out"))
 
     return F.when(F.size(found) == 0, text).otherwise(F.aggregate(found, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))))
+
+
+def oracle(remove: float = 0.95, generalise: float = 0.85, support: int = 2) -> str:
+    """The same for the table documents in DuckDB, with the contract's plain patterns."""
+    plain = {
+        "email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+",
+        "ip": "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)",
+        "card": "[0-9]([ -]?[0-9])+",
+        "phone": "[+][0-9][ ().0-9-]+[0-9]",
+    }
+    part = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+    fine = {
+        "email": "true",
+        "ip": f"regexp_full_match(v, '{part}([.]{part}){{3}}')",
+        "card": "length(n) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(n), i, 1)::INT WHEN substr(reverse(n), i, 1)::INT > 4 THEN substr(reverse(n), i, 1)::INT * 2 - 9 ELSE substr(reverse(n), i, 1)::INT * 2 END)) % 10 = 0",
+        "phone": "length(n) BETWEEN 9 AND 15",
+    }
+
+    def matches(source: str, text: str, pattern: str) -> str:
+        """Rows (source's th, v, e) of all matches, e the end in code points."""
+        return f"""SELECT th, v, sum(length(v) + length(gap)) OVER (PARTITION BY th ORDER BY i) AS e FROM (
+            SELECT th, unnest(m) AS v, unnest(g[1:len(m)]) AS gap, generate_subscripts(m, 1) AS i FROM (SELECT th, regexp_extract_all({text}, '{pattern}') AS m, string_split_regex({text}, '{pattern}') AS g FROM {source}))"""
+
+    kinds = " UNION ALL ".join(f"SELECT th, (e - length(v))::INT AS s, {k} AS k, e::INT AS e, v, '{kind}' AS kind FROM (SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS n FROM ({matches('t', 'text', p)})) WHERE {fine[kind]}" for k, (kind, p) in enumerate(plain.items()))
+    counts = ", ".join(f"count_if(kind = '{k}')::BIGINT AS n_{k}" for k in KINDS)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS th FROM documents),
+    t AS MATERIALIZED (SELECT th, any_value(text) AS text FROM d GROUP BY th),
+    base AS MATERIALIZED ({kinds}),
+    ch AS (SELECT th, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) - 1 AS i FROM t SEMI JOIN base USING (th)),
+    hit AS (SELECT DISTINCT th, unnest(range(s, e)) AS i FROM base),
+    bl AS MATERIALIZED (SELECT th, string_agg(CASE WHEN hit.i IS NULL THEN c ELSE '#' END, '' ORDER BY ch.i) AS text FROM ch LEFT JOIN hit USING (th, i) GROUP BY th),
+    bt AS MATERIALIZED (SELECT th, coalesce(bl.text, t.text) AS text FROM t LEFT JOIN bl USING (th)),
+    en AS (SELECT DISTINCT th, kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN regexp_replace(v, '[^0-9]', '', 'g') ELSE lower(v) END AS entity FROM base),
+    tm AS MATERIALIZED (SELECT DISTINCT th, lower(unnest(regexp_extract_all(text, '\\p{{L}}+'))) AS term FROM bt),
+    ne AS (SELECT entity, count(*) AS n_entity FROM en GROUP BY entity HAVING count(*) >= {support}),
+    nt AS (SELECT term, count(*) AS n_term FROM tm GROUP BY term),
+    nb AS (SELECT entity, term, count(*) AS n_both FROM en JOIN ne USING (entity) JOIN tm USING (th) GROUP BY entity, term HAVING count(*) >= {support}),
+    nd AS (SELECT count(*)::DOUBLE AS n_docs FROM t),
+    sh AS (SELECT term, CASE WHEN n_docs > n_entity THEN log2(n_both * n_docs / (n_term * n_entity)) / log2(n_docs / n_entity) ELSE 0 END AS share FROM nb JOIN ne USING (entity) JOIN nt USING (term), nd),
+    fl AS (SELECT term, CASE WHEN max(share) >= {remove} THEN 2 ELSE 1 END AS level FROM sh GROUP BY term HAVING max(share) >= {generalise}),
+    al AS (SELECT th, s, k, e, v, kind FROM base UNION ALL
+        SELECT w.th, (e - length(v))::INT, 6 - level, e::INT, lower(v), CASE WHEN level = 2 THEN 'remove' ELSE 'generalise' END FROM ({matches('bt', 'text', '\\p{L}+')}) AS w JOIN fl ON term = lower(v) JOIN t USING (th) WHERE list_contains(regexp_extract_all(t.text, '\\p{{L}}+'), v)),
+    ag AS (SELECT th, {counts}, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 4) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans FROM al GROUP BY th)
+    SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN ag USING (th)"""
