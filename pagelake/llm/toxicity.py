@@ -36,7 +36,7 @@ _CLOSED = re.compile(r"[\W_]+")
 #: Evidence that makes a unit a first witness: its log-likelihood ratio, and the least share of its contexts that are toxic.
 LEAST_RATIO, LEAST_SHARE = 20.0, 0.8
 #: How often the machine is fitted anew to the witnesses that it finds itself in labelled texts.
-ROUNDS = 2
+ROUNDS = 1
 _SPACED = re.compile(r"(?<!\S)\w(?:[ ._*-]\w){2,}(?!\S)")
 
 
@@ -147,8 +147,8 @@ class Model:
             out[own] = np.maximum(FLOOR, np.bincount(rows, np.where(self.codes[place] == codes, values * self.gains[place], 0.0), len(own)) + self.bias)
         return out
 
-    def of_texts(self, texts: list[str | None]) -> np.ndarray:
-        """For each text: the highest margin of its units (FLOOR if there is none above it), then how much is toxic in all, and for each unit."""
+    def of_units(self, texts: list[str | None]) -> tuple[list[set[str]], dict[str, float]]:
+        """The units of each text, and the margins of all of them; what a worker has worked out once it keeps."""
         known = _KNOWN.setdefault(self.name, {})
         if len(known) > 400_000:
             known.clear()
@@ -156,6 +156,11 @@ class Model:
         fresh = list(set().union(*each) - known.keys()) if each else []
         for i in range(0, len(fresh), 4096):
             known.update(zip(fresh[i : i + 4096], self.margins(fresh[i : i + 4096]).tolist(), strict=True))
+        return each, known
+
+    def of_texts(self, texts: list[str | None]) -> np.ndarray:
+        """For each text: the highest margin of its units (FLOOR if there is none above it), then how much is toxic in all, and for each unit."""
+        each, known = self.of_units(texts)
         out = np.zeros((len(texts), 3))
         for row, own in zip(out, each, strict=True):
             margins = [known[u] for u in own]
@@ -200,12 +205,24 @@ def _likeness(units: list[str], marks: list[str]) -> tuple[np.ndarray, np.ndarra
 
 def fit_units(positive: list[str], negative: list[str], landmarks: int = 64) -> Model:
     """The machine that separates the units, on landmarks of both kinds."""
-    # Landmarks: witnesses in turn, each the one least like those taken; then the clean units most like them.
-    like_all = _likeness(positive, positive)[0]
-    taken, like = [0], like_all[0].copy()
+    # Landmarks: witnesses in turn, each the one least like those taken; then the clean units most like them. The likeness
+    # to a new landmark is worked out when it is taken, so no table of all pairs is made.
+    rows, codes, values = features(positive)
+    ends = np.cumsum(np.bincount(rows, minlength=len(positive)))
+    order = np.argsort(rows, kind="stable")
+    rows, codes, values = rows[order], codes[order], values[order]
+
+    def like(i: int) -> np.ndarray:
+        own = slice(ends[i - 1] if i else 0, ends[i])
+        sort = np.argsort(codes[own])
+        mine, weight = codes[own][sort], values[own][sort]
+        at = np.minimum(np.searchsorted(mine, codes), len(mine) - 1)
+        return np.bincount(rows, np.where(mine[at] == codes, values * weight[at], 0.0), len(positive))
+
+    taken, near = [0], like(0)
     while len(taken) < min(landmarks, len(positive)):
-        taken.append(int(np.argmin(like)))
-        like = np.maximum(like, like_all[taken[-1]])
+        taken.append(int(np.argmin(near)))
+        near = np.maximum(near, like(taken[-1]))
     marks = [positive[i] for i in taken]
     if negative:
         closest = _likeness(negative, marks)[0].max(axis=1)
@@ -281,6 +298,9 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     harmless = list(dict.fromkeys(x for r in clean.collect() for x in windows(r.key)))
     known = set(harmless)
     positive = list(dict.fromkeys(x for k in own for x in windows(k) if len(k) <= WIDTH or x not in known))
+    positive = positive or list(dict.fromkeys(x for k in own for x in windows(k)))
+    if not positive:  # toxic texts without a word
+        return n1 / (n1 + n0)
     negative = [x for x in harmless if x not in set(positive)]
     model = fit_units(positive, negative)
     # Labels are of texts, so the machine is fitted anew to labelled texts: its witness of a toxic one is the unit of the
@@ -310,10 +330,8 @@ def witness_of(model: Model):
         out = []
         texts = text.to_pylist()
         for i in range(0, len(texts), 256):
-            each = [sorted(units_of(t or "")) for t in texts[i : i + 256]]
-            all_ = sorted(set().union(*each))
-            margin = dict(zip(all_, model.margins(all_).tolist(), strict=True))
-            best = [max(own, key=margin.__getitem__, default=None) for own in each]
+            each, margin = model.of_units(texts[i : i + 256])
+            best = [max(own, key=lambda u: (margin[u], u), default=None) for own in each]
             out += [None if u is None or margin[u] <= FLOOR else u for u in best]
         return pa.array(out, pa.string())
 
@@ -336,7 +354,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Learns from rows of labels whose fold is not 0; ids with several labels count with each, labels that are null or
     neither 0 nor 1 count not at all. A null text is empty; an empty text scores as a text without units. Where the
-    training rows hold one label only, every score is that label's share (0 without rows). Rows with a null id are scored
+    training rows hold one label only, or toxic ones no word, every score is that label's share (0 without rows). Rows with a null id are scored
     and are not held out. Columns named held_out, score or predicted give way to the operator's.
     """
     known = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("toxic")).where("id is not null and toxic in (0, 1)").where(fold(F.col("id")) != 0)

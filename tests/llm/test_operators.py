@@ -423,3 +423,9 @@ def test_toxicity_of_fixed_phrases_and_copies(spark):
     assert out[2000].score > 0.5 and out[2001].predicted == 0
     held = [(out[i].predicted, y) for i, y in labels if out[i].held_out and i < 1000]
     assert np.mean([p == y for p, y in held]) > 0.97
+
+
+def test_toxicity_of_texts_without_words(spark):
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(40)], "doc_id long, toxic int")
+    out = toxicity.toxicity(frame(spark, [(i, None if i < 10 else "some words") for i in range(40)]), labels).collect()
+    assert len(out) == 40 and len({r.score for r in out}) == 1
