@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import mixing, pii, winnowing
+from pagelake.llm import mixing, periodic, pii, winnowing
 from pagelake.llm.html_layout import extract_text
+from pagelake.llm.licences import base_places, scan_licences
 from pagelake.llm.line_dedup import line_dedup
 from pagelake.llm.mixing import mix_sources
 from pagelake.llm.multi_index import embedding_links
 from pagelake.llm.pieces import encode_pieces
+from pagelake.llm.resampling import resample
 from pagelake.llm.simhash import simhash_dedup
 from pagelake.llm.substring_dedup import substring_dedup
 from pagelake.llm.toxicity import toxicity
@@ -84,6 +86,42 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.with_planted_run(F.col("text"), F.col("doc_id")).alias("text"))
+    out = periodic.periodic_runs(docs)
+    best = out.withColumn("best", periodic.longest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.written(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("base", base_places(F.col("places")))
+    word = F.transform("base", lambda p: p["word"])
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(word).alias("first_word"),
+        F.array_max(word).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("base", lambda p: p["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_join(F.transform("expressions", lambda e: e["written"]), "; ").alias("expressions"),
+        "restriction",
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark").select("text"), texts=False)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 OP8_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
 k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
@@ -119,6 +157,54 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, v
 FROM embeddings LEFT JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
+#: CRC-32, which DuckDB lacks: t has what the register turns a low byte into.
+CRC = "t AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b)) AS t)"
+
+
+def _crc(x: str) -> str:
+    each = f"list_transform(range(octet_length(encode({x}))), lambda i: ('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce({each}, lambda c, b: xor(t.t[(xor(c, b) & 255) + 1], c >> 8), 4294967295))"
+
+
+OP11_SQL = rf"""
+WITH {CRC},
+d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, {_crc("doc_id::VARCHAR")} AS h FROM documents, t),
+p AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS many FROM d),
+x AS (SELECT doc_id, CASE WHEN planted THEN list_transform(range(len(w)), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // many) END + 1]) ELSE w END AS w FROM p),
+g AS (SELECT doc_id, unnest(range(len(w) - 5)) AS i, unnest(list_transform(range(len(w) - 5), lambda i: array_to_string(w[i + 1:i + 6], ' '))) AS gram FROM x WHERE len(w) >= 12),
+m AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM g AS a JOIN g AS b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.i < b.i),
+n AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+s AS (SELECT doc_id, q, min(i) AS start, max(i) + 6 - min(i) + q AS length FROM n GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+o AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(start := start, length := length, period := period), (-length, start, period)) AS best, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+u AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+y AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM x),
+k AS (SELECT y.doc_id, string_agg(word, ' ' ORDER BY y.i) AS kept FROM y ANTI JOIN u USING (doc_id, i) GROUP BY y.doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM x LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+_WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_RUNS = "unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS x"
+
+OP13_SQL = f"""
+WITH {CRC},
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (SELECT {_WORDS} AS w FROM benchmark),
+f AS (SELECT doc_id, {_RUNS} FROM d),
+e AS (SELECT {_RUNS} FROM g),
+u AS (SELECT x, {_crc("x")} % 10000 AS b FROM (SELECT x FROM f UNION SELECT x FROM e), t),
+s AS (SELECT b, count(*) AS n FROM f JOIN u USING (x) GROUP BY b),
+v AS (SELECT b, count(*) AS n FROM e JOIN u USING (x) GROUP BY b),
+k AS (SELECT b, floor(1000 * ln((coalesce(v.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((s.n + 1) * ((SELECT coalesce(sum(n), 0) FROM v) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN v USING (b)),
+m AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM f JOIN u USING (x) JOIN k USING (b) GROUP BY doc_id),
+o AS (SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS fit,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN m USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place FROM o)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= (SELECT 5 * count(*) // 100 FROM o WHERE fit) THEN place END AS rank FROM r
+"""
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_winnowing": op2_winnowing,
@@ -130,6 +216,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_licence_scan": op12_licence_scan,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 SQL = {
     "op1_source_mixing": mixing.oracle(),
@@ -137,4 +226,6 @@ SQL = {
     "op5_substring_dedup": OP5_SQL,
     "op6_embedding_links": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_periodic_runs": OP11_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }

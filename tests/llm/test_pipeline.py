@@ -31,4 +31,4 @@ def test_run(spark):
 
 
 def test_queries_cover_all_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
