@@ -2,11 +2,11 @@
 
 Vectors are normalised and cut in halves; each half has a codebook of its own, and pairs of codes make the cells of a
 product grid. A query walks the cells in order of the summed distances to both codes (multi-sequence order) until the
-number of cells that, on a calibration sample, reaches the recall wanted for pairs close to the threshold. Pairs of a
-query and an entry at home in a visited cell are verified by their cosine in double precision.
+number of cells that reaches the recall wanted: for pairs exactly at the threshold, of vectors that the codebooks were not
+fitted on. Pairs of a query and an entry at home in a visited cell are verified by their cosine in double precision.
 
-Codebooks and the number of visits are fitted on at most sample_limit vectors; every vector is indexed and every vector
-queries. Equal vectors are one entry with a weight. A full cell is dealt out in tiles of some homes and some queries, so no
+Codebooks are fitted on nine tenths of at most sample_limit vectors and visits on the last tenth; every vector is indexed
+and every vector queries. Equal vectors are one entry with a weight. A full cell is dealt out in tiles of some homes and some queries, so no
 task gets a whole cell; links are counted, not listed, and each tile sends a forest over the links it found.
 """
 
@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from pagelake.llm.common import col, connected_components, hash_sample, local_components, materialize, sealed, unsealed
 
 
+#: A copy of a query, which is written, moved and read, costs as much as so many verifications.
+_COPY = 1000
+
+
 def normal(flat: np.ndarray, dim: int) -> np.ndarray:
     """Rows of unit length in double precision."""
     x = flat.astype(np.float64).reshape(-1, dim)
@@ -59,46 +63,74 @@ class Grid:
         self.first, self.second, self.visits = first, second, visits
 
     def order(self, x: np.ndarray, visits: int) -> np.ndarray:
-        """For each row the `visits` nearest cells, nearest first."""
+        """For each row the `visits` nearest cells, nearest first; some rows at a time, so that ranks stay within bounds."""
         half = self.first.shape[1]
-        a, b = _square(x[:, :half], self.first), _square(x[:, half:], self.second)
         # A cell at rank (i, j) of the two sorted lists comes after all (i', j') at or below it, so ranks with
         # (i + 1) * (j + 1) > visits can't be among the first ones.
-        (ia, sa), (ib, sb) = (_nearest(y, visits) for y in (a, b))
-        ranks = np.array([(i, j) for i in range(ia.shape[1]) for j in range(min(ib.shape[1], visits // (i + 1)))])
-        total = sa[:, ranks[:, 0]] + sb[:, ranks[:, 1]]
-        best = np.argsort(total, axis=1, kind="stable")[:, :visits]
-        return np.take_along_axis(ia, ranks[best, 0], 1) * self.second.shape[0] + np.take_along_axis(ib, ranks[best, 1], 1)
+        ka, kb = min(visits, len(self.first)), min(visits, len(self.second))
+        ranks = np.concatenate([np.stack([np.full(m := min(kb, visits // (i + 1)), i), np.arange(m)], 1) for i in range(ka)])
+        out = []
+        for at in range(0, len(x), step := max(1, (1 << 22) // len(ranks))):
+            some = x[at : at + step]
+            (ia, sa), (ib, sb) = _nearest(_square(some[:, :half], self.first), ka), _nearest(_square(some[:, half:], self.second), kb)
+            total = sa[:, ranks[:, 0]] + sb[:, ranks[:, 1]]
+            best = np.argsort(total, axis=1, kind="stable")[:, :visits]
+            out.append(np.take_along_axis(ia, ranks[best, 0], 1) * len(self.second) + np.take_along_axis(ib, ranks[best, 1], 1))
+        return np.concatenate(out) if out else np.zeros((0, min(visits, len(self.first) * len(self.second))), np.int64)
+
+    def rank(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """The place of a cell in each row's order, from 1, among all cells; of equally near ones the last."""
+        half = self.first.shape[1]
+        a, b = _square(x[:, :half], self.first), np.sort(_square(x[:, half:], self.second), axis=1)
+        own = np.take_along_axis(_square(x[:, half:], self.second), (cell % len(self.second))[:, None], 1)[:, 0]
+        limit = (np.take_along_axis(a, (cell // len(self.second))[:, None], 1)[:, 0] + own) * (1 + 1e-9)
+        return np.array([np.searchsorted(nearest, s - first, side="right").sum() for nearest, s, first in zip(b, limit, a, strict=True)])
 
     def home(self, x: np.ndarray) -> np.ndarray:
         return self.order(x, 1)[:, 0]
 
 
-def fit_grid(sample: np.ndarray, n: int, threshold: float, recall: float) -> Grid:
-    """Codebooks for about 32 entries a cell at n vectors, and the visits that find pairs at the threshold from either side.
+def partners(x: np.ndarray, cosine: float) -> np.ndarray:
+    """For each unit row one at this cosine: every other row moved in any direction, the rest towards another row.
 
-    The codebooks grow with the root of n, as long as the sample has eight vectors for each code.
+    Where vectors fill few of their dimensions, so do the differences of near ones, and those cross more cells.
     """
-    k = int(np.clip(round(math.sqrt(n / 32)), 1, max(1, len(sample) // 8)))
-    half = sample.shape[1] // 2
-    grid = Grid(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k))
     rng = np.random.default_rng(11)
-    x = sample[rng.choice(len(sample), min(1000, len(sample)), replace=False)]
-    noise = rng.standard_normal(x.shape)
-    noise -= (noise * x).sum(1)[:, None] * x
-    noise /= np.sqrt((noise * noise).sum(1))[:, None]
-    cosine = threshold + (1 - threshold) / 4
-    y = cosine * x + math.sqrt(1 - cosine**2) * noise
-    cells = len(grid.first) * len(grid.second)
-    most = min(cells, 512)
-    there = grid.order(x, most) == grid.home(y)[:, None]
-    back = grid.order(y, most) == grid.home(x)[:, None]
-    rank = np.minimum(*[np.where(m.any(axis=1), m.argmax(axis=1) + 1, cells) for m in (there, back)])
-    grid.visits = int(np.clip(np.ceil(np.quantile(rank, recall)), 2 if cells > 1 else 1, cells))
-    return grid
-
-
-def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, recall: float = 0.97, sample_limit: int = 20_000) -> DataFrame:
+    away = rng.standard_normal(x.shape)
+    away[1::2] = x[rng.permutation(len(x))][1::2]
+    away -= (away * x).sum(1)[:, None] * x
+    size = np.sqrt((away * away).sum(1))[:, None]
+    away = np.where(size > 1e-9, away / np.maximum(size, 1e-9), 0.0)
+    return cosine * x + math.sqrt(1 - cosine**2) * away
+
+
+def visits_for(grid: Grid, held: np.ndarray, threshold: float, recall: float) -> int:
+    """Cells to visit so that this share of pairs at the threshold is found from either side, of each kind of partner."""
+    y = partners(held, threshold)
+    rank = np.minimum(grid.rank(held, grid.home(y)), grid.rank(y, grid.home(held)))
+    need = max(np.quantile(rank[k::2], recall, method="higher") for k in range(min(2, len(rank))))
+    return int(max(need, min(2, len(grid.first) * len(grid.second))))
+
+
+def fit_grid(sample: np.ndarray, held: np.ndarray, n: int, threshold: float, recall: float) -> Grid:
+    """Codebooks of the sample, and the visits that `held`, vectors that no codebook has seen, need at n vectors.
+
+    Finer grids verify fewer vectors a cell and visit more cells. Of grids with 32 entries a cell and coarser ones the
+    one of least work is taken: a visit costs the verifications of its cell's entries and a copy of the query. Codebooks
+    have a code for eight vectors of the sample at most.
+    """
+    finest = min(math.sqrt(n / 32), len(sample) / 8)
+    half = sample.shape[1] // 2
+    best, least = None, math.inf
+    for k in dict.fromkeys(max(1, round(finest / 2 ** (i / 2))) for i in range(8)):
+        grid = Grid(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k))
+        grid.visits = visits_for(grid, held, threshold, recall)
+        if (work := grid.visits * (_COPY + n / (len(grid.first) * len(grid.second)))) < least:
+            best, least = grid, work
+    return best
+
+
+def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, recall: float = 0.98, sample_limit: int = 20_000) -> DataFrame:
     """vectors with n_links, component_id (smallest id that links lead to) and kept (the id is its component's).
 
     Pairs at or above the threshold that the index finds are links; none below it is. Vectors that are null, zero, hold
@@ -121,7 +153,10 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     distinct = materialize(distinct, "grid-distinct")
     n = distinct.count()
     sample = hash_sample(distinct.select("id", "v"), "id", n, sample_limit).toArrow().sort_by("id")["v"].combine_chunks()
-    grid = fit_grid(normal(sample.flatten().to_numpy(), dim), n, threshold, recall)
+    sample = normal(sample.flatten().to_numpy(), dim)
+    sample = sample[np.random.default_rng(5).permutation(len(sample))]
+    held = len(sample) // 10
+    grid = fit_grid(sample[held:], sample[:held] if held else sample, n, threshold, recall)
 
     def unit(column: pa.Array) -> np.ndarray:
         return normal(column.flatten().to_numpy(zero_copy_only=False), dim)

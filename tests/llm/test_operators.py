@@ -429,3 +429,43 @@ def test_toxicity_of_texts_without_words(spark):
     labels = spark.createDataFrame([(i, int(i < 10)) for i in range(40)], "doc_id long, toxic int")
     out = toxicity.toxicity(frame(spark, [(i, None if i < 10 else "some words") for i in range(40)]), labels).collect()
     assert len(out) == 40 and len({r.score for r in out}) == 1
+
+
+@pytest.mark.parametrize("rank", [64, 12])
+def test_recall_of_vectors_that_no_codebook_has_seen(rank):
+    """Pairs at a cosine of 0.9 outside the sample, at 20,000, a million and 30 million vectors."""
+    rng = np.random.default_rng(rank)
+    basis = rng.standard_normal((rank, 64)) if rank < 64 else np.eye(64)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    drawn = lambda n: unit(rng.standard_normal((n, rank)) @ basis)
+    sample, x, z = drawn(9000), drawn(1500), drawn(1500)
+    y = 0.9 * x + np.sqrt(0.19) * unit(z - (z * x).sum(1)[:, None] * x)
+    for n in (20_000, 1_000_000, 30_000_000):
+        grid = multi_index.fit_grid(sample[900:], sample[:900], n, 0.9, 0.98)
+        assert np.mean(np.minimum(grid.rank(x, grid.home(y)), grid.rank(y, grid.home(x))) <= grid.visits) >= 0.95
+
+
+def test_ranks_of_cells_are_places_in_the_order():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((40, 8))
+    grid = multi_index.Grid(rng.standard_normal((7, 4)), rng.standard_normal((5, 4)))
+    order = grid.order(x, 35)
+    assert sorted(order[0].tolist()) == list(range(35)) and all(np.array_equal(grid.order(x, v), order[:, :v]) for v in (1, 2, 6, 20))
+    for k in range(35):
+        assert (grid.rank(x, order[:, k]) == k + 1).all()
+
+
+def test_links_through_a_grid_of_many_cells(spark):
+    """Clusters of vectors, so that cells are many and visits few: true links only, and nearly all of them."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((150, 32))[rng.integers(0, 150, 6000)] + 0.3 * rng.standard_normal((6000, 32))
+    x = x.astype(np.float32)
+    u = multi_index.normal(x, 32)
+    grid = multi_index.fit_grid(u[600:], u[:600], len(u), 0.9, 0.98)
+    assert len(grid.first) > 3 and grid.visits < len(grid.first) * len(grid.second) / 2
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    out = multi_index.embedding_links(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"))
+    found = {r.vec_id: r.n_links for r in out.collect()}
+    true = near.sum(1)
+    assert all(found[i] <= true[i] for i in found) and sum(found.values()) >= 0.95 * true.sum() > 1000
