@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, hash_sample, materialize, sealed, unsealed
+from pagelake.llm.common import col, discard, hash_sample, materialize, sealed, unsealed
 
 DECAY = 0.6
 WIDTH = 16
@@ -149,8 +149,10 @@ class Model:
 
     def of_units(self, texts: list[str | None]) -> tuple[list[set[str]], dict[str, float]]:
         """The units of each text, and the margins of all of them; what a worker has worked out once it keeps."""
+        if self.name not in _KNOWN:
+            _KNOWN.clear()  # margins of one model at a time
         known = _KNOWN.setdefault(self.name, {})
-        if len(known) > 400_000:
+        if len(known) > _MOST_KNOWN:
             known.clear()
         each = [units_of(t or "") for t in texts]
         fresh = list(set().union(*each) - known.keys()) if each else []
@@ -170,6 +172,7 @@ class Model:
 
 
 _KNOWN: dict[str, dict[str, float]] = {}
+_MOST_KNOWN = 200_000
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -364,7 +367,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sample = materialize(few[0].unionByName(few[1]), "toxicity-sample")
     # At most max_texts ids: a broadcast of bounded size, so that texts stay where they are.
     labelled = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id").select("text", "toxic")
+    # Written, as a filter on what the machine says of a text would else be pushed below the join and so ask it of all texts.
+    labelled = materialize(labelled, "toxicity-labelled")
     model = train(labelled, share, max_units)
+    discard(docs.sparkSession, labelled)
     rows = sealed(docs, id=col(id_col), text=col(text_col))
     if isinstance(model, float):
         score = F.lit(model)
