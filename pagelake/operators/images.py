@@ -120,7 +120,7 @@ def scaled(page: np.ndarray, width: int) -> np.ndarray:
     return np.clip(np.rint(x), 0, 255).astype(np.uint8)
 
 
-PAGE = "page_id string, seq int, side string, width int, height int, pixels binary, error string"
+PAGE = "page_id string, seq int, side string, width int, height int, pixels binary, error string, stem string"
 
 
 def prepared(scans: DataFrame, single: bool = True, overlap: int = 10, deskew: bool = False, contrast: bool = True, sharpen: bool = True) -> DataFrame:
@@ -131,7 +131,7 @@ def prepared(scans: DataFrame, single: bool = True, overlap: int = 10, deskew: b
             out = []
             for r in batch.itertuples():
                 if r.error is not None:
-                    out.append((r.stem, r.seq, None, None, None, None, r.error))
+                    out.append((r.stem, r.seq, None, None, None, None, r.error, r.stem))
                     continue
                 try:
                     w, h = int(r.width), int(r.height)
@@ -145,10 +145,10 @@ def prepared(scans: DataFrame, single: bool = True, overlap: int = 10, deskew: b
                             page = contrasted(page)
                         if sharpen:
                             page = sharpened(page)
-                        out.append((page_id, r.seq, side, page.shape[1], page.shape[0], np.ascontiguousarray(page).tobytes(), None))
+                        out.append((page_id, r.seq, side, page.shape[1], page.shape[0], np.ascontiguousarray(page).tobytes(), None, r.stem))
                 except Exception as e:
-                    out.append((r.stem, r.seq, None, None, None, None, f"preparation failed: {e}"))
-            yield pd.DataFrame(out, columns=["page_id", "seq", "side", "width", "height", "pixels", "error"])
+                    out.append((r.stem, r.seq, None, None, None, None, f"preparation failed: {e}", r.stem))
+            yield pd.DataFrame(out, columns=["page_id", "seq", "side", "width", "height", "pixels", "error", "stem"])
 
     if "seq" not in scans.columns:
         scans = scans.withColumn("seq", F.lit(0))

@@ -28,14 +28,20 @@ def in_order(files: DataFrame, name: str = "file_name") -> DataFrame:
     return own.withColumn("natural", T.natural_key(F.col("stem")))
 
 
-def numbered(rows: DataFrame, key: F.Column, name: str = "seq") -> DataFrame:
+def numbered(rows: DataFrame, key: F.Column, name: str = "seq", path: str | None = None) -> DataFrame:
     """rows with their place, from 1, in ascending order of key.
 
     A range sort puts rows in order over all tasks; a place is the count of the rows in the parts before, one number for
-    each part, and the place in the part. No task sees more than its range.
+    each part, and the place in the part. No task sees more than its range. The rows in order are written to path, or else
+    cached for as long as the session lasts.
     """
     at, part = F.col("_at"), F.shiftright("_at", 33)
-    ordered = rows.withColumn("_key", key).orderBy("_key").drop("_key").withColumn("_at", F.monotonically_increasing_id()).persist()
+    ordered = rows.withColumn("_key", key).orderBy("_key").drop("_key").withColumn("_at", F.monotonically_increasing_id())
+    if path:
+        ordered.write.mode("overwrite").parquet(path)
+        ordered = rows.sparkSession.read.schema(ordered.schema).parquet(path)
+    else:
+        ordered = ordered.persist()
     sizes = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     placed = ordered.withColumn("part", part).join(F.broadcast(before), "part")
@@ -48,8 +54,8 @@ def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     return in_order(files.withColumn("file_name", F.element_at(F.split("path", "/"), -1)))
 
 
-def decoded(spark: SparkSession, folder: str) -> DataFrame:
-    """The scans decoded by Spark's image source to page rows; what it can't decode has an error instead of pixels."""
+def decoded(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """The scans of a folder, or files by their paths, decoded by Spark's image source to page rows; what it can't decode has an error instead of pixels."""
     images = spark.read.format("image").option("pathGlobFilter", GLOB).load(folder).select("image.*")
     name = F.element_at(F.split("origin", "/"), -1)
     bad = (F.col("width") < 0) | F.col("width").isNull()
