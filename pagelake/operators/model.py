@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -66,6 +66,46 @@ class Policy:
     max_output_tokens: int = 65_536
 
 
+@dataclass(frozen=True)
+class State:
+    """Where a call stands: its status (open, success, error), what the next attempt is made with, the attempts so far, the
+    pauses so far and the one before the next attempt, in seconds."""
+
+    status: str
+    level: str
+    resolution: str
+    tries: int = 0
+    pause: float = 0.0
+    wait: float = 0.0
+
+
+OUTCOMES = ("success", "empty", "exception", "bad_json")
+
+
+def opened(policy: Policy) -> State:
+    return State("open", policy.level, policy.resolution)
+
+
+def advance(policy: Policy, state: State, outcome: str) -> State:
+    """The state of an open call after one more attempt; the one machine of runs, streams and tables.
+
+    An empty answer lowers the level, in transcription the last retry after one is at the finest resolution; an exception
+    pauses, longer each time, or ends detection; bad JSON is asked for again as before.
+    """
+    tries = state.tries + 1
+    if outcome == "success":
+        return replace(state, status="success", tries=tries, wait=0.0)
+    if tries > policy.retries or (outcome == "exception" and policy.stage == "detect"):
+        return replace(state, status="error", tries=tries, wait=0.0)
+    level, resolution = state.level, state.resolution
+    if outcome == "empty":
+        level = next_level(policy.stage, level)
+        if policy.stage == "transcribe" and tries == policy.retries and resolution and not resolution.endswith("ultra_high"):
+            resolution = "ultra_high"
+    wait = policy.pause * tries if outcome == "exception" else 0.0
+    return State("open", level, resolution, tries, state.pause + wait, wait)
+
+
 def call(ask: Callable[[str, str, str], str | Answer], policy: Policy, prompt: str, parse: Callable[[str], object] | None = None, sleep: Callable[[float], None] = time.sleep) -> dict:
     """One request with its retries: status, text, error, the last finish reason and the attempts made as (outcome, level,
     resolution).
@@ -73,36 +113,25 @@ def call(ask: Callable[[str, str, str], str | Answer], policy: Policy, prompt: s
     An answer whose JSON does not parse at the last attempt is the text of the error; an empty one's error names the
     finish reason.
     """
-    level, resolution, error, made, raw, reason = policy.level, policy.resolution, "", [], "", None
-    total = policy.retries + 1 if policy.stage == "detect" else max(1, policy.retries + 1)
-    for attempt in range(total):
+    state, error, made, raw, reason = opened(policy), "", [], "", None
+    while state.status == "open" and (policy.retries >= 0 or policy.stage != "detect"):
+        text, raw = "", ""
         try:
-            answer = ask(prompt, level, resolution)
+            answer = ask(prompt, state.level, state.resolution)
             text, reason = (answer.text, answer.finish_reason or None) if isinstance(answer, Answer) else (answer, None)
-        except Exception as e:
-            raw = ""
-            made.append(("exception", level, resolution))
-            error = str(e)
-            if policy.stage == "detect" or attempt >= policy.retries:
-                break
-            sleep(policy.pause * (attempt + 1))
-            continue
-        if not text:
-            made.append(("empty", level, resolution))
-            error, raw = f"empty response (finish reason: {reason or 'unknown'})", ""
-            level = next_level(policy.stage, level)
-            if policy.stage == "transcribe" and attempt + 1 == policy.retries and resolution and not resolution.endswith("ultra_high"):
-                resolution = "ultra_high"
-            continue
-        if parse:
-            try:
+            outcome = "success" if text else "empty"
+            error = "" if text else f"empty response (finish reason: {reason or 'unknown'})"
+            if text and parse:
                 parse(text)
-            except ValueError as e:
-                made.append(("bad_json", level, resolution))
-                raw = text
-                error = f"JSON parse: {e}"
-                continue
-        made.append(("success", level, resolution))
+        except ValueError as e:
+            outcome, error, raw = ("bad_json", f"JSON parse: {e}", text) if text else ("exception", str(e), "")
+        except Exception as e:
+            outcome, error = "exception", str(e)
+        made.append((outcome, state.level, state.resolution))
+        state = advance(policy, state, outcome)
+        if state.wait:
+            sleep(state.wait)
+    if state.status == "success":
         return {"status": "success", "text": text.strip(), "error": None, "finish_reason": reason, "attempts": made}
     return {"status": "error", "text": raw, "error": error, "finish_reason": reason, "attempts": made}
 
@@ -173,25 +202,33 @@ def prompts(regions: DataFrame) -> DataFrame:
     return p.withColumn("prompt", out)
 
 
+def transitions(policy: Policy) -> dict[tuple[State, str], State]:
+    """Every step that an open call can make."""
+    out: dict[tuple[State, str], State] = {}
+    todo = [opened(policy)]
+    while todo:
+        state = todo.pop()
+        for outcome in OUTCOMES:
+            if (state, outcome) not in out:
+                out[state, outcome] = after = advance(policy, state, outcome)
+                todo += [after] if after.status == "open" else []
+    return out
+
+
 def replay(attempts: DataFrame, stage: str, key: str = "call_id", retries: int = 2, level: str = "high", resolution: str = "high") -> DataFrame:
-    """The state of each call after its attempts(key, attempt, outcome), folded in order: status, level, resolution, tries, pause."""
-    ladder = {k: next_level(stage, k) for k in ("high", "medium", "low", "minimal")}
-    start = F.struct(F.lit("open").alias("status"), F.lit(level).alias("level"), F.lit(resolution).alias("resolution"), F.lit(0).alias("tries"), F.lit(0.0).alias("pause"))
-
-    def step(s: Column, x: Column) -> Column:
-        tries = s["tries"] + 1
-        empty, raised = x["outcome"] == "empty", x["outcome"] == "exception"
-        over = tries > retries
-        fatal = raised & F.lit(stage == "detect") | over
-        status = F.when(x["outcome"] == "success", "success").when(fatal, "error").otherwise("open")
-        lower = F.when(empty & ~over, T.lookup(ladder, s["level"], "medium")).otherwise(s["level"])
-        sharper = s["resolution"] if stage == "detect" else F.when(empty & (tries == retries) & (s["resolution"] != "ultra_high"), "ultra_high").otherwise(s["resolution"])
-        pause = s["pause"] + F.when(raised & ~over & F.lit(stage != "detect"), tries * 1.5).otherwise(0.0)
-        new = F.struct(status.alias("status"), lower.alias("level"), sharper.alias("resolution"), tries.alias("tries"), pause.alias("pause"))
-        return F.when(s["status"] == "open", new).otherwise(s)
+    """The state of each call after its attempts(key, attempt, outcome), in order: status, level, resolution, tries, pause.
 
+    The steps of advance(), as a table that the attempts are folded over; attempts after the end count for nothing.
+    """
+    policy = Policy(stage, level, resolution, retries)
+    steps = transitions(policy)
+    states = list(dict.fromkeys([opened(policy), *(s for s, _ in steps), *steps.values()]))
+    number = {s: i for i, s in enumerate(states)}
+    table = F.create_map(*[F.lit(x) for (s, o), after in steps.items() for x in (f"{number[s]} {o}", number[after])])
+    shown = F.array(*[F.struct(F.lit(s.status).alias("status"), F.lit(s.level).alias("level"), F.lit(s.resolution).alias("resolution"), F.lit(s.tries).alias("tries"), F.lit(s.pause).alias("pause")) for s in states])
     tries = F.array_sort(F.collect_list(F.struct("attempt", "outcome")))
-    return attempts.groupBy(key).agg(F.aggregate(tries, start, step).alias("s")).select(key, "s.*")
+    end = F.aggregate(tries, F.lit(0), lambda at, x: F.coalesce(F.try_element_at(table, F.concat_ws(" ", at.cast("string"), x["outcome"])), at))
+    return attempts.groupBy(key).agg(end.alias("at")).select(key, F.get(shown, F.col("at")).alias("s")).select(key, "s.*")
 
 
 def answer_text(text: Column, candidates: Column) -> Column:

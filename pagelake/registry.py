@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pagelake.functions import catalog
 from pagelake.functions import regions as R
 from pagelake.functions import text as T
-from pagelake.operators import detection, markdown, model, viewer
+from pagelake.operators import detection, joins, markdown, model, reports, viewer
 from pagelake.operators.images import data_uri
 from pagelake.sources import fixtures as X
 from pagelake.sources import scans
+from pagelake.streaming import windows
 
 FLAGSHIP = "regions_detected"
 QUERIES: dict = {}
@@ -496,3 +498,95 @@ def regions_with_pages(spark: SparkSession, d: str) -> DataFrame:
     """Regions joined with what their page carries."""
     pages = X.table(spark, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.col("o_orderstatus").alias("page_state"))
     return detection.detect(_raw(spark, d)).join(pages, "page_id").select("page_id", "id", "page_state", "bbox.x", "bbox.width")
+
+
+@query(
+    """SELECT a.page_id, printf('r%02d', a.reading_order) AS a, printf('r%02d', b.reading_order) AS b, greatest(a.x, b.x) AS x, greatest(a.y, b.y) AS y,
+    least(a.x + a.width, b.x + b.width) - greatest(a.x, b.x) AS width, least(a.y + a.height, b.y + b.height) - greatest(a.y, b.y) AS height
+    FROM det a JOIN det b ON a.page_id = b.page_id AND a.reading_order < b.reading_order AND a.x < b.x + b.width AND b.x < a.x + a.width AND a.y < b.y + b.height AND b.y < a.y + a.height""",
+    "raw",
+    "px",
+)
+def region_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """The regions of a page that overlap, which the prompt forbids."""
+    return joins.overlaps(detection.detect(_raw(spark, d)).select("page_id", "id", "bbox.*"))
+
+
+@query(
+    """SELECT e.event_id, e.user_id, s.setting_id, s.strength FROM events e ASOF LEFT JOIN
+    (SELECT user_id, ts, max(event_id) AS setting_id, arg_max(value, event_id) AS strength FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) s ON e.user_id = s.user_id AND e.ts >= s.ts"""
+)
+def settings_in_force(spark: SparkSession, d: str) -> DataFrame:
+    """The setting that was in force at each event; users of over a thousand events are cut in pieces."""
+    e = X.table(spark, d, "events")
+    settings = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("setting_id"), F.col("value").alias("strength"))
+    return joins.as_of(e.select("event_id", "user_id", "ts"), settings, "user_id", "ts", ["setting_id", "strength"], hot=1000).select("event_id", "user_id", "setting_id", "strength")
+
+
+@query(
+    """SELECT type, status, (2 * grouping(type) + grouping(status))::BIGINT AS "grouping", count(*)::BIGINT AS n, count(DISTINCT page_id)::BIGINT AS n_pages, count(DISTINCT id)::BIGINT AS n_ids, sum(length(text))::BIGINT AS n_chars
+    FROM tr GROUP BY GROUPING SETS ((type, status), (type), (status), ())""",
+    "tr",
+)
+def run_report(spark: SparkSession, d: str) -> DataFrame:
+    """H2, H5, H6, H7: a run's numbers by type and status, by each, and in all, in one pass."""
+    numbers = {"n": F.count("*"), "n_pages": F.count_distinct("page_id"), "n_ids": F.count_distinct("id"), "n_chars": F.sum(F.length("text"))}
+    return reports.by_sets(X.transcribed(spark, d), [["type", "status"], ["type"], ["status"], []], numbers)
+
+
+@query("SELECT event_type, count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS n_users, true AS users_near, true AS quantiles_near FROM events GROUP BY event_type")
+def sketch_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """H2, H7: sketches of days, merged; distinct users within 5 %, ranks of the quantiles within 3 %, of the exact ones."""
+    e = X.table(spark, d, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    days = reports.sketched(e.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id", "cents")
+    shares = (0.5, 0.9, 0.99)
+    found = reports.estimated(reports.merged(days, ["event_type"]), shares)
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    # A quantile is near if its exact share of the rows, those equal to it either way, comes near the share asked for.
+    each = e.join(F.broadcast(found.select("event_type", "q50", "q90", "q99")), "event_type").groupBy("event_type")
+    share = lambda which: F.avg(which.cast("double"))
+    ranks = each.agg(*[x for q in ("q50", "q90", "q99") for x in (share(F.col("cents") < F.col(q)).alias(f"low_{q}"), share(F.col("cents") <= F.col(q)).alias(f"high_{q}"))])
+    near = [(F.col(f"low_q{round(100 * s)}") <= s + 0.03) & (F.col(f"high_q{round(100 * s)}") >= s - 0.03) for s in shares]
+    out = found.join(exact, "event_type").join(ranks, "event_type")
+    return out.select("event_type", "n", "n_users", (F.abs(F.col("n_distinct") - F.col("n_users")) <= F.greatest(F.lit(1.0), 0.05 * F.col("n_users"))).alias("users_near"), (near[0] & near[1] & near[2]).alias("quantiles_near"))
+
+
+def _numbers() -> dict:
+    return {"n": F.count("*"), "cents": F.sum(F.round(F.col("value") * 100).cast("long"))}
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*)::BIGINT AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents FROM events GROUP BY ALL")
+def events_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    """Calls by the hour and kind."""
+    return windows.tumbling(X.table(spark, d, "events"), "1 hour", ["event_type"], _numbers())
+
+
+@query(
+    """SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end, event_type, count(*)::BIGINT AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents
+    FROM (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) - i * INTERVAL 2 HOUR AS w FROM events, (SELECT unnest(range(3)) AS i)) WHERE ts < w + INTERVAL 6 HOUR GROUP BY ALL"""
+)
+def events_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """Calls of six hours, every two hours."""
+    return windows.sliding(X.table(spark, d, "events"), "6 hours", "2 hours", ["event_type"], _numbers())
+
+
+@query(
+    """SELECT min(ts) AS window_start, max(ts) + INTERVAL 8 HOUR AS window_end, user_id, count(*)::BIGINT AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 8 HOUR THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, session"""
+)
+def events_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Users' sessions: events less than eight hours apart."""
+    return windows.sessions(X.table(spark, d, "events"), "8 hours", ["user_id"], _numbers())
+
+
+@query(
+    f"""SELECT page_id, pos::INT AS pos, type, x1::INT AS px, y1::INT AS py, least(w0 + 6, img_w - x1)::INT AS pw, least(h0 + 10, img_h - y1)::INT AS ph FROM pw""",
+    "raw",
+    "px",
+)
+def regions_in_sql(spark: SparkSession, d: str) -> DataFrame:
+    """D8-D10 as a query in SQL text, with the functions of the catalog."""
+    catalog.register(spark)
+    X.raw_regions(spark, d).createOrReplaceTempView("pagelake_raw_regions")
+    return spark.sql("""SELECT page_id, CAST(pos AS INT) AS pos, page_region_type(type) AS type, b.px, b.py, b.pw, b.ph
+        FROM pagelake_raw_regions AS r, LATERAL page_pixel_box(r.nx, r.ny, r.nw, r.nh, r.img_w, r.img_h) AS b WHERE pos < 12""")
