@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
+from itertools import accumulate
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +15,6 @@ MIME = {".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".tif"
 # Names of media resolutions.
 RESOLUTIONS = ["low", "medium", "high", "ultra_high"]
 EMPTY_BODY = "*(empty transcription — model returned no text)*"
-#: Lines that are plainly Markdown: headings, quotes, list items, numbered ones; the row of rules under a pipe table's head.
-MARKED = r"^(#{1,6} |>|[*-] |[0-9]+[.]|---)"
-RULE_ROW = r"^[|][ \t:|-]+[|]"
 # How a line that is only a page number looks.
 PAGE_NUMBER = r"(?imd)^\s*(?:page|seite|pg|p\.?)\s*[:.\-]?\s*(\d+)\s*$"
 
@@ -100,49 +97,72 @@ def wrap_tables(html: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.when(p.endswith("</table>") & (at(p) > 0), inside(p)).otherwise(p)), "")
 
 
+def begins_block(line: Column) -> Column:
+    """Whether a line, with its line feed if it has one, plainly begins a block of Markdown: a quote, a rule of dashes, or a
+    heading, bullet or number with white space after it."""
+    first = F.substring(line, 1, 1)
+    blank_first = lambda rest: F.substring(rest, 1, 1).isin(list(BLANKS))
+    below_hashes, below_digits = F.ltrim(line, F.lit("#")), F.ltrim(line, F.lit("0123456789"))
+    heading = (F.length(line) - F.length(below_hashes)).between(1, 6) & blank_first(below_hashes)
+    bullet = first.isin("-", "*") & blank_first(F.substring(line, 2, 2))
+    number = first.rlike("[0-9]") & below_digits.startswith(".") & blank_first(F.substring(below_digits, 2, 2))
+    return (first == ">") | line.startswith("---") | heading | bullet | number
+
+
 def close_fence(text: Column) -> Column:
     """A text with an odd number of fences gets the missing one: if an html fence is the one left open, before the first
-    blank line that Markdown follows; else at the end."""
-    rows = F.split(text, "\n", -1)
-    last = F.array_max(F.transform(rows, lambda x, i: F.when(x.startswith("```"), i)))
-    ends = F.array_position(F.transform(rows, lambda x, i: (i > last) & (strip(x) == "") & F.coalesce(F.get(rows, i + 1).rlike(MARKED), F.lit(False))), F.lit(True)).cast("int")
-    inside = F.get(rows, last).startswith("```html") & (ends > 0)
-    split = F.array_join(F.concat(F.slice(rows, F.lit(1), ends - 1), F.array(F.lit("```")), F.slice(rows, ends, F.size(rows))), "\n")
-    return F.when(~odd_fences(text), text).when(inside, split).otherwise(F.concat(F.rtrim(text, F.lit(BLANKS)), F.lit("\n```\n")))
+    blank line that a block of Markdown follows; else at the end."""
+    at_end = F.concat(F.rtrim(text, F.lit(BLANKS)), F.lit("\n```\n"))
+    # Up to the last fence's line; a lambda takes its elements only, as what else it names is worked out for each of them.
+    head = F.regexp_extract(text, "(?smd)\\A(.*^```[^\n]*\n)", 1)
+    open_html = F.regexp_extract(head, "(?d)([^\n]*)\n\\z", 1).startswith("```html")
+    rest = F.split(F.substring(text, F.length(head) + 1, F.length(text)), "(?<=\n)", -1)
+    ends = F.array_position(F.zip_with(rest, F.slice(rest, F.lit(2), F.size(rest)), lambda x, y: (strip(x) == "") & F.coalesce(begins_block(y), F.lit(False))), F.lit(True)).cast("int")
+    inserted = F.concat(head, F.array_join(F.slice(rest, F.lit(1), ends - 1), ""), F.lit("```\n"), F.array_join(F.slice(rest, ends, F.size(rest)), ""))
+    return F.when(~odd_fences(text), text).when(open_html & (ends > 0), inserted).otherwise(at_end)
+
+
+#: An html fence with its body, up to the next line that begins with a fence.
+_FENCED = r"(?smd)^```html[^\S\n]*\n%s^```"
 
 
 def unwrap_fences(text: Column) -> Column:
-    """Fenced HTML without its fence, with open tables closed. Lines are grouped by the fences before them: what stands
-    behind an opening one, up to the next fence, is its body."""
-    rows = F.split(text, "\n", -1)
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("done"), none.alias("body"), F.lit(False).alias("open"))
+    """Fenced HTML without its fence, with open tables closed; what stands behind the closing fence begins a line. A fence
+    that nothing ends is no fence. One pass finds the bodies and one cuts at them."""
+    bodies = F.regexp_extract_all(text, F.lit(_FENCED % "(.*?)"), F.lit(1))
 
-    def step(s: Column, x: Column) -> Column:
-        opens = ~s["open"] & x.rlike("^```html\\s*$")
-        ends = s["open"] & x.startswith("```")
-        whole = F.concat(s["done"], F.array(close_table(F.array_join(s["body"], "\n"))))
-        rest = F.when(F.length(x) > 3, F.concat(whole, F.array(F.substring(x, 4, 2147483647)))).otherwise(whole)
-        done = F.when(ends, rest).when(opens | s["open"], s["done"]).otherwise(F.concat(s["done"], F.array(x)))
-        body = F.when(opens | ends, none).when(s["open"], F.concat(s["body"], F.array(x))).otherwise(none)
-        return F.struct(done.alias("done"), body.alias("body"), (opens | (s["open"] & ~ends)).alias("open"))
+    def put(body: Column, after: Column) -> Column:
+        table = close_table(F.substring(body, F.lit(1), F.length(body) - 1))  # less the line feed before the fence
+        return F.concat(table, F.when((after == "") | after.startswith("\n"), after).otherwise(F.concat(F.lit("\n"), after)))
 
-    # A fence that nothing ends is no fence: its lines stay as they are.
-    left = lambda s: F.when(s["open"], F.concat(s["done"], F.array(F.lit("```html")), s["body"])).otherwise(s["done"])
-    return F.aggregate(rows, start, step, lambda s: F.array_join(left(s), "\n"))
+    around = F.split(text, _FENCED % ".*?", -1)
+    return F.concat(F.get(around, F.lit(0)), F.array_join(F.zip_with(bodies, F.slice(around, F.lit(2), F.size(around)), put), ""))
 
 
 def blank_before_tables(text: Column) -> Column:
-    """A blank line between a line of prose and the pipe table right under it."""
-    rows = F.split(text, "\n", -1)
+    """A blank line between a line of prose and the pipe table right under it.
 
-    def spaced(x: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(rows, i - 1), F.lit(""))
-        prose = (strip(before) != "") & ~before.rlike(MARKED) & ~F.substring(before, 1, 1).isin("|", "#", ">", "-", "*")
-        table = x.startswith("|") & strip(x).endswith("|") & F.coalesce(F.get(rows, i + 1).rlike(RULE_ROW), F.lit(False))
-        return F.when((i > 0) & prose & table, F.concat(F.lit("\n"), x)).otherwise(x)
+    Prose begins with none of the marks of Markdown and has more than one character. A table's head stands between two bars;
+    the line under it begins with bars around blanks, colons and dashes.
+    """
 
-    return F.array_join(F.transform(rows, spaced), "\n")
+    def prose(row: Column) -> Column:
+        numbered = F.substring(row, 1, 1).rlike("[0-9]") & F.ltrim(row, F.lit("0123456789")).startswith(".")
+        return (strip(F.substring(row, 2, 2147483647)) != "") & ~F.substring(row, 1, 1).isin("|", "#", ">", "-", "*") & ~numbered
+
+    def head(row: Column) -> Column:
+        return row.startswith("|") & strip(row).endswith("|") & (F.length(strip(row)) > 1)
+
+    def rule(row: Column) -> Column:
+        inside = F.substring(row, 2, 2147483647)
+        marks = F.substring(inside, F.lit(1), F.length(inside) - F.length(F.ltrim(inside, F.lit(BLANKS + ":|-"))))
+        return row.startswith("|") & F.contains(F.substring(marks, 2, 2147483647), F.lit("|"))
+
+    rows = F.split(text, "\n", -1)
+    near = F.arrays_zip(F.concat(F.array(F.lit("")), rows), rows, F.concat(F.slice(rows, F.lit(2), F.size(rows)), F.array(F.lit(""))))
+    under = lambda x: head(x["1"]) & rule(x["2"]) & prose(x["0"])
+    spaced = F.transform(near, lambda x: F.when(under(x), F.concat(F.lit("\n"), x["1"])).otherwise(x["1"]))
+    return F.array_join(F.slice(spaced, F.lit(1), F.size(rows)), "\n")
 
 
 def page_number_in(text: Column) -> Column:
@@ -165,7 +185,11 @@ def body_of(text: Column) -> Column:
 
 def clean_json(text: Column) -> Column:
     """The JSON object in a noisy answer: fences off; else from the first brace to the last that closes it."""
-    bare = strip(F.regexp_replace(F.regexp_replace(strip(text), r"\A```(?:json)?\s*", ""), r"\s*```\z", ""))
+    bare = strip(text)
+    opened = F.substring(bare, 4, 2147483647)
+    opened = F.when(opened.startswith("json"), F.substring(opened, 5, 2147483647)).otherwise(opened)
+    bare = F.when(bare.startswith("```"), F.ltrim(opened, F.lit(BLANKS))).otherwise(bare)
+    bare = F.when(bare.endswith("```"), strip(F.substring(bare, F.lit(1), F.length(bare) - 3))).otherwise(strip(bare))
     at = F.position(F.lit("{"), bare)
     tail = F.substring(bare, at, F.length(bare))
     pieces = F.split(tail, "(?<=[{}])")
@@ -181,12 +205,20 @@ def clean_json(text: Column) -> Column:
     return F.when(whole | (at == 0) | (end == 0), bare).otherwise(F.substring(tail, F.lit(1), end))
 
 
+def object_text(text: str) -> str:
+    """clean_json for one text, where the answer is: the last brace at which as many have closed as opened ends the object."""
+    bare = text.strip(BLANKS)
+    if bare.startswith("```"):
+        bare = bare[3:].removeprefix("json").lstrip(BLANKS)
+    bare = bare.removesuffix("```").strip(BLANKS)
+    if bare[:1] == "{" and bare[-1:] == "}":
+        return bare
+    braces = [(i, 1 if c == "{" else -1) for i, c in enumerate(bare) if c in "{}"]
+    braces = braces[next((k for k, (_, step) in enumerate(braces) if step > 0), len(braces)) :]
+    ends = [i for (i, step), depth in zip(braces, accumulate(step for _, step in braces), strict=True) if step < 0 and not depth]
+    return bare[braces[0][0] : ends[-1] + 1] if ends else bare
+
+
 def parsed_answer(text: str) -> object:
-    """What the JSON object in a noisy answer holds, by the rule of clean_json; ValueError if it does not parse."""
-    bare = re.sub(r"\s*```$", "", re.sub(r"^```(?:json)?\s*", "", text.strip())).strip()
-    at, depth, end = bare.find("{"), 0, 0
-    if not (bare.startswith("{") and bare.endswith("}")) and at >= 0:
-        for m in re.finditer("[{}]", bare[at:]):
-            depth += 1 if m[0] == "{" else -1
-            end = m.end() if m[0] == "}" and depth == 0 else end
-    return json.loads(bare[at : at + end] if end else bare)
+    """What the JSON object in a noisy answer holds; ValueError if it does not parse."""
+    return json.loads(object_text(text))

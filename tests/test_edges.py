@@ -184,3 +184,39 @@ def test_malformed_region_files(spark):
 def test_search(spark):
     pages = spark.createDataFrame([("Scan_1", "7", "scan_1"), ("b", "", "B")], "page_id string, page_number string, stem string")
     assert [r.page_id for r in viewer.search(pages, " SCAN ").collect()] == ["Scan_1"] and viewer.search(pages, "").count() == 2
+
+
+def test_blocks_and_tables_at_the_edges(spark):
+    """Lines that only look like Markdown leave a fenced table whole; short prose and lone bars are no table's frame."""
+    table = "```html\n<table>\n<tr><td>1</td></tr>\n\n{}\n</table>"
+    for plain in ("3.5 ha", "1.a", "#tag", "-5", "*bold*", "####### seven", "--", "5"):
+        assert one(spark, table.format(plain), T.close_fence) == table.format(plain) + "\n```\n"
+    for block in ("3. ha", "12.\tx", "# h", "###### six", "- x", "* x", "> x", ">x", "---", "----"):
+        assert one(spark, table.format(block), T.close_fence) == "```html\n<table>\n<tr><td>1</td></tr>\n```\n\n" + block + "\n</table>"
+    assert one(spark, "```html\nx\n\n1.\ny", T.close_fence) == "```html\nx\n```\n\n1.\ny"  # a line feed is white space
+    assert one(spark, "```html\nx\n\n1.", T.close_fence) == "```html\nx\n\n1.\n```\n"
+    rest = "\n| a | b |\n|---|---|\n| 1 | 2 |"
+    for prose in ("prose", "ab", " a", "7 ha", "é ü"):
+        assert one(spark, prose + rest, T.blank_before_tables) == prose + "\n" + rest
+    for other in ("a", "a ", "", "  ", "- item", "* x", "> q", "# h", "3. x", "3.5 ha", "| x"):
+        assert one(spark, other + rest, T.blank_before_tables) == other + rest
+    for no_table in ("prose\n|\n|---|", "prose\n| a\n|---|", "prose\n| a |\n| b |", "prose\n| a |\n||", "prose\n| a |\n|--"):
+        assert one(spark, no_table, T.blank_before_tables) == no_table
+    assert one(spark, "prose\n||\n|:-|x", T.blank_before_tables) == "prose\n\n||\n|:-|x"
+
+
+def test_fences_of_many_lines(spark):
+    assert one(spark, "a\n```html\n```\nb\n```html \n<table>\n```rest\n```json\nx\n```\nz", T.unwrap_fences) == "a\n\nb\n<table>\n</table>\nrest\n```json\nx\n```\nz"
+    body = "\n".join(f"<tr><td>{i}</td></tr>" for i in range(50_000))
+    assert one(spark, f"```html\n<table>\n{body}\n```\nend\n```html\nopen", T.unwrap_fences) == f"<table>\n{body}\n</table>\nend\n```html\nopen"
+    many = "```html\n<p>\n```\n" * 5000
+    assert one(spark, many, T.unwrap_fences) == "<p>\n" * 5000
+
+
+def test_both_forms_of_the_json_rule_agree(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["{", "}", "{", "}", "a", " ", "\n", "```", "json", '"', "\xa0"]) for _ in range(rng.randrange(0, 14))) for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.clean_json(F.col("t")).alias("j")).collect()
+    assert [(r.t, r.j) for r in rows if r.j != T.object_text(r.t)] == []
