@@ -30,7 +30,8 @@ def build(spark: SparkSession, run_dir: str, out_file: str, title: str = "Pages"
     """Write the viewer and return its numbers. Fragments are made in Spark and written in order as they arrive."""
     docs = scans.markdown_files(spark, f"{run_dir}/md")
     pictures = scans.decoded(spark, f"{run_dir}/pages")
-    pages = viewer.viewer_pages(docs, pictures.select("stem", F.lower("ext").alias("ext"), "width", "height"), scans.region_files(spark, f"{run_dir}/regions"))
+    sizes = scans.sized(spark, f"{run_dir}/pages")
+    pages = viewer.viewer_pages(docs, sizes.select("stem", F.lower("ext").alias("ext"), "width", "height"), scans.region_files(spark, f"{run_dir}/regions"))
 
     @F.pandas_udf("binary")
     def small(data, width, height, channels):

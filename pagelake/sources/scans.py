@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagelake.functions import text as T
+from pagelake.functions.headers import image_size
 
 # The suffixes of page scans.
 SUFFIXES = ["jpg", "jpeg", "png", "tif", "tiff", "webp"]
@@ -63,6 +64,12 @@ def decoded(spark: SparkSession, folder: str | list[str]) -> DataFrame:
     return in_order(seen)
 
 
+def sized(spark: SparkSession, folder: str) -> DataFrame:
+    """The scans of a folder with width and height from their headers, null where those say none; no pixel is decoded."""
+    size = image_size(F.col("content"))
+    return scan_files(spark, folder).withColumn("size", size).select("file_name", "stem", "ext", "natural", "size.width", "size.height")
+
+
 def collisions(pages: DataFrame) -> DataFrame:
     """Stems that several files share: they would write one page."""
     return pages.groupBy("stem").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("file_name")).alias("files")).where("n > 1")

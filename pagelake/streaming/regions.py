@@ -16,15 +16,25 @@ def answers(spark: SparkSession, folder: str, per_batch: int = 1000) -> DataFram
 
 
 def region_sink(batch: DataFrame, number: int, out: str) -> None:
-    """Regions of one batch; a page is whole in its answer, so numbering needs no state.
+    """Regions of one batch, and the pages that failed in out_errors; a page is whole in its answer, so numbering needs no
+    state.
 
-    A batch has a folder of its own (batch_id=number), so one that is run again replaces what it wrote.
+    A batch has a folder of its own (batch_id=number), so one that is run again replaces what it wrote. A page fails as in
+    a run: its answer does not parse, has no list of regions, or a region's reading order is of no use.
     """
-    parsed = detection.parse_answers(batch)
     keys = ["page_id", "img_w", "img_h"]
+    batch.persist()  # two tables are made of it
+    parsed = detection.parse_answers(batch)
+    shape = detection.page_errors(parsed, ["page_id"])
     raw = detection.fields(detection.unnest_regions(parsed, keys), keys).withColumn("box", detection.R.normal_box(F.col("bbox")))
-    regions = detection.detect(raw.where("not fails"))
+    bad = raw.where("fails").select("page_id", F.lit("unusable reading order").alias("error"))
+    failed = shape.unionByName(bad.distinct())
+    regions = detection.detect(raw.join(failed.select("page_id").distinct(), "page_id", "left_anti"))
     regions.select("page_id", "id", "type", "bbox", "reading_order").write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+    answers = batch.select("page_id", F.col("response").alias("detail")).dropDuplicates(["page_id"])
+    records = detection.error_record(failed.join(answers, "page_id", "left"))
+    records.write.mode("overwrite").parquet(f"{out}_errors/batch_id={number}")
+    batch.unpersist()
 
 
 def write_regions(stream: DataFrame, out: str, checkpoint: str):
