@@ -1,47 +1,94 @@
-"""One file per row, named by the row, written by the executors; a summary by the driver."""
+"""One file per row, named by the row, written by the executors in two phases; a summary by the driver.
+
+First every task writes its files into a folder of the job and lists them in a table; that table is committed by Spark, so
+it names the files of tasks that succeeded and of no others. Then the listed files are moved to their places, by the
+executors too. What fails before the second phase leaves no file in place; what fails in it is run again and goes on.
+
+Folders are paths or URIs of any file system that Arrow knows (file, hdfs, s3, gs, abfs); executors have to reach them.
+"""
 
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Names that an error lists.
+_SHOWN = 5
+
+
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+
+
+def _joined(folder: str, *parts: str) -> str:
+    return "/".join([folder.rstrip("/"), *parts])
 
 
 def write_files(rows: DataFrame, folder: str, name: str, content: str) -> int:
     """Write each row's content (text as UTF-8, or bytes) to folder/name and return how many.
 
-    The folder has to be shared by the executors. A file is written beside its place and then renamed, so a lost task
-    leaves no half file and a second try writes the same one.
+    Names may have folders in them. Two rows of one name, a null name or one that leads out of the folder are an error
+    before anything is in place. A row without content is an empty file.
     """
-    os.makedirs(folder, exist_ok=True)
+    job = _joined(folder, f"_staged-{uuid.uuid4().hex}")
+
+    def stage(batches):
+        system, at = opened(job)
+        for batch in batches:
+            files = []
+            for row, data in zip(batch[name], batch[content], strict=True):
+                if row is None or row.startswith("/") or ".." in row.split("/"):
+                    raise ValueError(f"no name of a file in the folder: {row!r}")
+                part = f"files/{uuid.uuid4().hex}"
+                system.create_dir(_joined(at, "files"), recursive=True)
+                with system.open_output_stream(_joined(at, part)) as f:
+                    f.write(b"" if data is None else data.encode() if isinstance(data, str) else bytes(data))
+                files.append((row, part))
+            yield pd.DataFrame(files, columns=["name", "part"])
 
-    def write(batches):
+    def put(batches):
+        system, at = opened(folder)
+        staged = _joined(at, job.rsplit("/", 1)[1])
         for batch in batches:
-            for at, data in zip(batch[name], batch[content], strict=True):
-                path = os.path.join(folder, at)
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                with open(part := f"{path}.{uuid.uuid4().hex}.part", "wb") as f:
-                    f.write(data.encode() if isinstance(data, str) else bytes(data))
-                os.replace(part, path)
+            for row, part in zip(batch["name"], batch["part"], strict=True):
+                target, source = _joined(at, row), _joined(staged, part)
+                if system.get_file_info(source).type == fs.FileType.NotFound:
+                    continue  # an earlier attempt has moved it
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                system.move(source, target)
             yield pd.DataFrame({"n": [len(batch)]})
 
-    done = rows.select(name, content).mapInPandas(write, "n long").agg({"n": "sum"}).first()[0]
-    return done or 0
+    spark = rows.sparkSession
+    system, at = opened(job)
+    system.create_dir(at, recursive=True)
+    try:
+        rows.select(name, content).mapInPandas(stage, "name string, part string").write.parquet(_joined(job, "list"))
+        listed = spark.read.schema("name string, part string").parquet(_joined(job, "list"))
+        twice = listed.groupBy("name").count().where("count > 1").orderBy("name").limit(_SHOWN).collect()
+        if twice:
+            raise ValueError("several rows have one name: " + ", ".join(r.name for r in twice))
+        return listed.mapInPandas(put, "n long").agg(F.sum("n")).first()[0] or 0
+    finally:
+        system.delete_dir(at)
 
 
 def fresh_folder(folder: str) -> None:
     """An empty folder for assets; what an earlier run left in it goes."""
-    if os.path.isdir(folder):
-        shutil.rmtree(folder)
-    os.makedirs(folder)
+    system, at = opened(folder)
+    if system.get_file_info(at).type == fs.FileType.Directory:
+        system.delete_dir(at)
+    system.create_dir(at, recursive=True)
 
 
 def write_summary(folder: str, summary: dict) -> str:
-    path = os.path.join(folder, "summary.json")
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(summary, f, ensure_ascii=False, indent=2)
+    path = _joined(folder, "summary.json")
+    system, at = opened(path)
+    with system.open_output_stream(at) as f:
+        f.write(json.dumps(summary, ensure_ascii=False, indent=2).encode())
     return path
