@@ -27,7 +27,7 @@ def page_html(pages: DataFrame) -> DataFrame:
 
 
 def build(spark: SparkSession, run_dir: str, out_file: str, title: str = "Pages", embed: bool = True, max_width: int = 1600) -> dict:
-    """Write the viewer and return its numbers. Fragments are made in Spark and written in order as they arrive."""
+    """Write the viewer and return its numbers. Fragments are made and put in order by Spark; none comes to the driver."""
     docs = scans.markdown_files(spark, f"{run_dir}/md")
     pictures = scans.decoded(spark, f"{run_dir}/pages")
     sizes = scans.sized(spark, f"{run_dir}/pages")
@@ -51,14 +51,9 @@ def build(spark: SparkSession, run_dir: str, out_file: str, title: str = "Pages"
     types = viewer.legend(viewer.region_boxes(scans.region_files(spark, f"{run_dir}/regions"))).orderBy("rank", "stem", "ord").collect()
     key = "".join(f'<span class="key" style="border-color:{t.colour}">{html.escape(t.region_type)}</span>' for t in types)
     numbers = viewer.stats(pages).first().asDict()
-    with open(out_file, "w", encoding="utf-8") as f:
-        f.write(f'<!doctype html><html><head><meta charset="utf-8"><title>{html.escape(title)}</title><style>{STYLE}</style></head><body><nav><input id="q" placeholder="Search">{key}</nav>')
-        in_order = pages.orderBy(T.natural_key(F.concat("stem", F.lit(".md"))))
-        f.write('<ol class="pages">')
-        for row in in_order.select(F.concat(F.lit('<li><a href="#'), T.slug(F.col("page_id")), F.lit('">'), T.html_escape(F.col("page_id")), F.lit("</a></li>")).alias("item")).toLocalIterator():
-            f.write(row.item)
-        f.write("</ol>")
-        for row in in_order.select("fragment").toLocalIterator():
-            f.write(row.fragment)
-        f.write(f"<script>{SCRIPT}</script></body></html>")
+    place = T.natural_key(F.concat("stem", F.lit(".md")))
+    items = pages.withColumn("item", F.concat(F.lit('<li><a href="#'), T.slug(F.col("page_id")), F.lit('">'), T.html_escape(F.col("page_id")), F.lit("</a></li>")))
+    head = f'<!doctype html><html><head><meta charset="utf-8"><title>{html.escape(title)}</title><style>{STYLE}</style></head><body><nav><input id="q" placeholder="Search">{key}</nav><ol class="pages">'
+    sinks.write_in_order([head, (items, place, "item"), "</ol>", (pages, place, "fragment"), f"<script>{SCRIPT}</script></body></html>"], out_file)
+    pages.unpersist()
     return numbers

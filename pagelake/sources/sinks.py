@@ -14,7 +14,7 @@ import uuid
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Names that an error lists.
@@ -78,6 +78,48 @@ def write_files(rows: DataFrame, folder: str, name: str, content: str) -> int:
         system.delete_dir(at)
 
 
+def write_in_order(pieces: list[str | tuple[DataFrame, Column, str]], path: str) -> None:
+    """One text file of pieces in a row: texts, and tables (rows, key, column) whose texts follow in ascending order of key.
+
+    A table is sorted by ranges over all tasks and written as text parts, in order by their names; one task then copies the
+    parts to the file, a block at a time, and moves it into place. No row comes to the driver.
+    """
+    job = f"{path}.parts-{uuid.uuid4().hex}"
+    plan: list[tuple[str, str]] = []
+    system, at = opened(job)
+    system.create_dir(at, recursive=True)
+    try:
+        for i, piece in enumerate(pieces):
+            if isinstance(piece, str):
+                plan.append(("text", piece))
+                continue
+            rows, key, column = piece
+            ordered = rows.select(key.alias("key"), F.col(column).alias("value")).repartitionByRange("key").sortWithinPartitions("key")
+            ordered.select("value").write.text(_joined(job, str(i)))
+            plan.append(("parts", _joined(job, str(i))))
+
+        def copy(batches):
+            system, target = opened(path)
+            for batch in batches:
+                with system.open_output_stream(f"{target}.part") as out:
+                    for kind, what in plan:
+                        if kind == "text":
+                            out.write(what.encode())
+                            continue
+                        found = system.get_file_info(fs.FileSelector(opened(what)[1]))
+                        for part in sorted(f.path for f in found if f.base_name.startswith("part-")):
+                            with system.open_input_stream(part) as f:
+                                while block := f.read(1 << 20):
+                                    out.write(block)
+                system.move(f"{target}.part", target)
+                yield batch
+
+        spark = next(p[0] for p in pieces if not isinstance(p, str)).sparkSession
+        spark.range(1).coalesce(1).mapInPandas(copy, "id long").collect()
+    finally:
+        system.delete_dir(at)
+
+
 def fresh_folder(folder: str) -> None:
     """An empty folder for assets; what an earlier run left in it goes."""
     system, at = opened(folder)

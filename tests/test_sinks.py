@@ -56,3 +56,12 @@ def test_moving_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(kind, "mapInPandas", twice)
     assert sinks.write_files(rows, str(tmp_path), "name", "text") == 2 and made and files(tmp_path) == ["a", "b"]
+
+
+def test_one_file_in_order_without_the_driver(spark, tmp_path, monkeypatch):
+    rows = spark.range(2000).select((F.col("id") * 7 % 2000).alias("k")).withColumn("t", F.format_string("<p>%d\nline</p>", "k")).repartition(5)
+    monkeypatch.setattr(type(rows), "toLocalIterator", lambda *_: 1 / 0)
+    for path in (str(tmp_path / "a.html"), (tmp_path / "b.html").as_uri()):
+        sinks.write_in_order(["<b>é", (rows, F.col("k"), "t"), "</b>", (rows.limit(0), F.col("k"), "t"), (rows.where("k < 3"), -F.col("k"), "t"), "end"], path)
+    want = "<b>é" + "".join(f"<p>{k}\nline</p>\n" for k in range(2000)) + "</b>" + "".join(f"<p>{k}\nline</p>\n" for k in (2, 1, 0)) + "end"
+    assert (tmp_path / "a.html").read_text() == want == (tmp_path / "b.html").read_text() and files(tmp_path) == ["a.html", "b.html"]
