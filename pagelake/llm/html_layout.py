@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import sys
+import unicodedata
 from bisect import bisect_left
 from html import unescape
 
@@ -54,11 +55,17 @@ _BREAK = "\x00"
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "shown", "unseen")
+    __slots__ = ("tag", "attributes", "children", "shown", "unseen", "inside")
 
     def __init__(self, tag: str, attributes: dict[str, str] | None = None):
         self.tag, self.attributes, self.children = tag, attributes or {}, []
         self.shown, self.unseen = True, False  # by display; by visibility, which children may take back
+        self.inside: frozenset = frozenset()  # what rules ask of ancestors, as far as this node and those above it have it
+
+    def keys(self) -> set[tuple[str, str]]:
+        """What selectors may find this node by."""
+        a = self.attributes
+        return {("", self.tag), ("#", a.get("id", "")), *((".", c) for c in a.get("class", "").split())}
 
 
 class Rule:
@@ -131,7 +138,7 @@ def _said(style: str, pattern: re.Pattern) -> tuple[str, bool] | None:
 def rules_of(sheet: str, order: int = 0) -> list[Rule]:
     """The rules of a style sheet that say something of display or visibility. Those of other media than screens, and of
     conditions that cannot be judged here, are left out; so are selectors with other parts than Rule knows."""
-    sheet, at, out = _COMMENT.sub(" ", sheet), 0, []
+    sheet, at, out = _COMMENT.sub(" ", sheet).replace("<!--", " ").replace("-->", " "), 0, []
     while (brace := sheet.find("{", at)) >= 0:
         head = sheet[at:brace].rpartition(";")[2].strip()
         depth, end = 1, brace + 1
@@ -155,20 +162,35 @@ def rules_of(sheet: str, order: int = 0) -> list[Rule]:
     return out
 
 
+def _key(tag: str | None, wanted: list) -> tuple[str, str]:
+    """What a node has at least for a part of a selector to mean it."""
+    return next(((k, n) for k, n, _ in wanted if k in "#."), ("", tag or "*"))
+
+
 class Sheet:
-    """The rules by what their last part has to be, so that a node is held against few of them."""
+    """The rules by what their last part has to be, then by what some ancestor has to be, so that a node is held against
+    few of them: its own, and of those that ask for ancestors the ones whose ancestor it has."""
 
     def __init__(self, rules: list[Rule]):
-        self.by: dict[tuple[str, str], list[Rule]] = {}
+        self.by: dict[tuple[str, str], dict[tuple[str, str] | None, list[Rule]]] = {}
+        self.asked: set[tuple[str, str]] = set()
         for rule in rules:
-            _, tag, wanted = rule.parts[-1]
-            key = next(((k, n) for k, n, _ in wanted if k in "#."), ("", tag or "*"))
-            self.by.setdefault(key, []).append(rule)
+            above = [_key(tag, wanted) for _, tag, wanted in rule.parts[:-1]]
+            need = next((k for k in above if k[0]), next((k for k in above if k[1] != "*"), None))
+            self.asked |= {need} - {None}
+            self.by.setdefault(_key(*rule.parts[-1][1:]), {}).setdefault(need, []).append(rule)
 
     def fitting(self, path: list[Node]) -> list[Rule]:
         node = path[-1]
-        keys = [("", "*"), ("", node.tag), ("#", node.attributes.get("id", "")), *((".", c) for c in set(node.attributes.get("class", "").split()))]
-        return [r for k in keys for r in self.by.get(k, ()) if r.fits(path)]
+        keys = node.keys()
+        above = path[-2].inside if len(path) > 1 else frozenset()
+        node.inside = above if (own := keys & self.asked) <= above else above | own
+        out = []
+        for key in (("", "*"), *keys):
+            if under := self.by.get(key):
+                needs = [n for n in under if n is None or n in above] if len(under) < len(above) else [n for n in (None, *above) if n in under]
+                out += [r for n in needs for r in under[n] if r.fits(path)]
+        return out
 
 
 def parse(html: str) -> tuple[Node, list[Rule]]:
@@ -220,6 +242,16 @@ def parse(html: str) -> tuple[Node, list[Rule]]:
                     break
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             start_tag("tr", {})
+        if tag == "input":
+            kind = attributes.get("type", "").lower()
+            if kind not in ("submit", "reset", "button"):
+                return
+            # A button shows its value, and says what it does where it has none.
+            tag, said = "button", attributes.get("value", {"submit": "Submit", "reset": "Reset"}.get(kind, ""))
+            node = Node(tag, attributes)
+            node.children.append(said.replace(_BREAK, "\ufffd"))
+            stack[-1].children.append(node)
+            return
         node = Node(tag, attributes)
         stack[-1].children.append(node)
         if tag not in VOID:
@@ -276,7 +308,7 @@ def styled(root: Node, rules: list[Rule]) -> int:
         del path[depth:]
         path.append(node)
         a, tag = node.attributes, node.tag
-        shown = not (tag in UNSEEN or "hidden" in a or tag == "input" or tag == "dialog" and "open" not in a or drawing and tag in UNDRAWN)
+        shown = not (tag in UNSEEN or "hidden" in a or tag == "dialog" and "open" not in a or drawing and tag in UNDRAWN)
         fitting = sheet.fitting(path) if sheet else []
         for pattern, name in ((_DISPLAY, "display"), (_VISIBILITY, "visibility")):
             said = [((v[1], 0, *r.weight), v[0]) for r in fitting if (v := getattr(r, name))]
@@ -286,7 +318,7 @@ def styled(root: Node, rules: list[Rule]) -> int:
                 value = max(said)[1]
                 if name == "display":
                     # A rule may show what the hidden attribute hides, but not what has no place on a page at all.
-                    shown = value != "none" and tag not in UNSEEN and tag != "input" and not (drawing and tag in UNDRAWN)
+                    shown = value != "none" and tag not in UNSEEN and not (drawing and tag in UNDRAWN)
                 elif value in ("hidden", "collapse", "visible"):
                     unseen = value != "visible"
         node.shown, node.unseen = shown, unseen
@@ -373,15 +405,18 @@ class Renderer:
 
     def items(self, node: Node) -> list[str]:
         out: list[str] = []
-        number = int(node.attributes["start"]) if re.fullmatch(r"-?\d{1,9}", node.attributes.get("start", "")) else 1
+        step = -1 if node.tag == "ol" and "reversed" in node.attributes else 1
+        shown = sum(isinstance(c, Node) and c.tag == "li" and c.shown for c in node.children)
+        number = _whole(node.attributes.get("start"), shown if step < 0 else 1)
         for child in node.children:
             if isinstance(child, str) or child.tag != "li":
                 loose = Node("div")
                 loose.children = [child]
                 out += self.lines(loose)
             elif child.shown:
+                number = _whole(child.attributes.get("value"), number)
                 mark = f"{number}. " if node.tag == "ol" else "- "
-                number += 1
+                number += step
                 own = [x for x in self.lines(child) if x] or [""]
                 out += [(mark if i == 0 else " " * len(mark)) + x for i, x in enumerate(own)]
         return out
@@ -431,7 +466,7 @@ class Renderer:
         for line in placed:
             for at, span, own in line:
                 if span == 1 and own:
-                    widths[at] = max(widths.get(at, 0), max(map(len, own)))
+                    widths[at] = max(widths.get(at, 0), max(map(columns_of, own)))
         columns = sorted(widths)
         before = [0]
         for c in columns:
@@ -447,11 +482,24 @@ class Renderer:
                 text = ""
                 for at, _, own in line:
                     if i < len(own):
-                        text = text.ljust(left(at) if len(text) <= left(at) else len(text) + 2) + own[i]
+                        gap = left(at) - columns_of(text)
+                        text += " " * (gap if gap >= 0 else 2) + own[i]
                 out.append(text.rstrip())
         return out
 
 
+def columns_of(text: str) -> int:
+    """The columns that a text takes up: two for wide characters, none for those that combine."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) or unicodedata.category(c) in ("Mn", "Me", "Cf") else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def _whole(value: str | None, default: int) -> int:
+    """An attribute's whole number."""
+    return int(value) if value is not None and re.fullmatch(r"\s*[+-]?\d{1,9}\s*", value) else default
+
+
 def _span(cell: Node, name: str) -> int:
     """A cell's colspan or rowspan, as far as the standard lets it reach; 1 where there is none."""
     value = cell.attributes.get(name, "1")

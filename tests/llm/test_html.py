@@ -76,3 +76,38 @@ def test_given_pages_by_a_naive_reading():
         mine = re.findall(r"\w+", re.sub(r"(?m)^\s*\d+\. ", "", html_layout.visible_text(page)))
         assert "".join(plain) == "".join(mine)
     assert len(pages) >= 50
+
+
+def test_many_rules_cost_what_their_nodes_do():
+    import time
+
+    rules = "".join(f".a{i} .b{{display:none}}" for i in range(2000))
+    page = f"<style>{rules}</style>" + "<div class=b>" * 400 + "deep" + "</div>" * 400
+    began = time.process_time()
+    assert html_layout.visible_text(page) == "deep"
+    page = f"<style>{rules}</style><div class=a7>" + "<div class=b>" * 400 + "deep" + "</div>" * 401 + "<p class=b>seen</p>"
+    assert html_layout.visible_text(page) == "seen"
+    assert time.process_time() - began < 5
+
+
+def test_rules_by_ancestors_are_those_of_every_rule_tried():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(60):
+        part = lambda: rng.choice(["div", "p", "*", ".x", ".y", "#i", "div.x", "p.y#i", "[t]"])
+        rules = html_layout.rules_of("".join(f"{rng.choice([' ', ' > ']).join(part() for _ in range(rng.randrange(1, 4)))}{{display:none}}" for _ in range(12)))
+        sheet, path = html_layout.Sheet(rules), []
+        for _ in range(9):
+            path.append(html_layout.Node(rng.choice(["div", "p", "b"]), {k: v for k, v in (("class", rng.choice(["", "x", "x y"])), ("id", rng.choice(["", "i"])), ("t", "1")) if rng.random() < 0.6}))
+            assert sorted(map(id, sheet.fitting(path))) == sorted(id(r) for r in rules if r.fits(path))
+
+
+def test_marks_numbers_buttons_and_wide_cells():
+    see = html_layout.visible_text
+    assert see("<style><!-- .a{display:none} --></style><p class=a>no<p>yes") == "yes"
+    assert see("<ol><li>a<li value=5>b<li>c</ol>") == "1. a\n5. b\n6. c"
+    assert see("<ol reversed><li>a<li>b<li value=9>c<li>d</ol>") == "4. a\n3. b\n9. c\n8. d"
+    assert see("<ol reversed start=7><li>a<li hidden>b<li>c</ol>") == "7. a\n6. c"
+    assert see("<p>Go <input type=submit value='Search now'> <input type=text value=secret><input type=reset></p>") == "Go Search now Reset"
+    assert see("<table><tr><td>漢字<td>a<tr><td>abc<td>b<tr><td>é<td>c</table>") == "漢字  a\nabc   b\né     c"
