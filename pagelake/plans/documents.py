@@ -45,7 +45,8 @@ def ordered_scans(spark: SparkSession, folder: str, listing: DataFrame | None =
 
 
 def detected(pages: DataFrame, client: Callable, config: RunConfig, answers_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(regions, errors) of the pages without an error; each page's answer is in answers_dir/detect."""
+    """(regions, errors) of the pages without an error; each page's answer is in answers_dir/detect, and what in it the
+    declared schema does not allow, though detection makes something of it, in answers_dir/violations."""
     good = pages.where("error is null")
     request = good.select("page_id", "width", "height", F.lit(model.PROMPTS["detect"].format(max_regions=config.max_regions)).alias("prompt"), "pixels")
     policy = model.Policy("detect", config.detection_thinking, config.detection_media_resolution, config.detection_retries, model_id=config.model_id, temperature=config.detection_temperature, max_output_tokens=config.max_output_tokens)
@@ -55,7 +56,11 @@ def detected(pages: DataFrame, client: Callable, config: RunConfig, answers_dir:
     parsed = parsed.withColumn("data", F.when(F.col("error").isNull(), F.col("data")))
     shape = detection.page_errors(parsed, ["page_id"]).withColumnRenamed("error", "shape")
     failed = parsed.join(shape, "page_id", "left").select("page_id", F.coalesce("error", "shape").alias("error"), F.col("response").alias("detail")).where("error is not null")
-    raw = detection.fields(detection.unnest_regions(parsed.join(shape, "page_id", "left_anti"), ["page_id", "width", "height"]), ["page_id", "width", "height"])
+    entries = detection.unnest_regions(parsed.join(shape, "page_id", "left_anti"), ["page_id", "width", "height"])
+    odd = entries.select("page_id", "pos", detection.violations(F.col("region")).alias("violations"), F.to_json("region").alias("region")).where("size(violations) > 0")
+    odd = odd.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "violations", "region"))).alias("regions"))  # of one answer
+    ledger.replace(kept(parsed.select("page_id").distinct().join(odd, "page_id", "left"), f"{answers_dir}/violations_found"), f"{answers_dir}/violations", ["page_id"])
+    raw = detection.fields(entries, ["page_id", "width", "height"])
     raw = raw.withColumn("box", detection.R.normal_box(F.col("bbox"))).withColumn("img_w", F.col("width")).withColumn("img_h", F.col("height"))
     bad = raw.where("fails").select("page_id").distinct().select("page_id", F.lit("unusable reading order").alias("error"), F.lit("").alias("detail"))
     regions = detection.detect(raw.join(bad.select("page_id"), "page_id", "left_anti"), config.max_regions, margin=config.region_margin_frac)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import argparse
 import html
 import os
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +59,30 @@ def build(spark: SparkSession, run_dir: str, out_file: str, title: str = "Pages"
     sinks.write_in_order([head, (items, place, "item"), "</ol>", (pages, place, "fragment"), f"<script>{SCRIPT}</script></body></html>"], out_file)
     pages.unpersist()
     return numbers
+
+
+def parse_args(argv: list[str]) -> argparse.Namespace:
+    p = argparse.ArgumentParser(prog="pagelake.plans.viewer", description="One HTML file from the folder of a run.")
+    p.add_argument("run_dir", help="the output folder of a document run")
+    p.add_argument("-o", "--output", help="the file to write; viewer.html in the run's folder by default")
+    p.add_argument("--title", default="Pages")
+    p.add_argument("--no-embed", action="store_true", help="images as files beside the HTML")
+    p.add_argument("--max-width", type=int, default=1600)
+    a = p.parse_args(argv)
+    if a.max_width < 1:
+        p.error("--max-width has to be at least 1")
+    a.output = a.output or f"{a.run_dir.rstrip('/')}/viewer.html"
+    return a
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Exit code 1 if the run has no page."""
+    a = parse_args(sys.argv[1:] if argv is None else argv)
+    spark = SparkSession.builder.appName("pagelake-viewer").getOrCreate()
+    numbers = build(spark, a.run_dir, a.output, a.title, not a.no_embed, a.max_width)
+    print(a.output, numbers)
+    return int(not numbers["n_pages"])
+
+
+if __name__ == "__main__":
+    sys.exit(main())

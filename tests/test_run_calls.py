@@ -98,3 +98,38 @@ def test_violations_of_the_schema(spark):
 def test_lenient_answers(spark):
     df = spark.createDataFrame([("no json",), ('{"a": 1}',), (None,)], "response string")
     assert [r.d for r in detection.lenient(df).select(F.to_json("data").alias("d")).collect()] == ["{}", '{"a":1}', "{}"]
+
+
+def test_violations_of_a_run_are_kept_by_page(spark, tmp_path):
+    said = {"s_1": '{"regions": [{"type": "Title", "bbox": {"x": 0, "y": 0, "width": 500, "height": 200}, "reading_order": 1}]}', "s_2": '{"regions": []}'}
+    shape = {}
+
+    def client(policy):
+        return lambda prompt, level, resolution, pixels: next(v for k, v in said.items() if len(pixels) == shape[k]) if policy.stage == "detect" else "Some text"
+
+    (tmp_path / "in").mkdir()
+    for k, name in enumerate(said):
+        pixels = page(120 + k)
+        shape[name] = pixels.size
+        (tmp_path / "in" / f"{name}.png").write_bytes(images.png(pixels))
+    out = str(tmp_path / "out")
+    assert documents.run(spark, RunConfig(input_dir=str(tmp_path / "in"), output_dir=out), client)["errors"] == []
+    found = {r.page_id: r.regions for r in spark.read.parquet(f"{out}/answers/violations").collect()}
+    assert found["s_2"] is None and [(r.pos, r.violations) for r in found["s_1"]] == [(0, ["type is unknown"])]
+
+
+def test_viewer_by_command_line(spark, tmp_path, capsys):
+    import pytest
+
+    from pagelake.plans import viewer
+
+    a = viewer.parse_args(["run/", "--title", "T", "--no-embed", "--max-width", "9"])
+    assert (a.run_dir, a.output, a.title, a.no_embed, a.max_width) == ("run/", "run/viewer.html", "T", True, 9)
+    with pytest.raises(SystemExit):
+        viewer.parse_args(["run", "--max-width", "0"])
+    for part in ("md", "pages", "regions"):
+        (tmp_path / part).mkdir()
+    (tmp_path / "md" / "p.md").write_text("---\npage_id: p\n---\n\nbody\n")
+    (tmp_path / "pages" / "p.png").write_bytes(images.png(page()))
+    (tmp_path / "regions" / "p.json").write_text("[]")
+    assert viewer.main([str(tmp_path), "-o", str(tmp_path / "v.html")]) == 0 and 'id="p"' in (tmp_path / "v.html").read_text()
