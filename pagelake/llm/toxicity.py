@@ -172,7 +172,7 @@ class Model:
 
 
 _KNOWN: dict[str, dict[str, float]] = {}
-_MOST_KNOWN = 200_000
+_MOST_KNOWN = 100_000
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -331,9 +331,8 @@ def witness_of(model: Model):
     @F.arrow_udf("string")
     def witness(text: pa.Array) -> pa.Array:
         out = []
-        texts = text.to_pylist()
-        for i in range(0, len(texts), 256):
-            each, margin = model.of_units(texts[i : i + 256])
+        for i in range(0, len(text), 256):
+            each, margin = model.of_units(text.slice(i, 256).to_pylist())
             best = [max(own, key=lambda u: (margin[u], u), default=None) for own in each]
             out += [None if u is None or margin[u] <= FLOOR else u for u in best]
         return pa.array(out, pa.string())
@@ -344,8 +343,7 @@ def witness_of(model: Model):
 def evidence_of(model: Model):
     @F.arrow_udf("array<double>")
     def evidence(text: pa.Array) -> pa.Array:
-        texts = text.to_pylist()
-        found = [model.of_texts(texts[i : i + 256]) for i in range(0, len(texts), 256)]
+        found = [model.of_texts(text.slice(i, 256).to_pylist()) for i in range(0, len(text), 256)]
         flat = np.concatenate(found).ravel() if found else np.zeros(0)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 3), pa.int32()), pa.array(flat))
 
@@ -368,7 +366,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     # At most max_texts ids: a broadcast of bounded size, so that texts stay where they are.
     labelled = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id").select("text", "toxic")
     # Written, as a filter on what the machine says of a text would else be pushed below the join and so ask it of all texts.
-    labelled = materialize(labelled, "toxicity-labelled")
+    labelled = materialize(labelled.repartition(64), "toxicity-labelled")
     model = train(labelled, share, max_units)
     discard(docs.sparkSession, labelled)
     rows = sealed(docs, id=col(id_col), text=col(text_col))
