@@ -151,14 +151,9 @@ def near_duplicates(fps: DataFrame, radius: int = 2, sample_limit: int = 65_536)
     return distinct.join(components, distinct["rep"] == components["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
 
 
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """docs with fingerprint (16 hex digits) and component_id, the smallest id that links lead to, its own included.
+def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """(id, th, fp, component) for each id and text (th is its xxhash64) of docs, as simhash_dedup says."""
 
-    Fingerprints link if at most radius bits differ; equal texts always do. A null, empty or blank text has fingerprint
-    zero and is linked like any other. Rows that share an id are rows of one document. A row with a null id gets its
-    fingerprint, takes the component of its fingerprint's group, if any, and links nothing itself. Very long texts are
-    read whole, in blocks of shingles. Columns named fingerprint or component_id give way to the operator's.
-    """
     @F.arrow_udf("long")
     def fp_of(text: pa.Array) -> pa.Array:
         return pa.array(np.array([fingerprint(t, shingle) for t in text.to_pylist()], np.uint64).view(np.int64))
@@ -166,7 +161,18 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("th"), fp_of(col(text_col)).alias("fp"))
     fps = materialize(keyed, "simhash-fps")
     component = materialize(near_duplicates(fps.where(F.col("id").isNotNull()), radius), "simhash-component")
-    known = fps.join(component, "fp", "left").groupBy("id", "th").agg(F.first("fp").alias("fp"), F.first("component").alias("component"))
+    return fps.join(component, "fp", "left").groupBy("id", "th").agg(F.first("fp").alias("fp"), F.first("component").alias("component"))
+
+
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """docs with fingerprint (16 hex digits) and component_id, the smallest id that links lead to, its own included.
+
+    Fingerprints link if at most radius bits differ; equal texts always do. A null, empty or blank text has fingerprint
+    zero and is linked like any other. Rows that share an id are rows of one document. A row with a null id gets its
+    fingerprint, takes the component of its fingerprint's group, if any, and links nothing itself. Very long texts are
+    read whole, in blocks of shingles. Columns named fingerprint or component_id give way to the operator's.
+    """
+    known = simhash_classes(docs, id_col, text_col, shingle, radius)
     rows = sealed(docs, own=col(id_col), own_th=F.xxhash64(col(text_col)))
     rows = rows.join(known, rows["own"].eqNullSafe(known["id"]) & (rows["own_th"] == known["th"]), "left")
     return unsealed(rows, docs.columns, fingerprint=F.lower(F.lpad(F.hex("fp"), 16, "0")), component_id=F.col("component"))
