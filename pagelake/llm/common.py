@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +54,18 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+_HELD: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task under a name. It keeps one such thing: workers outlive a query, so what
+    the operators of a session keep would add up."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, sealed, unsealed
+from pagelake.llm.common import col, held, sealed, unsealed
 
 MARK = "▁"
 KEPT, PORTION = 400_000, 2_000_000
@@ -30,11 +30,11 @@ _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 class PieceEncoder:
     """Encoder and decoder over the vocabulary of a model file. The file has to be readable on every worker."""
 
-    def __init__(self, path: str, check: bool = True):
+    def __init__(self, path: str, check: bool = True, kept: int = KEPT):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        lib, self.check = self.library, check
+        lib, self.check, self.kept = self.library, check, kept
         n = lib.get_piece_size()
         self.pieces = [lib.id_to_piece(i) for i in range(n)]
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if lib.is_byte(i)}
@@ -257,7 +257,7 @@ class PieceEncoder:
                 split.append(_WORD.findall(MARK + t.replace(" ", MARK)) if t else [])
                 size += len(t)
                 at += 1
-            if len(self.memo) > KEPT:  # what has not been met since the last time is forgotten
+            if len(self.memo) > self.kept:  # what has not been met since the last time is forgotten
                 self.past, self.memo = self.memo, {}
                 self.odd = {w: x for w, x in self.odd.items() if w in self.past}
             know, past = self.memo, self.past
@@ -281,21 +281,18 @@ class PieceEncoder:
         return ids, decoded
 
 
-_OPEN: dict[str, PieceEncoder] = {}
-
-
-def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = True, kept: int = KEPT) -> DataFrame:
     """docs with token_ids (binary: little-endian unsigned 32-bit, begin and end included), n_tokens and decoded.
 
     A null text is empty: begin and end only, decoded to ''. Texts of any length are encoded whole. An empty table gives
-    an empty table; input columns named like an output give way to it. model_path is opened once in each worker.
+    an empty table; input columns named like an output give way to it. model_path is opened once in each worker,
+    which keeps the ids of about kept words twice, those met lately and those before.
     """
 
     @F.arrow_udf("struct<token_ids binary, decoded string>")
     def encode(text: pa.Array) -> pa.Array:
-        if model_path not in _OPEN:
-            _OPEN[model_path] = PieceEncoder(model_path, check)
-        ids, decoded = _OPEN[model_path].encode_batch([t or "" for t in text.to_pylist()])
+        encoder = held(f"pieces-{check}-{kept}-{model_path}", lambda: PieceEncoder(model_path, check, kept))
+        ids, decoded = encoder.encode_batch([t or "" for t in text.to_pylist()])
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["token_ids", "decoded"])
 
     rows = sealed(docs, text=col(text_col)).withColumn("out", encode("text"))

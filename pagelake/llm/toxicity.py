@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import col, discard, hash_sample, materialize, sealed, unsealed
+from pagelake.llm.common import col, discard, hash_sample, held, materialize, sealed, unsealed
 
 DECAY = 0.6
 WIDTH = 16
 FLOOR = -0.5
+#: Triples that are worked out at a time, in some arrays of eight bytes: 245 units of the longest, thousands of short ones.
+BLOCK = 200_000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _CLOSED = re.compile(r"[\W_]+")
 #: Evidence that makes a unit a first witness: its log-likelihood ratio, and the least share of its contexts that are toxic.
@@ -133,9 +135,10 @@ class Model:
         out = np.full(len(units), FLOOR)
         marked = [f"^{u}$" for u in units]
         sizes = np.array([len(u) for u in marked], np.int64)
-        for n in np.unique(sizes):
-            own = np.flatnonzero(sizes == n)
-            at, weight = _triples(int(n))
+        of_length = [np.flatnonzero(sizes == n) for n in np.unique(sizes)]
+        steps = [max(1, BLOCK // max(1, len(_triples(int(sizes[rows[0]]))[1]))) for rows in of_length]
+        for own in [rows[i : i + step] for rows, step in zip(of_length, steps, strict=True) for i in range(0, len(rows), step)]:
+            at, weight = _triples(int(sizes[own[0]]))
             code = _codes([marked[i] for i in own], at)
             row, column = np.nonzero(self.bits[self._slot(code)])
             found = code[row, column]
@@ -149,9 +152,7 @@ class Model:
 
     def of_units(self, texts: list[str | None]) -> tuple[list[set[str]], dict[str, float]]:
         """The units of each text, and the margins of all of them; what a worker has worked out once it keeps."""
-        if self.name not in _KNOWN:
-            _KNOWN.clear()  # margins of one model at a time
-        known = _KNOWN.setdefault(self.name, {})
+        known: dict[str, float] = held(f"toxicity-{self.name}", dict)
         if len(known) > _MOST_KNOWN:
             known.clear()
         each = [units_of(t or "") for t in texts]
@@ -171,7 +172,6 @@ class Model:
         return out
 
 
-_KNOWN: dict[str, dict[str, float]] = {}
 _MOST_KNOWN = 200_000
 
 
@@ -289,7 +289,7 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     strong = [r.key for r in seen.where(F.col("llr") >= LEAST_RATIO).orderBy(F.desc("llr"), "key").limit(max_units).collect()]
     stems, own = {k[1:] for k in strong if k[0] == "^"}, [k for k in strong if k[0] != "^"]
     if stems:
-        at = F.broadcast(labelled.sparkSession.createDataFrame([(x,) for x in sorted(stems)], "stem string"))  # at most max_units
+        at = F.broadcast(labelled.sparkSession.createDataFrame(pa.table({"stem": pa.array(sorted(stems), pa.string())})))  # at most max_units
         more = seen.where((F.length("key") > 5) & (F.col("a") >= LEAST_SHARE * F.col("n"))).join(at, F.substring("key", 1, 5) == F.col("stem"), "left_semi")
         have = set(own)
         own += [r.key for r in more.orderBy(F.desc("a"), "key").limit(max_units).collect() if r.key not in have]
