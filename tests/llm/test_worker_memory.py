@@ -6,7 +6,7 @@ import tracemalloc
 import numpy as np
 
 import corpus_pipeline
-from pagelake.llm import common, toxicity
+from pagelake.llm import common, jaccard, toxicity
 from pagelake.llm.pieces import PieceEncoder
 from pagelake.llm.queries import model_path
 from tests.llm.test_operators import prose
@@ -51,3 +51,14 @@ def test_batches_are_small_in_every_stage(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     corpus_pipeline.encode(spark, docs, "")
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 2 << 20
+
+
+def test_a_group_of_near_duplicates_takes_little_memory():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64)) for _ in range(500)]
+    sets += [np.append(s[5:], np.uint64(2**63 + 1)) for s in sets]
+    tracemalloc.start()
+    edges = jaccard.forest(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20 and {tuple(sorted(e)) for e in edges} == {(i, i + 500) for i in range(500)}
