@@ -310,7 +310,7 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     # highest margin, of a clean one that unit too, which has to be under the line. A toxic text whose every unit lies at
     # the floor has no witness.
     for _ in range(ROUNDS):
-        found = labelled.select("toxic", witness_of(model)("text").alias("w")).where("w is not null").groupBy("w").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+        found = witnesses(labelled, model).groupBy("w").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
         found = found.orderBy(F.desc("n"), "w").limit(max_units).collect()
         more = [r.w for r in found if r.a >= LEAST_SHARE * r.n and r.n > 1]
         less = {r.w for r in found if r.a < 0.5 * r.n}
@@ -325,19 +325,23 @@ def train(labelled: DataFrame, share: float, max_units: int = 8_000) -> Model |
     return model
 
 
-def witness_of(model: Model):
-    """The unit of a text whose margin is highest, if it is above the floor."""
+def witnesses(labelled: DataFrame, model: Model) -> DataFrame:
+    """(toxic, w) for the texts with a unit above the floor: the one whose margin is highest.
 
-    @F.arrow_udf("string")
-    def witness(text: pa.Array) -> pa.Array:
-        out = []
-        for i in range(0, len(text), 256):
-            each, margin = model.of_units(text.slice(i, 256).to_pylist())
-            best = [max(own, key=lambda u: (margin[u], u), default=None) for own in each]
-            out += [None if u is None or margin[u] <= FLOOR else u for u in best]
-        return pa.array(out, pa.string())
+    A map over batches, as a filter on a function's result would be pushed below it: asked twice, by two workers a task that
+    then stay for all later stages.
+    """
+
+    def highest(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                each, margin = model.of_units(part["text"].to_pylist())
+                best = [max(own, key=lambda u: (margin[u], u), default=None) for own in each]
+                found = pa.array([None if u is None or margin[u] <= FLOOR else u for u in best], pa.string())
+                yield pa.RecordBatch.from_arrays([part["toxic"], found], ["toxic", "w"]).filter(found.is_valid())
 
-    return witness
+    return labelled.select("text", "toxic").mapInArrow(highest, "toxic int, w string")
 
 
 def evidence_of(model: Model):

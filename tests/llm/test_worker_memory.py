@@ -1,6 +1,7 @@
 """What a Python worker of the pipeline holds: bounded arrays, one operator's cache at a time."""
 
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -9,6 +10,7 @@ import corpus_pipeline
 from pagelake.llm import common, jaccard, toxicity
 from pagelake.llm.pieces import PieceEncoder
 from pagelake.llm.queries import model_path
+from tests.conftest import SF
 from tests.llm.test_operators import prose
 
 
@@ -62,3 +64,29 @@ def test_a_group_of_near_duplicates_takes_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 32 << 20 and {tuple(sorted(e)) for e in edges} == {(i, i + 500) for i in range(500)}
+
+
+def chained(plan):
+    """Python operators of a plan that another one of the same Spark stage reads from."""
+    out, above = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(d, python) for d, python in above if d < depth]
+        cut = re.search(r"Exchange|QueryStage|Scan |Subquery", line)
+        python = re.match(r"[\s:+*()\d-]*(\w*EvalPython|\w*In(Arrow|Pandas))\b", line)
+        if python and above and above[-1][1]:
+            out.append(line.strip())
+        above.append((depth, bool(python) or bool(above and above[-1][1] and not cut)))
+    return out
+
+
+def test_no_task_takes_two_python_workers(spark):
+    """A second worker a task stays for all later stages and keeps its memory."""
+    seen = spark._jsparkSession.sharedState().statusStore()
+    before, docs = seen.executionsCount(), spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.format("noop").mode("overwrite").save()
+    runs = seen.executionsList(before, 10_000)
+    plans = [runs.apply(i).physicalPlanDescription().split("\n\n(1) ")[0] for i in range(runs.size())]
+    assert sum("Python" in p or "InArrow" in p for p in plans) > 10
+    assert [x for p in plans for x in chained(p)] == []
