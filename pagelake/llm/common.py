@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -32,14 +33,28 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in here leave no shuffle files: else those stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, True)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, tag: str, *over: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    Tables written before that nothing needs any more (over) are deleted once the new one is there.
+    Tables written before that nothing needs any more (over) are deleted once the new one is there, and so are the shuffle
+    files that it was made with.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_end(spark):
+        df.write.parquet(path)
     discard(spark, *over)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
