@@ -111,5 +111,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             dropped.append(len(lines) - len(stay))
         return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(dropped, pa.int64())], ["text", "n_lines", "n_dropped"])
 
-    rows = sealed(docs, id=col(id_col), pressed=pressed(col(text_col))).join(late, "id", "left").withColumn("out", without("pressed", "late"))
+    # Never by a broadcast: between the two functions of texts is a shuffle, so a task takes one Python worker.
+    rows = sealed(docs, id=col(id_col), pressed=pressed(col(text_col))).join(late.hint("merge"), "id", "left").withColumn("out", without("pressed", "late"))
     return unsealed(rows, columns, **{text_col: F.col("out.text"), "n_lines": F.col("out.n_lines"), "n_dropped": F.col("out.n_dropped")})
